@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, packing, quality, sharding, toxicity
+from . import chat, exact_dedup, minhash, packing, quality, sharding, toxicity
 from .shared import in_split
 
 SHARD_BYTES = 1 << 20
@@ -27,6 +27,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(toxicity.score_toxicity(docs, model), in_split("doc_id", 5, 0))
 
 
+def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"), width=3, percent=85)
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents"))
 
@@ -54,6 +58,7 @@ def op10_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op3_minhash": op3_minhash,
     "op6_quality": op6_quality,
     "op8_packing": op8_packing,
     "op5_exact_dedup": op5_exact_dedup,
