@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, exact_dedup, minhash, packing, quality, sharding, toxicity
+from . import chat, embed_dedup, exact_dedup, minhash, packing, pieces, quality, sharding, toxicity
 from .shared import in_split
 
 SHARD_BYTES = 1 << 20
@@ -27,10 +27,18 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(toxicity.score_toxicity(docs, model), in_split("doc_id", 5, 0))
 
 
+def op2_embed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_duplicate_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), width=3, percent=85)
 
 
+def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode_pieces(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), seed=20, rate=0.1)
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents"))
 
@@ -58,7 +66,9 @@ def op10_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_embed_dedup": op2_embed_dedup,
     "op3_minhash": op3_minhash,
+    "op4_pieces": op4_pieces,
     "op6_quality": op6_quality,
     "op8_packing": op8_packing,
     "op5_exact_dedup": op5_exact_dedup,
