@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, embed_dedup, exact_dedup, minhash, packing, pieces, quality, sharding, toxicity
+from . import chat, embed_dedup, exact_dedup, lm, minhash, packing, pieces, quality, sharding, toxicity
 from .shared import in_split
 
 SHARD_BYTES = 1 << 20
@@ -60,6 +60,12 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op9_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = in_split("doc_id", 10, 0)
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lm.score_texts(docs, ~held_out).withColumn("held_out", held_out)
+
+
 def op10_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.extendible_shards(_table(spark, sf_dir, "documents"), SHARD_BYTES)
 
@@ -73,6 +79,7 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_chat_format": op7_chat_format,
+    "op9_lm": op9_lm,
     "op10_extendible_shards": op10_extendible_shards,
 }
 
