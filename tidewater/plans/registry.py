@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import lists, scalars
+from . import assets, enrich, lists, scalars
 
-MODULES = (scalars, lists)
+MODULES = (scalars, lists, assets, enrich)
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
 SQL = {name: s for m in MODULES for name, s in m.SQL.items()}
