@@ -58,7 +58,7 @@ def rows(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     """The rows of an input role, or of SQL text, over sf_dir's tables."""
     text = INPUTS.get(sql, sql)
     tables = sorted(set(re.findall(r"(?<!\{)\{(\w+)\}(?!\})", text)))
-    return spark.sql(text.replace('"videoId"', "videoId"), **{t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in tables})
+    return spark.sql(text.replace('AS "videoId"', "AS videoId"), **{t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in tables})
 
 
 def cte(*names: str) -> str:

@@ -90,10 +90,10 @@ def st7(spark, sf):
     return M.absent(o.select("key"), o, "key")
 
 
-@query("w10_first_mention", "SELECT l_suppkey AS channel, min(l_orderkey) AS depth, arg_min(l_partkey, struct_pack(a := l_orderkey, b := l_linenumber)) AS source FROM lineitem GROUP BY 1")
+@query("w10_first_mention", "SELECT l_suppkey AS channel, min(l_orderkey) AS depth, arg_min(l_partkey, struct_pack(a := l_orderkey, b := l_linenumber, c := l_partkey)) AS source FROM lineitem GROUP BY 1")
 def w10(spark, sf):
     i = rows(spark, sf, "SELECT l_suppkey AS channel, l_orderkey AS depth, l_linenumber AS n, l_partkey AS source FROM {lineitem}")
-    return i.groupBy("channel").agg(F.min("depth").alias("depth"), F.min_by("source", F.struct("depth", "n")).alias("source"))
+    return i.groupBy("channel").agg(F.min("depth").alias("depth"), F.min_by("source", F.struct("depth", "n", "source")).alias("source"))
 
 
 @query("st10_sla_windows", cte("outcomes") + "SELECT date_trunc('hour', ts) AS start, CAST(key % 4 + 1 AS INT) AS tier, count(*) FILTER (value <= 50) AS on_time, count(*) FILTER (value > 50) AS overdue FROM outcomes GROUP BY 1, 2")
