@@ -37,29 +37,30 @@ def text_groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
 
 
 def _lookup(df: DataFrame, id_col: str, text_col: str, salts: int, normalize) -> DataFrame:
-    """df with keep_id, group_size and _x_digest added; the group of a single row is the row itself."""
+    """(_x_row, _x_id, _x_digest, _x_keep_id, _x_group_size): df's rows as structs with their groups; the group of a single row is the row itself."""
     winners = text_groups(df, id_col, text_col, salts, normalize)
     # one row per digest; the winners are already partitioned by digest, so this needs no further exchange
     by_digest = winners.groupBy("_x_digest").agg(
         F.count(F.lit(1)).alias("_x_texts"), F.max("keep_id").alias("_x_keep"), F.max("group_size").alias("_x_size")
     )
     groups = materialize(by_digest.filter("_x_texts > 1 or _x_size > 1"), "exact-groups")
-    rows = _keyed(df, text_col, normalize)
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    rows = _keyed(df.select(row.alias("_x_row"), F.col(id_col).alias("_x_id"), F.col(text_col).alias("_x_src")), "_x_src", normalize).drop("_x_src")
     ambiguous = groups.filter("_x_texts > 1").select("_x_digest")
     if ambiguous.isEmpty():
-        out = rows.drop("_x_text").join(groups, "_x_digest", "left")
+        out = rows.drop("_x_text").join(groups.drop("_x_texts"), "_x_digest", "left")
     else:  # distinct texts under one digest: these rows are matched on their full content
         own = winners.join(ambiguous, "_x_digest", "left_semi").select(
             "_x_digest", "_x_text", F.col("keep_id").alias("_x_keep"), F.col("group_size").alias("_x_size")
         )
-        clear = groups.filter("_x_texts = 1")
+        clear = groups.filter("_x_texts = 1").drop("_x_texts")
         out = (
-            rows.join(ambiguous, "_x_digest", "left_anti").drop("_x_text").join(clear, "_x_digest", "left").drop("_x_texts")
+            rows.join(ambiguous, "_x_digest", "left_anti").drop("_x_text").join(clear, "_x_digest", "left")
             .unionByName(rows.join(own, ["_x_digest", "_x_text"], "inner").drop("_x_text"))
         )
     return out.select(
-        *[F.col(c) for c in df.columns], "_x_digest",
-        F.when(F.col("_x_size").isNull(), F.col(id_col)).otherwise(F.col("_x_keep")).alias("_x_keep_id"),
+        "_x_row", "_x_id", "_x_digest",
+        F.when(F.col("_x_size").isNull(), F.col("_x_id")).otherwise(F.col("_x_keep")).alias("_x_keep_id"),
         F.coalesce("_x_size", F.lit(1)).cast("bigint").alias("_x_group_size"),
     )
 
@@ -71,15 +72,14 @@ def exact_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     than any other, its row is kept only in a group without other ids; repeated rows (same id and text) get the same
     decision; an empty table gives an empty result; other columns of df are ignored, whatever their names.
     """
-    slim = df.select(F.col(id_col).alias("_x_rid"), F.col(text_col).alias("_x_src"))
-    out = _lookup(slim, "_x_rid", "_x_src", salts, normalize)
+    out = _lookup(df.select(F.col(id_col), F.col(text_col)), id_col, text_col, salts, normalize).drop("_x_row")
     return out.select(
-        F.col("_x_rid").alias(id_col), F.col("_x_keep_id").alias("keep_id"), F.col("_x_group_size").alias("group_size"),
-        F.col("_x_rid").eqNullSafe(F.col("_x_keep_id")).alias("kept"), F.col("_x_digest").alias("text_sha256"),
+        F.col("_x_id").alias(id_col), F.col("_x_keep_id").alias("keep_id"), F.col("_x_group_size").alias("group_size"),
+        F.col("_x_id").eqNullSafe(F.col("_x_keep_id")).alias("kept"), F.col("_x_digest").alias("text_sha256"),
     )
 
 
 def drop_exact_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = 16, normalize=None) -> DataFrame:
     """The rows of df that stay, with df's columns. A repeated row (same id and text) stays once per repetition."""
     out = _lookup(df, id_col, text_col, salts, normalize)
-    return out.filter(F.col(id_col).eqNullSafe(F.col("_x_keep_id"))).select(*df.columns)
+    return out.filter(F.col("_x_id").eqNullSafe(F.col("_x_keep_id"))).select("_x_row.*")

@@ -15,6 +15,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import sentencepiece
 import xxhash
@@ -225,7 +226,7 @@ def decode_pieces(df: DataFrame, model_path: str, ids_col: str = "ids", out_col:
     """df with out_col, the text of ids_col; null ids give a null text."""
 
     @F.pandas_udf("string")
-    def decoded(batches):
+    def decoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = load(model_path)
         for arrays in batches:
             yield arrays.map(lambda a: None if a is None else model.decode([int(k) for k in a]))

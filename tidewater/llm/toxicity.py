@@ -14,11 +14,11 @@ from .features import Distinct, char_grams, sigmoid, text_bytes
 from .labelled import fit, score, training_sample
 
 ORDERS = (4, 5, 6)
-BITS = 18
+BITS = 20
 MAX_TRAIN_ROWS = 6000
 SMOOTHING = 1.0
-LEAST_RATIO = 0.7
-LEAST_DOCUMENTS = 4
+LEAST_RATIO = 1.8
+LEAST_DOCUMENTS = 8
 L2 = 2e-3
 ROUNDS = 80
 
@@ -78,5 +78,5 @@ def score_toxicity(df: DataFrame, model: bytes, text_col: str = "text") -> DataF
     both classes every score is the smoothed share of label 1 (0.5 without labels); an empty table stays empty; a column of
     df named score is replaced; other columns stay.
     """
-    held = df.sparkSession.sparkContext.broadcast(model)  # 1 MB whatever the corpus
+    held = df.sparkSession.sparkContext.broadcast(model)  # 4 MB whatever the corpus
     return score(df, lambda: scorer(held.value), text_col)
