@@ -220,3 +220,67 @@ def feed_rows(df: DataFrame, payload: str = "payload") -> DataFrame:
     out = e.select(*[c for c in df.columns if c != payload], tag(r"<yt:videoId>([^<]*)<").alias("video_id"), tag(r"<title>([^<]*)<").alias("title"), tag(r"(?s)<author>\s*<name>([^<]*)<").alias("author_name"),
         N.lenient_timestamp(tag(r"<published>([^<]*)<")).alias("published"), tag(r'<media:statistics views="(\d+)"').try_cast("bigint").alias("view_count"), tag(r'<media:thumbnail url="([^"]*)"').alias("thumbnail_url"))
     return out.filter("video_id is not null and title is not null")
+
+
+def no_content(*collections: str) -> Column:
+    """A channel without videos, playlists, courses, podcasts and products."""
+    return sum((F.coalesce(F.size(c), F.lit(0)) for c in collections[1:]), F.coalesce(F.size(collections[0]), F.lit(0))) <= 0
+
+
+def featured_links(df: DataFrame, payload: str = "payload") -> DataFrame:
+    """(other columns, name, channel_id, subs) of featured channels; those without a subscriber text are left out."""
+    kind = "struct<featured:array<struct<title:string,channelId:string,canonicalBaseUrl:string,subscriberCountText:" + _TEXT + ">>>"
+    c = df.withColumn("_f", F.explode(F.from_json(F.col(payload), kind)["featured"]))
+    subs = text_of(F.col("_f.subscriberCountText"))
+    name = F.coalesce(F.nullif(F.regexp_replace("_f.canonicalBaseUrl", "^/@?", ""), F.lit("")), F.col("_f.title"))
+    return c.filter(F.coalesce(subs, F.lit("")) != "").select(*[x for x in df.columns if x != payload], name.alias("name"), F.col("_f.channelId").alias("channel_id"), N.convert_count(subs).alias("subs"))
+
+
+def banners(df: DataFrame, payload: str = "payload") -> DataFrame:
+    """(other columns, images): avatar and banner images with a display hint, distinct by URL and size."""
+    kind = f"struct<avatar:{_THUMB},banner:{_THUMB},tvBanner:{_THUMB},mobileBanner:{_THUMB}>"
+    p = F.from_json(F.col(payload), kind)
+    hinted = lambda c, hint: F.transform(F.coalesce(p[c], F.array().cast(_THUMB)), lambda t: F.struct(W.with_scheme(t["url"]).alias("url"), t["width"].alias("width"), t["height"].alias("height"), F.lit(hint).alias("hint")))
+    every = F.concat(hinted("avatar", "thumbnail"), hinted("banner", "banner"), hinted("tvBanner", "tv"), hinted("mobileBanner", "mobile"))
+    size = lambda t: F.struct(t["url"], t["width"], t["height"])
+    first = F.aggregate(every, F.slice(every, 1, 0), lambda acc, t: F.when(F.exists(acc, lambda a: size(a) == size(t)), acc).otherwise(F.concat(acc, F.array(t))))
+    return df.select(*[x for x in df.columns if x != payload], first.alias("images"))
+
+
+def about_rows(df: DataFrame, payload: str = "payload", existing: tuple[str, ...] = ()) -> DataFrame:
+    """Channel columns of about data; what a channel has already stays."""
+    p = F.from_json(F.col(payload), "struct<title:string,description:string,country:string,joinedDateText:string,viewCountText:string,subscriberCountText:string,videoCountText:string,vanityChannelUrl:string>")
+    new = {
+        "title": p["title"], "description": p["description"], "country": p["country"], "joined": N.lenient_timestamp(p["joinedDateText"]), "view_count": N.convert_count(p["viewCountText"]),
+        "subscriber_count": N.convert_count(p["subscriberCountText"]), "video_count": N.convert_count(p["videoCountText"]), "channel_handle": F.nullif(F.regexp_extract(p["vanityChannelUrl"], "/@([^/?]+)", 1), F.lit("")),
+    }
+    return df.select(*[c for c in df.columns if c not in (*new, payload)], *[(F.coalesce(F.col(n), v) if n in existing else v).alias(n) for n, v in new.items()])
+
+
+def watch_page_counts(df: DataFrame, payload: str = "payload") -> DataFrame:
+    """(other columns, like_count, comment_count, category): likes from either layout, comments from a panel, category from a metadata row."""
+    p = F.from_json(F.col(payload), "struct<likeButton:struct<title:string>,toggleButton:struct<label:string>,panels:array<struct<id:string,contextualInfo:string>>,rows:array<struct<title:string,content:string>>>")
+    panel = F.get(F.filter(p["panels"], lambda x: x["id"].contains("comment")), F.lit(0))["contextualInfo"]
+    category = F.get(F.filter(p["rows"], lambda r: r["title"] == "Category"), F.lit(0))["content"]
+    return df.select(*[x for x in df.columns if x != payload], F.coalesce(N.convert_count(p["likeButton"]["title"]), N.leading_count(p["toggleButton"]["label"])).alias("like_count"), N.convert_count(panel).alias("comment_count"), category.alias("category"))
+
+
+def course_rows(df: DataFrame, payload: str = "payload") -> DataFrame:
+    """(other columns, course_id, title, video_count, videos): courses with their child videos; no count means 0."""
+    kind = "struct<courses:array<struct<courseId:string,title:string,videoCount:int,videos:array<struct<videoId:string,title:string,lengthText:string>>>>>"
+    c = df.withColumn("_c", F.explode(F.from_json(F.col(payload), kind)["courses"]))
+    videos = F.transform(F.filter("_c.videos", lambda v: v["videoId"].isNotNull()), lambda v: F.struct(v["videoId"].alias("video_id"), v["title"].alias("title"), v["lengthText"].alias("length")))
+    return c.select(*[x for x in df.columns if x != payload], F.col("_c.courseId").alias("course_id"), F.col("_c.title").alias("title"), F.coalesce("_c.videoCount", F.lit(0)).alias("video_count"), videos.alias("videos"))
+
+
+def product_rows(df: DataFrame, payload: str = "payload") -> DataFrame:
+    """(other columns, title, price, merchant, url): products; the URL is that of the first command that has one."""
+    kind = "struct<products:array<struct<title:string,price:string,fromVendorText:string,commands:array<struct<url:string>>>>>"
+    c = df.withColumn("_p", F.explode(F.from_json(F.col(payload), kind)["products"]))
+    url = F.get(F.filter("_p.commands", lambda x: x["url"].isNotNull()), F.lit(0))["url"]
+    return c.select(*[x for x in df.columns if x != payload], F.col("_p.title").alias("title"), F.col("_p.price").alias("price"), F.col("_p.fromVendorText").alias("merchant"), url.alias("url"))
+
+
+def normal_formats(formats: Column) -> Column:
+    """Formats under alternative field names (audio_codec or audiocodec, thumb_url or thumbnail_url) as one shape."""
+    return F.transform(formats, lambda x: F.struct(x["format_id"].alias("format_id"), F.coalesce(x["audio_codec"], x["audiocodec"]).alias("audio_codec"), F.coalesce(x["thumb_url"], x["thumbnail_url"]).alias("thumbnail_url"), F.coalesce(x["video_count"], F.lit(0)).alias("video_count")))

@@ -156,3 +156,61 @@ def n20(spark, sf):
 def n21(spark, sf):
     d = rows(spark, sf, """SELECT page_id, concat(html, CASE WHEN page_id % 3 = 0 THEN concat('<script>var ytInitialData = {{"a":{{"b":', CAST(page_id AS STRING), '}}}};</script>') WHEN page_id % 3 = 1 THEN 'var ytInitialData = {{broken}};' ELSE '' END) AS html FROM {pages}""")
     return d.select("page_id", X.embedded_json(F.col("html")).alias("found"))
+
+
+@query("n5_featured_links", "SELECT c_custkey AS k, 'h' || CAST(c_custkey AS VARCHAR) AS name, 'UC' AS channel_id, CAST(c_custkey * 1000 AS BIGINT) AS subs FROM customer WHERE c_custkey % 2 = 0")
+def n5(spark, sf):
+    return X.featured_links(rows(spark, sf, """SELECT c_custkey AS k, concat('{{"featured":[{{"title":"t","channelId":"UC","canonicalBaseUrl":"/@h', CAST(c_custkey AS STRING), '","subscriberCountText":{{"simpleText":"', CASE WHEN c_custkey % 2 = 0 THEN concat(CAST(c_custkey AS STRING), 'K subscribers') ELSE '' END, '"}}}}]}}') AS payload FROM {customer}"""))
+
+
+@query("n7_banners", "SELECT p_partkey AS k, CAST(3 AS INT) AS n, 'https://a' || CAST(p_partkey AS VARCHAR) AS url, 'banner' AS hint FROM part")
+def n7(spark, sf):
+    d = X.banners(rows(spark, sf, """SELECT p_partkey AS k, concat('{{"avatar":[{{"url":"//v","width":1,"height":1}}],"banner":[{{"url":"//a', CAST(p_partkey AS STRING), '","width":9,"height":2}}],"tvBanner":[{{"url":"//v","width":1,"height":1}},{{"url":"t","width":2,"height":1}}]}}') AS payload FROM {part}"""))
+    return d.select("k", F.size("images").alias("n"), F.col("images")[1]["url"].alias("url"), F.col("images")[1]["hint"].alias("hint"))
+
+
+@query("n8_about_rows", "SELECT c_custkey AS k, CASE WHEN c_custkey % 2 = 0 THEN 'own' ELSE 'new' END AS title, epoch(TIMESTAMP '2024-06-15')::BIGINT AS joined, CAST(c_custkey AS BIGINT) AS view_count, c_name AS channel_handle FROM customer")
+def n8(spark, sf):
+    d = rows(spark, sf, """SELECT c_custkey AS k, CASE WHEN c_custkey % 2 = 0 THEN 'own' END AS title, concat('{{"title":"new","joinedDateText":"Joined Jun 15, 2024","viewCountText":"', CAST(c_custkey AS STRING), ' views","vanityChannelUrl":"http://www.youtube.com/@', c_name, '"}}') AS payload FROM {customer}""")
+    return X.about_rows(d, existing=("title",)).select("k", "title", F.unix_seconds("joined").alias("joined"), "view_count", "channel_handle")
+
+
+@query("n13_watch_page_counts", "SELECT p_partkey AS k, CAST(CASE WHEN p_partkey % 2 = 0 THEN p_size * 1000 ELSE p_size END AS BIGINT) AS like_count, CAST(p_size AS BIGINT) AS comment_count, p_brand AS category FROM part")
+def n13(spark, sf):
+    return X.watch_page_counts(rows(spark, sf, """SELECT p_partkey AS k, concat('{{', CASE WHEN p_partkey % 2 = 0 THEN concat('"likeButton":{{"title":"', CAST(p_size AS STRING), 'K"}}') ELSE concat('"toggleButton":{{"label":"', CAST(p_size AS STRING), ' likes"}}') END,
+        ',"panels":[{{"id":"x"}},{{"id":"comments","contextualInfo":"', CAST(p_size AS STRING), '"}}],"rows":[{{"title":"Category","content":"', p_brand, '"}}]}}') AS payload FROM {part}"""))
+
+
+@query("n16_n18_courses_products", "SELECT p_partkey AS k, 'c' AS course_id, 0 AS video_count, 'v' || CAST(p_partkey AS VARCHAR) AS video_id, p_brand AS product, 'u2' AS url FROM part")
+def n16(spark, sf):
+    d = rows(spark, sf, """SELECT p_partkey AS k, concat('{{"courses":[{{"courseId":"c","videos":[{{"videoId":"v', CAST(p_partkey AS STRING), '"}},{{"title":"none"}}]}}],"products":[{{"title":"', p_brand, '","commands":[{{}},{{"url":"u2"}},{{"url":"u3"}}]}}]}}') AS payload FROM {part}""")
+    courses = X.course_rows(d).select("k", "course_id", "video_count", F.inline("videos")).select("k", "course_id", "video_count", "video_id")
+    return courses.join(X.product_rows(d).select("k", F.col("title").alias("product"), "url"), "k")
+
+
+@query("pf8_no_content", "SELECT c_custkey AS k, c_custkey % 3 <> 0 AS empty FROM customer")
+def pf8(spark, sf):
+    d = rows(spark, sf, "SELECT c_custkey AS k, CASE WHEN c_custkey % 3 = 0 THEN array('v') WHEN c_custkey % 3 = 1 THEN array() END AS videos, CAST(NULL AS ARRAY<STRING>) AS playlists FROM {customer}")
+    return d.select("k", X.no_content("videos", "playlists").alias("empty"))
+
+
+@query("pf27_normal_formats", "SELECT p_partkey AS k, '1' AS format_id, p_brand AS audio_codec, p_type AS thumbnail_url, 0 AS video_count FROM part")
+def pf27(spark, sf):
+    d = rows(spark, sf, "SELECT p_partkey AS k, array(named_struct('format_id', '1', 'audio_codec', CAST(NULL AS STRING), 'audiocodec', p_brand, 'thumb_url', p_type, 'thumbnail_url', 'x', 'video_count', CAST(NULL AS INT))) AS f FROM {part}")
+    return d.select("k", F.inline(X.normal_formats(F.col("f"))))
+
+
+@query("sc15_import_outcomes", "SELECT p_partkey AS k, CASE WHEN p_partkey % 5 = 0 THEN 'error' WHEN p_partkey % 3 = 0 THEN 'skipped' ELSE 'written' END AS outcome FROM part")
+def sc15(spark, sf):
+    from ..sources.sinks import import_outcomes
+
+    d = rows(spark, sf, "SELECT p_partkey AS k, CAST(p_partkey AS STRING) AS video_id, CASE WHEN p_partkey % 5 = 0 THEN 'bad' END AS error FROM {part}")
+    return import_outcomes(d, d.filter("k % 3 = 0")).select("k", "outcome")
+
+
+@query("sk9_queue_snapshot_rows", cte("queue") + "SELECT tier, count(*) AS n, CAST(sum(due_ts) AS DOUBLE) AS due FROM queue GROUP BY 1")
+def sk9(spark, sf):
+    from ..sources.sinks import queue_snapshot as snapshot
+
+    s = snapshot(rows(spark, sf, "queue"))
+    return s.select("tier", F.explode(F.from_json("rows", "array<array<string>>")).alias("r")).groupBy("tier").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("r")[0].cast("double")).alias("due"))
