@@ -139,3 +139,34 @@ def test_scan_of_mixed_files(spark, tmp_path):
 def test_map_lines(spark):
     df = spark.createDataFrame([(0, "# c"), (1, "a,h1"), (2, "b"), (3, "a,h2,x")], "pos int, value string")
     assert {tuple(r) for r in scans.creator_map_lines(df).collect()} == {("a", "h2,x"), ("b", "b")}
+
+
+def test_sinks(spark, tmp_path):
+    from tidewater.sources import sinks
+
+    m = spark.createDataFrame([("a", "Zed"), ("b", "abe")], "channel_id string, handle string")
+    sinks.export_map(m, str(tmp_path / "map"))
+    assert [r.value for r in spark.read.text(str(tmp_path / "map")).collect()] == ["b,abe", "a,Zed"]
+    sinks.append_jsonl(m, str(tmp_path / "log"))
+    sinks.append_jsonl(m, str(tmp_path / "log"))
+    assert spark.read.json(str(tmp_path / "log")).count() == 4
+    head = spark.createDataFrame([(0, "# h")], "pos int, value string")
+    rows = spark.createDataFrame([(3, "b"), (2, "a")], "pos int, value string")
+    assert not sinks.rewrite_list(head, rows, 2, str(tmp_path / "list")) and sinks.rewrite_list(head, rows, 3, str(tmp_path / "list"))
+    assert [r.value for r in spark.read.text(str(tmp_path / "list")).collect()] == ["# h", "a", "b"]
+    v = spark.createDataFrame([("v", "")], "video_id string, title string").withColumns({c: F.lit(None).cast("string") for c in ("channel_handle", "channel_id", "url", "embed_url", "description")})
+    v = v.withColumns({c: F.lit(None).cast("int") for c in ("view_count", "like_count")}).withColumns({c: F.array().cast("array<string>") for c in ("thumbnails", "keywords", "tags")})
+    sinks.import_videos(v.select("video_id", *[c for c in v.columns if c not in ("video_id", "keywords", "tags", "thumbnails")], "keywords", "tags", "thumbnails"), str(tmp_path / "videos"))
+    assert spark.read.parquet(str(tmp_path / "videos")).first().classification == "below_bar"
+
+
+def test_documents_and_filters(spark):
+    df = spark.createDataFrame([(1, None, "x"), (2, 5, None)], "id int, view_count int, locale string")
+    assert [r[0] for r in df.select(records.to_document(df, ("view_count",), ("locale",))).collect()] == ['{"id":1,"view_count":0,"locale":"x"}', '{"id":2,"view_count":5}']
+    assert {r.id for r in records.delete_matching(df, {"id": 1, "locale": None}, "id").collect()} == {2}
+    with pytest.raises(ValueError):
+        records.matching(df, {}, cap=1)
+    schema = '{"properties":{"id":{"note":"content"},"locale":{"note":"region"}}}'
+    assert records.annotated(df, schema, "note").columns == ["content", "region"]
+    with pytest.raises(ValueError):
+        records.annotated(df, schema.replace("region", "content"), "note")
