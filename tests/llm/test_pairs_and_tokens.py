@@ -67,6 +67,28 @@ def test_minhash_star_and_edges(spark):
     assert minhash.drop_near_copies(df).columns == df.columns
 
 
+def test_minhash_family_without_origin(spark):
+    """One bucket of members that are all just under the limit, but for few planted pairs: no pair of it is left out."""
+    rng = np.random.default_rng(11)
+    base, docs = [f"w{k}" for k in range(200)], []
+    for i in range(120):
+        own = list(base)
+        for at in rng.choice(200, 4, replace=False):
+            own[at] = f"n{i}_{at}"
+        docs.append((i, " ".join(own)))
+        if i % 20 == 7:
+            for at in rng.choice(200, 4, replace=False):
+                own[at] = f"p{i}_{at}"
+            docs.append((1000 + i, " ".join(own)))
+    sets = {i: shingles(t, 3) for i, t in docs}
+    keys = {i: minhash.OnePermutation(1, 1).band_keys(minhash.shingle_set(t, 3))[0] for i, t in docs}
+    links = [(a, b) for a in sets for b in sets if a < b and keys[a] == keys[b] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])]
+    want = groups(list(sets), links)
+    assert 3 <= len({*want.values()} & {want[b] for _, b in links}) and max(list(keys.values()).count(k) for k in keys.values()) > 60
+    got = minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), 3, 85, bands=1, rows=1).collect()
+    assert {r.doc_id: r.component_id for r in got} == want
+
+
 def test_embeddings(spark):
     rng = np.random.default_rng(3)
     base = rng.normal(size=(40, 16))

@@ -6,8 +6,8 @@ the member that meets the most others over all its buckets, which in a family of
 candidate is confirmed on the full shingle sets:
 1. every node with the centre it shares most bands with,
 2. the other star edges whose ends are not connected yet,
-3. in every bucket one of the members that are not connected to its centre becomes the new centre and is compared with all
-   members that it is not connected to; another one each round, until all had their turn or PATIENCE rounds confirm nothing.
+3. in every bucket all pairs of other members that are not connected: they are candidates where they share a rare enough
+   part of their differences from the centre, which every link must (see _remainder), so no pair of a bucket is left out.
 """
 
 from __future__ import annotations
@@ -25,8 +25,6 @@ from .shared import materialize
 from .shingles import OnePermutation, shingle_set
 
 BANDS, ROWS = 40, 6
-#: Rounds of new centres in a row that may confirm nothing.
-PATIENCE = 3
 
 
 def _lists(arrays: list[np.ndarray]) -> pa.Array:
@@ -79,6 +77,42 @@ def _confirm(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _remainder(group: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Candidates (a, b) among the members of each centre that are not connected: every link is among them.
+
+    group: centre, centre_size, node, sized, component, far (not connected to the centre). D is the symmetric difference of
+    a member and its centre. Sets x and y link exactly when 2 * (100 + percent) * |Dx & Dy| >= E(x) + E(y), where
+    E = (100 + percent) * |D| - (100 - percent) * size. As a far member does not link with the centre, its E exceeds
+    (100 - percent) * centre_size, so a link always shares a part of D, and the first shared token, rarest tokens first,
+    has enough tokens from its place on in both. What a whole family has in common is in no D or comes last in it.
+    """
+    plus, minus = 100 + percent, 100 - percent
+    d = F.concat(F.array_except("_sb", "_sa"), F.array_except("_sa", "_sb"))
+    diffs = materialize(
+        group.join(sets.select("node", F.col("set").alias("_sb")), "node").join(sets.select(F.col("node").alias("centre"), F.col("set").alias("_sa")), "centre")
+        .select("centre", "centre_size", "node", "sized", "component", "far", d.alias("d")).withColumn("e", plus * F.size("d") - minus * F.col("sized")),
+        "minhash-differences",
+    )
+    tokens = diffs.select("centre", "node", F.explode("d").alias("token"))
+    often = tokens.groupBy("centre", "token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    ranked = tokens.join(often, ["centre", "token"], "left").groupBy("centre", "node").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("n", F.lit(1)).alias("n"), "token"))).alias("r"))
+    placed = diffs.drop("d").join(ranked, ["centre", "node"]).select(*[c for c in diffs.columns if c != "d"], F.size("r").alias("_size"), F.posexplode("r").alias("_at", "_r"))
+    placed = placed.withColumn("reach", 2 * plus * (F.col("_size") - F.col("_at"))).withColumn("short", F.col("reach") >= F.col("e") + minus * F.col("centre_size"))
+    least = F.col("e") + 2 * percent - minus * F.col("centre_size")  # the partner is linked with the centre and differs from it
+    placed = placed.filter("_r.n > 1").filter(F.col("short") | (F.col("far") & (F.col("reach") >= least)))
+    placed = materialize(placed.select("centre", F.col("_r.token").alias("token"), "node", "sized", "component", "far", "e", "reach", "short"), "minhash-prefixes")
+
+    def meet(left: DataFrame, right: DataFrame) -> DataFrame:
+        right = right.select("centre", "token", *[F.col(c).alias("_" + c) for c in ("node", "sized", "component", "e", "reach")])
+        fit = F.least("sized", "_sized") * 100 >= F.greatest("sized", "_sized") * percent
+        enough = F.least("reach", "_reach") >= F.col("e") + F.col("_e")
+        return left.join(right, ["centre", "token"]).filter((F.col("component") != F.col("_component")) & fit & enough).select(F.least("node", "_node").alias("a"), F.greatest("node", "_node").alias("b"))
+
+    far = placed.filter("far")
+    between = meet(far.filter("short"), far.filter("short")).union(meet(placed.filter("not far"), far))
+    return between.distinct()
+
+
 def drop_near_copies(df: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of df that stay: of every group of near copies the one with the least id, and all rows that link with nothing."""
     gone = near_duplicates(df, width, percent, id_col, text_col).filter(F.col("component_id") < F.col(id_col)).select(F.col(id_col).alias("_x_gone"))
@@ -111,43 +145,25 @@ def near_duplicates(
     involved = scores.select(F.col("node").alias("_x_id"))
     sets = materialize(_sets(docs.join(involved, "_x_id", "left_semi"), width), "minhash-sets")
 
-    best = _star(members).groupBy("b").agg(F.max(F.struct("n", "a")).alias("_m")).select(F.col("_m.a").alias("a"), "b")
+    best = materialize(_star(members).groupBy("b").agg(F.max(F.struct("n", "a")).alias("_m")).select(F.col("_m.a").alias("a"), "b"), "minhash-edges")
     links = materialize(_confirm(best, sets, percent), "minhash-links")
-    labels = components(links)
-    active, tested, fruitless, first = members.withColumn("served", F.lit(False)), None, 0, True
-    while fruitless < PATIENCE:
-        named = materialize(
-            active.join(labels, "node", "left").select("key", "node", "sized", "score", "served", F.coalesce("component", "node").alias("component")), "minhash-members"
-        )
-        hub = named.groupBy("key").agg(F.max(F.struct("score", "node", "component", "sized")).alias("_c"))
-        hub = hub.select("key", F.col("_c.node").alias("a"), F.col("_c.component").alias("_ca"), F.col("_c.sized").alias("_sa"))
-        if first:
-            centre = hub
-        else:
-            outside = named.filter("not served").join(hub.select("key", "_ca"), "key").filter("component != _ca")
-            centre = outside.groupBy("key").agg(F.max(F.struct(F.xxhash64("key", "node").alias("h"), "node", "component", "sized")).alias("_n"))
-            centre = centre.select("key", F.col("_n.node").alias("a"), F.col("_n.component").alias("_ca"), F.col("_n.sized").alias("_sa"))
-        served, apart = F.col("served") | (F.col("node") == F.col("a")), F.col("component") != F.col("_ca")
-        # sets whose sizes differ too much cannot be similar
-        fit = F.least("sized", "_sa") * 100 >= F.greatest("sized", "_sa") * percent
-        pairs = named.join(centre, "key").select("key", "node", "sized", "score", served.alias("served"), "a", apart.alias("apart"), fit.alias("fit"))
-        pairs = materialize(pairs, "minhash-pairs")
-        candidates = pairs.filter("apart and fit").select("a", F.col("node").alias("b")).distinct()
-        if tested is not None:
-            candidates = candidates.join(tested, ["a", "b"], "left_anti")
-        candidates = materialize(candidates, "minhash-edges")
-        tested = candidates if tested is None else tested.unionByName(candidates)
-        more = materialize(_confirm(candidates, sets, percent), "minhash-links")
-        if not more.isEmpty():
-            links = links.union(more)
-            labels, fruitless = components(links), 0
-        elif not first:
-            fruitless += 1
-        # buckets where somebody is apart from this round's centre go on
-        open_keys = pairs.groupBy("key").agg(F.bool_or("apart").alias("o")).filter("o").select("key")
-        active, first = pairs.join(open_keys, "key", "left_semi").select("key", "node", "sized", "score", "served"), False
-        if pairs.filter("apart").isEmpty():
-            break
+    hub = members.groupBy("key").agg(F.max(F.struct("score", "node", "sized")).alias("_c")).select("key", F.col("_c.node").alias("centre"), F.col("_c.sized").alias("centre_size"))
+    spokes = materialize(members.join(hub, "key").filter("node != centre").select("key", "centre", "centre_size", "node", "sized"), "minhash-spokes")
+
+    def named_spokes(labels: DataFrame) -> DataFrame:
+        own, its = labels.select("node", F.col("component").alias("_own")), labels.select(F.col("node").alias("centre"), F.col("component").alias("_its"))
+        found = spokes.join(own, "node", "left").join(its, "centre", "left").withColumn("component", F.coalesce("_own", "node"))
+        return found.withColumn("far", F.col("component") != F.coalesce("_its", "centre")).drop("_own", "_its")
+
+    # sets whose sizes differ too much cannot be similar
+    fit = F.least("sized", "centre_size") * 100 >= F.greatest("sized", "centre_size") * percent
+    others = named_spokes(components(links)).filter(F.col("far") & fit).select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
+    links = links.union(materialize(_confirm(others.join(best, ["a", "b"], "left_anti"), sets, percent), "minhash-links"))
+    named = materialize(named_spokes(components(links)), "minhash-spokes")
+    open_keys = named.groupBy("key").agg(F.min("component").alias("_l"), F.max("component").alias("_h")).filter("_l != _h").select("key")
+    group = materialize(named.join(open_keys, "key", "left_semi").drop("key").distinct(), "minhash-open")
+    rest = materialize(_remainder(group, sets, percent), "minhash-edges")
+    labels = components(links.union(materialize(_confirm(rest, sets, percent), "minhash-links")))
     named = nodes.join(labels, "node", "left")
     component = F.when(F.col("_x_id").isNotNull(), F.coalesce("component", "node", "_x_id"))
     return named.select(F.col("_x_id").alias(id_col), "n_shingles", component.alias("component_id"), F.coalesce(F.col("_x_id") == component, F.lit(False)).alias("kept"))
