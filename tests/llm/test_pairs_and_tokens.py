@@ -119,6 +119,21 @@ def test_byte_bpe_ids():
         assert np.frombuffer(byte_bpe.load(path).encode(text), np.uint32).tolist() == t.encode(text, add_special_tokens=False).ids
 
 
+def test_byte_bpe_added_tokens():
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    t = Tokenizer.from_file(path)
+    for text in [*HARD, "a <|endoftext|> b", "<|endoftext|><|endoftext|>", "x  <|endoftext|>\n <|endoftext", "<|endoftext|> "]:
+        assert np.frombuffer(byte_bpe.load(path).encode(text, added_tokens=True), np.uint32).tolist() == t.encode(text, add_special_tokens=False).ids
+
+
+def test_op8_and_pipeline_name_added_tokens(spark, tmp_path):
+    docs = {1: "a <|endoftext|> b", 2: "plain"}
+    spark.createDataFrame(list(docs.items()), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    check_packing(queries.QUERIES["op8_packing"](spark, str(tmp_path)).collect(), docs, t, 1)
+    check_packing(corpus_pipeline.pack(spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), str(tmp_path)).collect(), docs, t, 1)
+
+
 def test_pieces():
     path = public_tokenizers.path("piece_bpe_32k.model")
     sp, own = sentencepiece.SentencePieceProcessor(model_file=path), pieces.load(path)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import json
+import re
 from array import array
 
 import tiktoken
@@ -25,9 +26,12 @@ class ByteBpe:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        of, special = _byte_of_char(), {x["content"] for x in spec.get("added_tokens", ())}
+        of, special = _byte_of_char(), {x["content"]: x["id"] for x in spec.get("added_tokens", ())}
         ranks = {bytes(of[c] for c in token): k for token, k in spec["model"]["vocab"].items() if token not in special}
         self._plain = tiktoken.Encoding("byte-bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        # longest first; None where the file adds none
+        self._added = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
+        self._added_ids = {t: array("I", [k]).tobytes() for t, k in special.items()}
         self._cache: dict[str, bytes | bool] = {}
 
     def _bytes(self, text: str) -> bytes:
@@ -41,8 +45,12 @@ class ByteBpe:
         ids = self._cache[word] = self._bytes(" " + word) if alone else False
         return ids
 
-    def encode(self, text: str) -> bytes:
-        """Ids as unsigned 32-bit numbers in the machine's order. Strings of special tokens are ordinary text."""
+    def encode(self, text: str, added_tokens: bool = False) -> bytes:
+        """Ids as unsigned 32-bit numbers in the machine's order. Strings of the file's added tokens become their ids with
+        added_tokens, as in the tokenizers library by default, and are ordinary text without."""
+        if added_tokens and self._added and self._added.search(text):
+            parts = self._added.split(text)
+            return b"".join(self._added_ids[t] if k % 2 else self.encode(t) for k, t in enumerate(parts))
         head, *words = text.split(" ")
         if head[-1:].isspace():
             return self._bytes(text)

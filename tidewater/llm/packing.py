@@ -112,7 +112,7 @@ def _step_of(windows: list[tuple[int, list]], size: int) -> list[tuple[int, int]
 
 def pack_documents(
     df: DataFrame, tokenizer_path: str, tiers: tuple[int, ...] = TIERS, id_col: str = "doc_id", text_col: str = "text",
-    end_id: int = END_ID, step_sequences: int = STEP_SEQUENCES, with_ids: bool = False,
+    end_id: int = END_ID, step_sequences: int = STEP_SEQUENCES, with_ids: bool = False, added_tokens: bool = False,
 ) -> DataFrame:
     """One row per piece: id, start, length, ids_crc32, doc_tokens, sequence_id, offset, window, step_id and, with_ids, ids.
 
@@ -155,7 +155,7 @@ def pack_documents(
         for batch in batches:
             id_kind = batch.schema.field(0).type
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                ids = memoryview(bpe.encode(text or "") + end)
+                ids = memoryview(bpe.encode(text or "", added_tokens) + end)
                 packer.add((doc, ids, len(ids) // 4))
             packer.pack()
             if out := emit():
