@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.llm import exact_dedup, minhash, packing, quality, toxicity
+from tidewater.llm.labelled import informed
 from tidewater.llm.shared import materialize
 
 
@@ -18,14 +19,18 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score below 0.5 for toxicity."""
+    """Documents that score below 0.5 for toxicity; all where no labelled rows of both classes teach a model."""
     model = toxicity.train_toxicity(docs, _labels(spark, sf_dir))
+    if not informed(model):
+        return docs
     return toxicity.score_toxicity(docs, model).filter(F.col("score") < 0.5).select(*docs.columns)
 
 
 def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score 0.5 or more for quality."""
+    """Documents that score 0.5 or more for quality; all where no labelled rows of both classes teach a model."""
     model = quality.train_quality(docs, _labels(spark, sf_dir))
+    if not informed(model):
+        return docs
     return quality.score_quality(docs, model).filter(F.col("score") >= 0.5).select(*docs.columns)
 
 

@@ -10,7 +10,7 @@ import sentencepiece
 from conftest import SMALL
 from tokenizers import Tokenizer
 
-from tidewater.llm import byte_bpe, embed_dedup, minhash, packing, pieces, queries
+from tidewater.llm import byte_bpe, embed_dedup, labelled, minhash, packing, pieces, queries
 
 
 def groups(ids, linked):
@@ -195,6 +195,18 @@ def test_packing(spark):
     assert packing.pack_documents(spark.createDataFrame([(None, "a"), (1, "a"), (1, "a")], "doc_id long, text string"), path).select("sequence_id").count() >= 3
 
 
+def test_filters_without_usable_labels(spark, tmp_path):
+    good, bad = "a calm and useful text about gardens ", "vile hateful stupid insults everywhere "
+    docs = spark.createDataFrame([(i, (good if i % 2 else bad) * 3 + str(i)) for i in range(40)], "doc_id long, text string")
+    for name, ids in (("none", []), ("others", range(1000, 1040)), ("one class", range(1, 40, 2))):
+        labels = spark.createDataFrame([(i, i % 2, 1 - i % 2) for i in ids], "doc_id long, quality int, toxic int")
+        labels.write.parquet(f"{tmp_path}/{name}/labels.parquet")
+        for stage in (corpus_pipeline.drop_toxic, corpus_pipeline.drop_poor):
+            assert stage(spark, docs, f"{tmp_path}/{name}").count() == 40, name
+    many = spark.createDataFrame([(i, i % 2) for i in range(4000)], "doc_id long, quality int")
+    assert labelled.training_sample(docs, many, "quality", 30).count() == 30
+
+
 def test_pipeline(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     kept = docs

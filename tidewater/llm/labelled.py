@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
+import io
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, label_col: str, max_rows: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(text, label) of at most max_rows labelled documents, drawn by a hash of their id. labels may hold nulls and repeated rows."""
+    """(text, label) of at most max_rows labelled documents, drawn by a hash of their id
+    from those that docs holds. labels may hold nulls and repeated rows."""
     drawn = (
         labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
         .groupBy(F.col(id_col).alias("_x_id"))
         .agg(F.max(F.col(label_col).cast("int")).alias("_x_label"))
+        .join(docs.select(F.col(id_col).alias("_x_id")), "_x_id", "left_semi")
         .orderBy(F.xxhash64(F.lit(17), "_x_id"), "_x_id")
         .limit(max_rows)
     )
@@ -35,6 +39,12 @@ def fit(sample: DataFrame, train: Callable[[list[str], list[int]], bytes]) -> by
     return bytes(found[0][0]) if found else train([], [])
 
 
+def informed(model: bytes) -> bool:
+    """Whether the model tells texts apart: it has weights, which only labelled rows of both classes give."""
+    with np.load(io.BytesIO(model)) as f:
+        return any(bool(np.any(f[name])) for name in f.files if name != "bias")
+
+
 def score(df: DataFrame, scorer: Callable[[], Callable[[str | None], float]], text_col: str) -> DataFrame:
     """df with a score column from every whole text; scorer builds the function once a task."""
 
