@@ -170,3 +170,24 @@ def test_documents_and_filters(spark):
     assert records.annotated(df, schema, "note").columns == ["content", "region"]
     with pytest.raises(ValueError):
         records.annotated(df, schema.replace("region", "content"), "note")
+
+
+def test_absence_and_list_keep_many_tasks(spark, tmp_path):
+    from tidewater.sources import sinks
+
+    events = spark.createDataFrame([(k, f"2024-01-01 0{h}:10:00") for k in range(3) for h in (0, 2 + k)], "key long, ts string").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # the series may be many
+    try:
+        found = metrics.absent(events, events, "key")
+        assert "_k#" not in found._jdf.queryExecution().toString()
+        assert {(r.key, r.start.hour) for r in found.collect()} == {(k, h) for k in range(3) for h in range(5) if h not in (0, 2 + k)}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "256k")
+    head = spark.createDataFrame([(0, "head")], "pos long, value string")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert sinks.rewrite_list(head, spark.range(1000).selectExpr("id pos", "'v' || id value"), 1001, str(tmp_path / "list"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    parts = sorted((tmp_path / "list").glob("part-*"))
+    assert len(parts) > 1 and "".join(p.read_text() for p in parts).split() == ["head", *(f"v{k}" for k in range(1000))]

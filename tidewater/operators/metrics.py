@@ -92,9 +92,8 @@ def absent(expected: DataFrame, events: DataFrame, series: str, ts: str = "ts",
     """(series, start) of the windows in which an expected series has no event; windows run over the log's whole span."""
     seconds = events.sparkSession.sql(f"SELECT CAST(unix_seconds(TIMESTAMP '1970-01-01' + INTERVAL {width}) AS BIGINT)").first()[0]
     span = events.agg(F.floor(F.unix_seconds(F.min(ts).cast("timestamp")) / seconds).alias("lo"), F.floor(F.unix_seconds(F.max(ts).cast("timestamp")) / seconds).alias("hi"))
-    slots = span.select(F.explode(F.sequence("lo", "hi")).alias("slot"))
     seen = events.select(series, F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / seconds).alias("slot")).distinct()
-    # one row per expected series, a short list that the caller gives, and window
-    grid = expected.select(series).distinct().withColumn("_k", F.lit(1)).join(slots.withColumn("_k", F.lit(1)), "_k").drop("_k")
+    # one row per expected series and window, made where the series lie: span is one row
+    grid = expected.select(series).distinct().crossJoin(F.broadcast(span)).select(series, F.explode(F.sequence("lo", "hi")).alias("slot"))
     return grid.join(seen, [series, "slot"], "left_anti").select(series, F.timestamp_seconds(F.col("slot") * seconds).cast("timestamp_ntz").alias("start"))
 

@@ -36,11 +36,11 @@ def import_videos(videos: DataFrame, path: str, formats: str | None = None) -> N
 
 
 def rewrite_list(header: DataFrame, entries: DataFrame, n_before: int, path: str) -> bool:
-    """Write header and entries as one text file, only when entries were dropped; a list is small, so one task writes it in order."""
+    """Write header and entries as text, only when entries were dropped: ordered ranges, one part file each, in the order of their names."""
     if entries.count() >= n_before:
         return False
     ordered = header.select("pos", "value").withColumn("_part", F.lit(0)).unionByName(entries.select("pos", "value").withColumn("_part", F.lit(1)))
-    ordered.orderBy("_part", "pos").select("value").coalesce(1).write.mode("overwrite").text(path)
+    ordered.orderBy("_part", "pos").select("value").write.mode("overwrite").text(path)
     return True
 
 
