@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a new temporary one where that is unset (tests)."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or the one given to setCheckpointDir()."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
-        found = jdir.get() if jdir.isDefined() else "file://" + tempfile.mkdtemp(prefix="spark-shared-")
-        spark.conf.set("spark.checkpoint.dir", found)
+        given = spark.sparkContext._jsc.sc().getCheckpointDir()
+        if not given.isDefined():
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        found = given.get()
     return found.rstrip("/")
 
 
@@ -30,3 +34,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 def in_split(id_col: str, modulus: int, remainder: int):
     """Whether crc32 of the id as text leaves the remainder; false for a null id."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % modulus == remainder, F.lit(False))
+
+
+def by_characters(batches: Iterator[pa.RecordBatch], column: int, most: int) -> Iterator[pa.RecordBatch]:
+    """The batches cut so that the texts in column have at most so many characters together, or are one text: a task holds
+    no more of them as Python values at a time, however many rows a batch has."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.utf8_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        at, ends = 0, np.cumsum(sizes)
+        while at < batch.num_rows:
+            held = ends[at - 1] if at else 0
+            to = max(at + 1, int(np.searchsorted(ends, held + most, side="right")))
+            yield batch.slice(at, to - at)
+            at = to

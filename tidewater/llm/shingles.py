@@ -15,6 +15,14 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def mix_int(x: int) -> int:
+    """mix() of one Python integer, modulo 2 ** 64."""
+    x &= 0xFFFFFFFFFFFFFFFF
+    x = (x ^ (x >> 30)) * 0xBF58476D1CE4E5B9 & 0xFFFFFFFFFFFFFFFF
+    x = (x ^ (x >> 27)) * 0x94D049BB133111EB & 0xFFFFFFFFFFFFFFFF
+    return x ^ (x >> 31)
+
+
 def word_hashes(text: str | None) -> np.ndarray:
     """Hash of every word: A-Z lower-cased, words are runs of bytes other than blank and 0x09 to 0x0D."""
     words = (text or "").encode("utf-8", "replace").lower().split()
