@@ -28,10 +28,20 @@ def test_exact_dedup_cases(spark):
     assert got[5, sha("a")].kept and got[7, sha("")].kept and not got[2, sha("")].kept
     assert got[9, sha("b")].kept and not got[None, sha("b")].kept and got[None, sha("c")].kept
     kept = exact_dedup.drop_exact_copies(df)
-    assert kept.columns == df.columns and sorted((r.doc_id or 0, r.text) for r in kept.collect()) == sorted([(5, "a"), (7, None), (9, "b"), (0, "c"), (4, "long " * 5000), (4, "long " * 5000)], key=lambda x: (x[0], x[1] or ""))
+    assert kept.columns == df.columns and sorted((r.doc_id or 0, r.text) for r in kept.collect()) == sorted([(5, "a"), (7, None), (9, "b"), (0, "c"), (4, "long " * 5000)], key=lambda x: (x[0], x[1] or ""))
+    assert exact_dedup.drop_exact_copies(df.limit(0)).count() == 0
+    maps = df.selectExpr("doc_id", "text", "map('a', text) AS m", "1 AS _x_row")
+    assert exact_dedup.drop_exact_copies(maps).count() == 5 and exact_dedup.drop_exact_copies(maps, normalize=F.upper).columns == maps.columns
     assert exact_dedup.exact_dedup(df.limit(0)).count() == 0
 
 
+def test_hot_groups_are_matched_by_broadcast(spark):
+    df = spark.range(6000).selectExpr("id AS doc_id", "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 3 = 1 THEN concat('pair', id div 6) ELSE concat('own', id) END AS text")
+    got = {(r.group_size, r.n, r.kept) for r in exact_dedup.exact_dedup(df).selectExpr("group_size", "kept").groupBy("group_size").agg(F.count("*").alias("n"), F.sum(F.col("kept").cast("int")).alias("kept")).collect()}
+    assert got == {(2000, 2000, 1), (2, 2000, 1000), (1, 2000, 2000)}
+    assert exact_dedup.drop_exact_copies(df).count() == 3001
+
+
 def test_texts_under_one_digest_stay_apart(spark, monkeypatch):
     monkeypatch.setattr(exact_dedup.F, "sha2", lambda c, n: F.lit("same"))
     df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a"), (4, "c")], "doc_id long, text string")
