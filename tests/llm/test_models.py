@@ -4,11 +4,13 @@ import math
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
 
 from tidewater.llm import lm, quality, queries, toxicity
+from tidewater.llm.shingles import mix_int
 
 LABELLED = "/root/testdata/sf0.1"
 
@@ -64,12 +66,61 @@ def test_lm_edge_cases(spark):
     assert all(math.isfinite(r.score) for r in lm.score_texts(df, F.lit(False)).collect())
 
 
-def test_lm_probabilities_sum_to_one():
-    import numpy as np
-
-    rng = np.random.default_rng(0)
-    w = rng.normal(size=(lm.ROWS, lm.CLASSES)).astype(np.float32)
-    codes = lm.Codes([b"the", b"of"]).of([b"the", b"x", b"of", b"zz", lm.END])
-    y, f = lm.features([codes])
-    _, p = lm.class_log_probs(w, y, f)
-    assert np.allclose(p.sum(1), 1, atol=1e-5) and y[0] == 1 and y[2] == 2 and y[-1] == 0
+M64 = 2**64 - 1
+
+
+def word_hash(word):
+    n = len(word)
+    head, tail = int.from_bytes(word[:8], "little"), int.from_bytes(word[-8:], "little") if n > 8 else 0
+    return mix_int(mix_int(head + n * int(lm._Q) & M64) ^ (tail * int(lm._P) & M64)) if word else 0
+
+
+def member_of(word, singles):
+    if word == lm.END:
+        return 0
+    return singles.index(word) + 1 if word in singles else 1 + lm.SINGLES + zlib.crc32(word[-2:]) % lm.ENDINGS
+
+
+def chances(w, history, singles):
+    """Probability of every member after the three words of history (the last word first), by the definition, feature by feature."""
+    m, h = [member_of(x, singles) for x in history], [word_hash(x) & 0xFFFFFFFF for x in history]
+    raw = [h[0] * 4 + 1, h[1] * 4 + 2, (m[0] * lm.MEMBERS + m[1]) * 4 + 3, (m[0] * lm.MEMBERS + m[2]) * 4]
+    raw = [r * int(lm._P) & M64 for r in raw]
+    row = lambda x: 1 + lm.CLASSES + ((x >> 32) * (lm.ROWS - 1 - lm.CLASSES) >> 32)
+
+    def softmax(rows):
+        z = w[rows].astype(np.float64).sum(0)
+        return np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+
+    first = softmax([0, *map(row, raw)])
+    inside = [softmax([1 + c, *(row(mix_int(r ^ ((c + 1) * int(lm._Q) & M64))) for r in raw)]) for c in range(lm.CLASSES)]
+    return np.concatenate([first[c] * inside[c] for c in range(lm.CLASSES)])
+
+
+def test_lm_score_against_brute_force(spark, monkeypatch):
+    seen = {}
+    fit = lm._fit
+
+    def spy(blocks, singles, start):
+        seen.update(singles=singles, w=fit(blocks, singles, start))
+        return seen["w"]
+
+    monkeypatch.setattr(lm, "_fit", spy)
+    docs = [(r.doc_id, r.text[:700]) for r in spark.read.parquet(f"{SMALL}/documents.parquet").orderBy("doc_id").limit(60).collect()] + [(900, None), (901, "a-word-of-more-than-sixteen-bytes é x")]
+    train = {i: i % 3 != 0 for i, _ in docs}
+    got = {r.doc_id: r.score for r in lm.score_texts(spark.createDataFrame(docs, "doc_id long, text string"), F.col("doc_id") % 3 != 0).collect()}
+    w, singles = seen["w"], seen["singles"]
+    assert np.abs(w).sum() > 0 and len(singles) == lm.SINGLES
+    count = Counter(t for i, text in docs if train[i] for t in lm.tokens(text))
+    size, kinds = Counter(), Counter()
+    for word, n in count.items():
+        size[member_of(word, singles)] += n
+        kinds[member_of(word, singles)] += 1
+    for i, text in docs[::6] + docs[-2:]:
+        words, total = [lm.END] * 3 + lm.tokens(text), 0.0
+        for k in range(3, len(words)):
+            p = chances(w, words[k - 3 : k][::-1], singles)
+            assert abs(p.sum() - 1) < 1e-6
+            m = member_of(words[k], singles)
+            total += math.log10(p[m]) + math.log10((count[words[k]] + 0.1) / (size[m] + 0.1 * (kinds[m] + 1)))
+        assert abs(got[i] - total) < 1e-3 * max(1, abs(total)), i
