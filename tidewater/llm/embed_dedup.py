@@ -1,16 +1,22 @@
 """Near-duplicate embeddings by spherical-cap filters from random product codes.
 
-A filter direction is one code word per block of the vector, so books of K words make K ** blocks directions without being
-written out. Every vector is list-decoded to all directions whose inner product with it exceeds a threshold; vectors that
-share a filter are compared in double precision. The number of filters grows with the number of vectors, so the vectors
-per filter, and with them the candidates per vector, stay the same at every size. Equal vectors are one node.
+A filter direction is one code word per block of the randomly rotated vector, so books of K words make K ** blocks directions
+without being written out. Every vector is list-decoded to all directions whose inner product with it exceeds a threshold;
+vectors that share a filter are candidates and are verified in double precision. Directions grow with the vectors, so that a
+filter holds a fraction of a vector by chance. A rotation makes every vector look random to a code; threshold and number of
+codes therefore follow from the dimension and the number of vectors alone, and plan() finds them by simulation: so many codes
+that a pair exactly at the limit shares a filter with probability RECALL.
+
+Equal vectors are one node. A filter offers edges between its centre and its other members, then the pairs of members that are
+in different components still, so a family of copies makes no pairs. Links are counted inside components: a dense component is
+cut into chunks whose products are taken as matrices, a sparse one keeps to the pairs that share filters.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
-from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -19,86 +25,154 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .shared import materialize
+from .shingles import mix
 
 #: Aimed at, per code.
 FILTERS_PER_VECTOR = 8
-VECTORS_PER_FILTER = 6
+VECTORS_PER_FILTER = 0.25
+RECALL = 0.998
+#: Words of a book, and components of a block, from which on vectors are cut into one block more.
+WORDS, BLOCK = 16384, 4
+#: Of pairs at the limit that share a filter of one code, at least.
+SHARE = 0.2
+#: Pairs of vectors that plan() simulates.
+PAIRS = 192
+CHUNK = 1024
+#: Products of a matrix that cost as much as one pair of rows.
+PRODUCTS = 100
 SEED = 5
 
 
-def product_codes(count: int) -> int:
-    """Independent codes for so many vectors: one code serves some directions poorly, the more so the finer it is."""
-    return math.ceil(5 + 2.2 * math.log10(max(1, count)))
-
-
 class ProductCode:
-    """K ** blocks filter directions for vectors of one length."""
+    """words ** blocks filter directions for unit vectors of one length."""
 
     def __init__(self, number: int, dim: int, words: int, blocks: int):
         rng = np.random.default_rng([SEED, number, dim])
-        self.cuts = np.array_split(np.arange(dim), min(blocks, dim))
+        self.turn = np.linalg.qr(rng.standard_normal((dim, dim)))[0].astype(np.float32)
+        self.cuts = np.array_split(np.arange(dim), blocks)
         self.books = []
         for cut in self.cuts:
             book = rng.standard_normal((words, len(cut)))
-            self.books.append(book / np.linalg.norm(book, axis=1, keepdims=True))
-        share = min(0.5, FILTERS_PER_VECTOR / float(words) ** len(self.cuts))
-        self.threshold = NormalDist().inv_cdf(1 - share) * math.sqrt(len(self.cuts)) / math.sqrt(dim)
+            book /= np.linalg.norm(book, axis=1, keepdims=True) * math.sqrt(blocks)
+            self.books.append(book.T.astype(np.float32))
+
+    def decode(self, v: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(vector, direction, inner product) of all that exceed the threshold: block by block, branches are cut where even
+        the best words of the blocks to come could not reach it."""
+        v = v.astype(np.float32) @ self.turn
+        scores = [v[:, cut] @ book for cut, book in zip(self.cuts, self.books)]
+        best = np.array([s.max(1) for s in scores], np.float64)
+        ahead = best.sum(0) - np.cumsum(best, axis=0)
+        who, code, total = np.arange(len(v)), np.zeros(len(v), np.int64), np.zeros(len(v))
+        for s, top, rest in zip(scores, best, ahead):
+            of, word = np.nonzero(s >= (threshold - (best.sum(0) - top))[:, None])
+            value = s[of, word].astype(np.float64)
+            order = np.lexsort((-value, of))
+            of, word, value = of[order], word[order], value[order]
+            first = np.searchsorted(of, np.arange(len(v)))
+            key = 4.0 * of - value  # grows along the list: vector by vector, best word first
+            count = np.maximum(np.searchsorted(key, 4.0 * who - (threshold - total - rest[who]), side="right") - first[who], 0)
+            at = np.repeat(first[who], count) + np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+            who, code, total = np.repeat(who, count), np.repeat(code, count) * s.shape[1] + word[at], np.repeat(total, count) + value[at]
+        return who, code, total
+
+
+@functools.lru_cache(maxsize=64)
+def plan(dim: int, count: int, least: float) -> tuple[int, int, float, int]:
+    """(words, blocks, threshold, codes) for count vectors, from PAIRS simulated pairs of cosine least.
+
+    Directions are taken coarser where caps would be so small that such pairs seldom share one: in few dimensions, where the
+    links themselves are many.
+    """
+    rng = np.random.default_rng([SEED, dim])
+    u = rng.standard_normal((PAIRS, dim))
+    u /= np.linalg.norm(u, axis=1, keepdims=True)
+    w = rng.standard_normal((PAIRS, dim))
+    w -= (w * u).sum(1, keepdims=True) * u
+    norm = np.linalg.norm(w, axis=1, keepdims=True)
+    v = least * u + math.sqrt(max(0.0, 1 - least * least)) * np.divide(w, norm, out=np.zeros_like(w), where=norm > 1e-9)
+    wanted = max(64.0, count * FILTERS_PER_VECTOR / VECTORS_PER_FILTER)
+    while True:
+        blocks = 1
+        if dim >= 2 * BLOCK:
+            blocks = 2
+            while wanted ** (1 / blocks) > WORDS and dim // (blocks + 1) >= BLOCK:
+                blocks += 1
+        words = math.ceil(min(wanted, WORDS) if blocks == 1 else wanted ** (1 / blocks))
+        code = ProductCode(0, dim, words, blocks)
+        aim = FILTERS_PER_VECTOR * PAIRS
+        threshold = sum(float(np.mean(np.max(u.astype(np.float32) @ code.turn[:, cut] @ book, axis=1))) for cut, book in zip(code.cuts, code.books))
+        while len(found := code.decode(u, threshold)[2]) < aim and threshold > 0:
+            threshold = threshold * 0.97 - 1e-4
+        threshold = float(np.sort(found)[-min(aim, len(found))])
+        met = 0
+        for number in range(1, 4):  # other codes than the one that set the threshold
+            code = ProductCode(2**31 - number, dim, words, blocks)
+            left, right = ({*zip(who.tolist(), direction.tolist())} for who, direction, _ in (code.decode(x, threshold) for x in (u, v)))
+            met += len({pair for pair, _ in left & right})
+        share = min(0.999, max(met, 1) / (3 * PAIRS))
+        if share >= SHARE or wanted <= 64:
+            return words, blocks, threshold, max(3, math.ceil(math.log(1 - RECALL) / math.log(1 - share)))
+        wanted = max(64.0, wanted / 8)
+
+
+@functools.lru_cache(maxsize=64)
+def codes(dim: int, count: int, least: float) -> tuple[list[ProductCode], float]:
+    words, blocks, threshold, many = plan(dim, count, least)
+    return [ProductCode(k, dim, words, blocks) for k in range(many)], threshold
+
 
-    def decode(self, v: np.ndarray) -> np.ndarray:
-        """Numbers of all directions that exceed the threshold for the unit vector v: branches are cut where even the
-        best words of the blocks to come could not reach it."""
-        scores = [book @ v[cut] for book, cut in zip(self.books, self.cuts)]
-        ahead = np.append(np.cumsum([s.max() for s in scores][::-1])[::-1], 0.0)
-        code, total = np.zeros(1, np.int64), np.zeros(1)
-        for b, s in enumerate(scores):
-            order = np.argsort(-s)
-            count = np.searchsorted(-s[order], total + ahead[b + 1] - self.threshold, side="right")
-            first = np.repeat(np.cumsum(count) - count, count)
-            word = order[np.arange(len(first)) - first]
-            code = np.repeat(code, count) * len(s) + word
-            total = np.repeat(total, count) + s[word]
-        return code
+def filters(v: np.ndarray, count: int, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """(vector, filter key) of unit vectors of one length among count vectors."""
+    own, threshold = codes(v.shape[1], count, least)
+    who, keys = [], []
+    for k, code in enumerate(own):
+        i, direction, _ = code.decode(v, threshold)
+        who.append(i)
+        keys.append(mix(direction.astype(np.uint64) * np.uint64(2 * len(own) + 1) + np.uint64(k) ^ np.uint64(v.shape[1]) << np.uint64(48)).view(np.int64))
+    return np.concatenate(who), np.concatenate(keys)
 
 
-def _double(raw: bytes, kind: str) -> np.ndarray:
-    return np.frombuffer(raw, kind).astype(np.float64)
+def _doubles(raws: list[bytes], kind: str) -> np.ndarray:
+    return np.frombuffer(b"".join(raws), kind).astype(np.float64)
 
 
-def _entries(nodes: DataFrame, words: int, blocks: int, codes_n: int, kind: str) -> DataFrame:
-    """(filter, node, vec) for every filter that a node's vector exceeds."""
+def _entries(nodes: DataFrame, count: int, least: float, kind: str) -> DataFrame:
+    """(filter, node) for every filter that a node's vector exceeds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes: dict[int, list[ProductCode]] = {}
         for batch in batches:
-            keys, ids, vecs = [], [], []
-            for node, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                v = _double(raw, kind)
-                v /= np.sqrt(v @ v)
-                own = codes.get(len(v)) or codes.setdefault(len(v), [ProductCode(k, len(v), words, blocks) for k in range(codes_n)])
-                found = np.concatenate([code.decode(v) * codes_n + k for k, code in enumerate(own)])
-                keys.append(found)
-                ids += [node] * len(found)
-                vecs += [raw] * len(found)
-            flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(flat), pa.array(ids, batch.schema.field(0).type), pa.array(vecs, pa.binary())], names=["filter", "node", "vec"])
-
-    return nodes.select("node", "vec").mapInArrow(run, f"filter bigint, node {nodes.schema['node'].dataType.simpleString()}, vec binary")
-
-
-def _verified(pairs: DataFrame, least: float, kind: str) -> DataFrame:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                raws = part.column(1).to_pylist()
+                sizes = np.fromiter(map(len, raws), np.int64, len(raws))
+                for size in np.unique(sizes).tolist():
+                    rows = np.flatnonzero(sizes == size)
+                    v = _doubles([raws[i] for i in rows.tolist()], kind).reshape(len(rows), -1)
+                    who, keys = filters(v / np.linalg.norm(v, axis=1, keepdims=True), count, least)
+                    yield pa.RecordBatch.from_arrays([pa.array(keys), part.column(0).take(pa.array(rows[who]))], names=["filter", "node"])
+
+    return nodes.select("node", "vec").mapInArrow(run, f"filter bigint, node {nodes.schema['node'].dataType.simpleString()}")
+
+
+def _verified(pairs: DataFrame, nodes: DataFrame, least: float, kind: str) -> DataFrame:
+    """The pairs (a, b) of nodes of one length with a cosine of at least least."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             near = np.zeros(0, bool)
             if batch.num_rows:
                 left = batch.column(2).to_pylist()
-                u, v = _double(b"".join(left), kind), _double(b"".join(batch.column(3).to_pylist()), kind)
+                u, v = _doubles(left, kind), _doubles(batch.column(3).to_pylist(), kind)
                 start = np.cumsum([0, *(len(x) for x in left[:-1])]) // np.dtype(kind).itemsize
                 dot, uu, vv = (np.add.reduceat(x, start) for x in (u * v, u * u, v * v))
                 near = dot >= least * np.sqrt(uu) * np.sqrt(vv)
             yield pa.RecordBatch.from_arrays([c.filter(pa.array(near)) for c in (batch.column(0), batch.column(1))], names=["a", "b"])
 
     of = pairs.schema["a"].dataType.simpleString()
-    return pairs.mapInArrow(run, f"a {of}, b {of}")
+    left, right = (nodes.select(F.col("node").alias(n), F.col("vec").alias(x)) for n, x in (("a", "u"), ("b", "v")))
+    both = pairs.join(left, "a").join(right, "b").filter(F.octet_length("u") == F.octet_length("v")).select("a", "b", "u", "v")
+    return both.mapInArrow(run, f"a {of}, b {of}")
 
 
 def _vectors(rows: DataFrame, kind: str) -> DataFrame:
@@ -113,12 +187,44 @@ def _vectors(rows: DataFrame, kind: str) -> DataFrame:
                 usable = top > 0 and np.isfinite(top)
                 if usable and kind == "<f8":
                     x = np.ldexp(x, -int(np.frexp(top)[1]))
-                out.append(x.astype(kind).tobytes() if usable else None)
+                out.append((x + 0.0).astype(kind).tobytes() if usable else None)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["_x_id", "vec"])
 
     return rows.mapInArrow(run, f"_x_id {rows.schema['_x_id'].dataType.simpleString()}, vec binary")
 
 
+def _chunk_products(named: DataFrame, sizes: DataFrame, least: float, kind: str) -> DataFrame:
+    """(node, others) of dense components: for every two chunks of one, the links of each member with the other chunk's copies."""
+    held = named.join(sizes.select("component", F.ceil(F.col("g") / CHUNK).cast("int").alias("chunks")), "component")
+    chunk = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
+    cells = materialize(
+        held.withColumn("chunk", chunk).groupBy("component", "chunks", "chunk").agg(F.collect_list(F.struct("node", "copies", "vec")).alias("m")), "embed-chunks"
+    )
+    left = cells.select("component", "chunk", F.col("m").alias("u"), F.explode(F.sequence("chunk", F.col("chunks") - 1)).alias("other"))
+    pairs = left.join(cells.select("component", F.col("chunk").alias("other"), F.col("m").alias("v")), ["component", "other"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def own(members) -> tuple[list, np.ndarray, np.ndarray]:
+            v = _doubles([m["vec"] for m in members], kind).reshape(len(members), -1)
+            return [m["node"] for m in members], np.array([m["copies"] for m in members], np.int64), v
+
+        for batch in batches:
+            for k in range(batch.num_rows):
+                (n, c, u), (o, d, v) = own(batch.column(0)[k].as_py()), own(batch.column(1)[k].as_py())
+                near = u @ v.T >= least * np.sqrt((u * u).sum(1))[:, None] * np.sqrt((v * v).sum(1))
+                if batch.column(2)[k].as_py():
+                    near[np.arange(len(n)), np.arange(len(n))] = False
+                    ids, others = n, near @ d
+                else:
+                    ids, others = n + o, np.concatenate([near @ d, c @ near])
+                yield pa.RecordBatch.from_arrays([pa.array(ids, type=of), pa.array(others.astype(np.int64))], names=["node", "others"])
+
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    of = to_arrow_type(named.schema["node"].dataType)
+    return pairs.select("u", "v", (F.col("chunk") == F.col("other")).alias("same")).mapInArrow(run, f"node {named.schema['node'].dataType.simpleString()}, others bigint")
+
+
 def near_duplicate_vectors(df: DataFrame, least: float = 0.95, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """One row per input row: id, n_links, component_id, kept. Linked: cosine similarity of at least `least`.
 
@@ -132,17 +238,44 @@ def near_duplicate_vectors(df: DataFrame, least: float = 0.95, id_col: str = "ve
     usable = rows.filter("vec is not null and _x_id is not null")
     nodes = materialize(usable.groupBy("vec").agg(F.min("_x_id").alias("node"), F.count(F.lit(1)).alias("copies")), "embed-nodes")
     count = nodes.count()
-    wanted = max(64.0, count * FILTERS_PER_VECTOR / VECTORS_PER_FILTER)
-    blocks = 2 if wanted <= 1 << 18 else 3
-    entries = _entries(nodes, max(2, math.ceil(wanted ** (1 / blocks))), blocks, product_codes(count), kind)
-    left = entries.select("filter", F.col("node").alias("a"), F.col("vec").alias("u"))
-    right = entries.select("filter", F.col("node").alias("b"), F.col("vec").alias("v"))
-    same = F.octet_length("u") == F.octet_length("v")
-    pairs = left.join(right, "filter").filter((F.col("a") < F.col("b")) & same).select("a", "b", "u", "v")
-    links = materialize(_verified(pairs, least, kind).distinct(), "embed-links")
-    both = links.union(links.select("b", "a"))
-    degree = both.join(nodes.select(F.col("node").alias("b"), "copies"), "b").groupBy(F.col("a").alias("node")).agg(F.sum("copies").alias("others"))
+    entries = materialize(_entries(nodes, count, least, kind), "embed-entries")
+    shared = entries.groupBy("filter").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    members = materialize(entries.join(shared, "filter"), "embed-members")
+    scores = members.groupBy("node").agg(F.sum("size").alias("score"))
+    centre = members.join(scores, "node").groupBy("filter").agg(F.max(F.struct("score", "node")).alias("c")).select("filter", F.col("c.node").alias("centre"))
+    spokes = materialize(members.join(centre, "filter").filter("node != centre"), "embed-spokes")
+    star = spokes.select(F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b")).distinct()
+    links = materialize(_verified(star, nodes, least, kind), "embed-links")
+
+    # what is left: members other than the centre that are in different components
     labels = components(links)
+    open_ = spokes.filter("size > 2").join(labels, "node", "left").select("filter", "node", F.coalesce("component", "node").alias("cell"))
+    cells = open_.select("filter", "cell").distinct()
+    two = cells.join(cells.select("filter", F.col("cell").alias("other")), "filter").filter("cell < other")
+    pairs = (
+        two.join(open_.select("filter", "cell", F.col("node").alias("x")), ["filter", "cell"])
+        .join(open_.select("filter", F.col("cell").alias("other"), F.col("node").alias("y")), ["filter", "other"])
+        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    )
+    links = links.unionByName(materialize(_verified(pairs, nodes, least, kind), "embed-links"))
+    labels = components(links)
+
+    # counts: in a component of g vectors g * g products of chunks, or the pairs that share a filter
+    named = materialize(nodes.join(labels, "node"), "embed-named")
+    within = members.join(labels, "node").groupBy("filter", "component").agg(F.count(F.lit(1)).alias("n"))
+    met = within.groupBy("component").agg(F.sum(F.col("n").cast("double") * F.col("n")).alias("met"))
+    sizes = named.groupBy("component").agg(F.count(F.lit(1)).alias("g")).join(met, "component", "left")
+    sizes = materialize(sizes.withColumn("dense", F.col("g").cast("double") * F.col("g") <= PRODUCTS * F.coalesce("met", F.lit(0.0)) + CHUNK * CHUNK), "embed-sizes")
+    counted = _chunk_products(named, sizes.filter("dense"), least, kind)
+    sparse = sizes.filter("not dense").select("component")
+    if not sparse.isEmpty():
+        own = members.join(named.join(sparse, "component").select("node", "component"), "node").select("filter", "component", "node")
+        met_pairs = own.withColumnRenamed("node", "a").join(own.withColumnRenamed("node", "b"), ["filter", "component"]).filter("a < b").select("a", "b").distinct()
+        linked = materialize(_verified(met_pairs, nodes, least, kind), "embed-links")
+        both = linked.union(linked.select("b", "a"))
+        counted = counted.unionByName(both.join(nodes.select(F.col("node").alias("b"), "copies"), "b").select(F.col("a").alias("node"), F.col("copies").alias("others")))
+    degree = counted.groupBy("node").agg(F.sum("others").alias("others"))
+
     known = nodes.join(degree, "node", "left").join(labels, "node", "left").select("vec", "node", "copies", "others", "component")
     own = F.when(F.col("node").isNull(), F.col("_x_id")).otherwise(F.coalesce("component", "node"))
     component = F.when(F.col("_x_id").isNotNull(), own)
