@@ -89,6 +89,35 @@ def test_minhash_family_without_origin(spark):
     assert {r.doc_id: r.component_id for r in got} == want
 
 
+def test_minhash_large_family_at_the_limit(spark):
+    """520 documents that all share buckets, each with 6 words of its own, and some twins that differ from one of them in 5
+    more: of 135,000 pairs only the planted ones link. Members also share edits with each other, as templates do."""
+    rng = np.random.default_rng(12)
+    base, docs = [f"w{k}" for k in range(220)], []
+    for i in range(500):
+        own = list(base)
+        for at in rng.choice(220, 6, replace=False):
+            own[at] = f"n{i}_{at}" if at % 3 else f"slot{at}_{i % 7}"
+        docs.append((i, " ".join(own)))
+        if i % 25 == 7:
+            for at in rng.choice(220, 5, replace=False):
+                own[at] = f"p{i}_{at}"
+            docs.append((1000 + i, " ".join(own)))
+    sets = {i: shingles(t, 3) for i, t in docs}
+    links = [(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])]
+    want = groups(list(sets), links)
+    assert 15 <= len(links) and len(set(want.values())) > 300
+    got = minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), 3, 85).collect()
+    assert {r.doc_id: r.component_id for r in got} == want
+
+
+def test_minhash_repeated_ids_with_other_texts(spark):
+    words = [f"w{k}" for k in range(60)]
+    rows = [(5, " ".join(words)), (5, "something else"), (9, " ".join(words) + " end"), (12, "something else"), (20, "alone here now")]
+    got = {(r.doc_id, r.n_shingles, r.component_id) for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85).collect()}
+    assert got == {(5, 58, 5), (5, 1, 5), (9, 59, 5), (12, 1, 5), (20, 1, 20)}
+
+
 def test_embeddings(spark):
     rng = np.random.default_rng(3)
     base = rng.normal(size=(40, 16))

@@ -3,11 +3,9 @@
 Documents with equal shingle sets are one node. Every node's sketch is cut into bands; nodes that share a band meet in a
 bucket. A bucket offers only edges between its centre and its other members, so pairs grow with the members; the centre is
 the member that meets the most others over all its buckets, which in a family of copies is the common origin. Each
-candidate is confirmed on the full shingle sets:
-1. every node with the centre it shares most bands with,
-2. the other star edges whose ends are not connected yet,
-3. in every bucket all pairs of other members that are not connected: they are candidates where they share a rare enough
-   part of their differences from the centre, which every link must (see _remainder), so no pair of a bucket is left out.
+candidate is confirmed on the full shingle sets. Then the members of each centre that are in different components still are
+decided exactly: a link must share enough of what its ends differ from their centre, and only members and pairs for which
+the counts of such parts leave that open become candidates (see _remainder), so no pair of a bucket is left out.
 """
 
 from __future__ import annotations
@@ -25,6 +23,8 @@ from .shared import materialize
 from .shingles import OnePermutation, shingle_set
 
 BANDS, ROWS = 40, 6
+#: Of counts that are alike for a bound, by centre.
+LEVELS = 32
 
 
 def _lists(arrays: list[np.ndarray]) -> pa.Array:
@@ -59,12 +59,6 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
     return docs.mapInArrow(run, f"node {docs.schema['_x_id'].dataType.simpleString()}, set array<bigint>")
 
 
-def _star(members: DataFrame) -> DataFrame:
-    """members (key, node, score) as star edges (a: centre, b: member, n: shared buckets)."""
-    centre = members.groupBy("key").agg(F.max(F.struct("score", "node")).alias("_c")).select("key", F.col("_c.node").alias("a"))
-    return members.join(centre, "key").filter("a != node").groupBy("a", F.col("node").alias("b")).agg(F.count(F.lit(1)).alias("n"))
-
-
 def _confirm(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The edges (a, b) whose full sets have 100 * intersection >= percent * union."""
     left = sets.select(F.col("node").alias("a"), F.col("set").alias("_sa"))
@@ -78,34 +72,51 @@ def _confirm(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _remainder(group: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Candidates (a, b) among the members of each centre that are not connected: every link is among them.
+    """Candidates (a, b) among the members of each centre that are in different components: every link is among them.
 
     group: centre, centre_size, node, sized, component, far (not connected to the centre). D is the symmetric difference of
     a member and its centre. Sets x and y link exactly when 2 * (100 + percent) * |Dx & Dy| >= E(x) + E(y), where
-    E = (100 + percent) * |D| - (100 - percent) * size. As a far member does not link with the centre, its E exceeds
-    (100 - percent) * centre_size, so a link always shares a part of D, and the first shared token, rarest tokens first,
-    has enough tokens from its place on in both. What a whole family has in common is in no D or comes last in it.
+    E = (100 + percent) * |D| - (100 - percent) * size. Only tokens that occur in several D of a centre can be in Dx & Dy;
+    with r of them taken from the centre and x added to it, |Dx & Dy| <= min(rx, ry) + min(xx, xy). A member for which no
+    other of its centre satisfies this bound is out; the others meet on the first tokens, rarest first, from whose place on
+    there are enough in both. As a far member does not link with the centre, its E exceeds (100 - percent) * centre_size.
     """
     plus, minus = 100 + percent, 100 - percent
-    d = F.concat(F.array_except("_sb", "_sa"), F.array_except("_sa", "_sb"))
     diffs = materialize(
         group.join(sets.select("node", F.col("set").alias("_sb")), "node").join(sets.select(F.col("node").alias("centre"), F.col("set").alias("_sa")), "centre")
-        .select("centre", "centre_size", "node", "sized", "component", "far", d.alias("d")).withColumn("e", plus * F.size("d") - minus * F.col("sized")),
+        .select("centre", "centre_size", "node", "sized", "component", "far", F.array_except("_sa", "_sb").alias("gone"), F.array_except("_sb", "_sa").alias("more"))
+        .withColumn("e", plus * (F.size("gone") + F.size("more")) - minus * F.col("sized")),
         "minhash-differences",
     )
-    tokens = diffs.select("centre", "node", F.explode("d").alias("token"))
+    tokens = diffs.select("centre", "node", F.explode("gone").alias("token"), F.lit(0).alias("added")).union(diffs.select("centre", "node", F.explode("more").alias("token"), F.lit(1).alias("added")))
     often = tokens.groupBy("centre", "token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    ranked = tokens.join(often, ["centre", "token"], "left").groupBy("centre", "node").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("n", F.lit(1)).alias("n"), "token"))).alias("r"))
-    placed = diffs.drop("d").join(ranked, ["centre", "node"]).select(*[c for c in diffs.columns if c != "d"], F.size("r").alias("_size"), F.posexplode("r").alias("_at", "_r"))
+    ranked = (
+        tokens.join(often, ["centre", "token"]).groupBy("centre", "node")
+        .agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("tokens"), F.sum("added").alias("x"), F.sum(1 - F.col("added")).alias("r"))
+    )
+    known = materialize(diffs.drop("gone", "more").join(ranked, ["centre", "node"]), "minhash-ranked")
+
+    def profiles(rows: DataFrame, name: str) -> DataFrame:
+        """By centre, what its members can reach at best: at most LEVELS squared cells of members alike."""
+        cell = [F.least(F.floor(F.col(c) * LEVELS / F.col("centre_size")), F.lit(LEVELS - 1)) for c in ("r", "x")]
+        cells = rows.groupBy("centre", *cell).agg(F.max("r").alias("r"), F.max("x").alias("x"), F.min("e").alias("e"))
+        return cells.groupBy("centre").agg(F.collect_list(F.struct("r", "x", "e")).alias(name))
+
+    def may_link(with_: str):
+        return F.exists(with_, lambda p: 2 * plus * (F.least("r", p["r"]) + F.least("x", p["x"])) >= F.col("e") + p["e"])
+
+    far = known.filter("far")
+    known = known.join(profiles(known, "_all"), "centre").join(profiles(far, "_far"), "centre").filter(F.when(F.col("far"), may_link("_all")).otherwise(may_link("_far"))).drop("_all", "_far")
+    placed = known.select(*[c for c in known.columns if c != "tokens"], F.size("tokens").alias("_size"), F.posexplode("tokens").alias("_at", "_r"))
     placed = placed.withColumn("reach", 2 * plus * (F.col("_size") - F.col("_at"))).withColumn("short", F.col("reach") >= F.col("e") + minus * F.col("centre_size"))
     least = F.col("e") + 2 * percent - minus * F.col("centre_size")  # the partner is linked with the centre and differs from it
-    placed = placed.filter("_r.n > 1").filter(F.col("short") | (F.col("far") & (F.col("reach") >= least)))
-    placed = materialize(placed.select("centre", F.col("_r.token").alias("token"), "node", "sized", "component", "far", "e", "reach", "short"), "minhash-prefixes")
+    placed = placed.filter(F.col("short") | (F.col("far") & (F.col("reach") >= least)))
+    placed = materialize(placed.select("centre", F.col("_r.token").alias("token"), "node", "sized", "component", "far", "e", "r", "x", "reach", "short"), "minhash-prefixes")
 
     def meet(left: DataFrame, right: DataFrame) -> DataFrame:
-        right = right.select("centre", "token", *[F.col(c).alias("_" + c) for c in ("node", "sized", "component", "e", "reach")])
+        right = right.select("centre", "token", *[F.col(c).alias("_" + c) for c in ("node", "sized", "component", "e", "r", "x", "reach")])
         fit = F.least("sized", "_sized") * 100 >= F.greatest("sized", "_sized") * percent
-        enough = F.least("reach", "_reach") >= F.col("e") + F.col("_e")
+        enough = F.least(F.col("reach"), F.col("_reach"), 2 * plus * (F.least("r", "_r") + F.least("x", "_x"))) >= F.col("e") + F.col("_e")
         return left.join(right, ["centre", "token"]).filter((F.col("component") != F.col("_component")) & fit & enough).select(F.least("node", "_node").alias("a"), F.greatest("node", "_node").alias("b"))
 
     far = placed.filter("far")
@@ -126,7 +137,7 @@ def near_duplicates(
 
     component_id is the least id reachable over links, the row's own id included; kept means both are equal. Defined
     cases: null or empty texts and texts without words have no shingle, link with nothing and stay; a null id has a null
-    component and kept = false; rows that repeat an id are one node; an empty table gives an empty result; other columns
+    component and kept = false; rows that repeat an id are one node, which links with whatever one of its texts links with; an empty table gives an empty result; other columns
     of df are ignored, whatever their names.
     """
     docs = df.select(F.col(id_col).alias("_x_id"), F.col(text_col).cast("string").alias("_x_text"))
@@ -145,25 +156,21 @@ def near_duplicates(
     involved = scores.select(F.col("node").alias("_x_id"))
     sets = materialize(_sets(docs.join(involved, "_x_id", "left_semi"), width), "minhash-sets")
 
-    best = materialize(_star(members).groupBy("b").agg(F.max(F.struct("n", "a")).alias("_m")).select(F.col("_m.a").alias("a"), "b"), "minhash-edges")
-    links = materialize(_confirm(best, sets, percent), "minhash-links")
     hub = members.groupBy("key").agg(F.max(F.struct("score", "node", "sized")).alias("_c")).select("key", F.col("_c.node").alias("centre"), F.col("_c.sized").alias("centre_size"))
-    spokes = materialize(members.join(hub, "key").filter("node != centre").select("key", "centre", "centre_size", "node", "sized"), "minhash-spokes")
-
-    def named_spokes(labels: DataFrame) -> DataFrame:
-        own, its = labels.select("node", F.col("component").alias("_own")), labels.select(F.col("node").alias("centre"), F.col("component").alias("_its"))
-        found = spokes.join(own, "node", "left").join(its, "centre", "left").withColumn("component", F.coalesce("_own", "node"))
-        return found.withColumn("far", F.col("component") != F.coalesce("_its", "centre")).drop("_own", "_its")
-
+    spokes = materialize(members.join(hub, "key").filter("node != centre").select("centre", "centre_size", "node", "sized").distinct(), "minhash-spokes")
     # sets whose sizes differ too much cannot be similar
     fit = F.least("sized", "centre_size") * 100 >= F.greatest("sized", "centre_size") * percent
-    others = named_spokes(components(links)).filter(F.col("far") & fit).select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
-    links = links.union(materialize(_confirm(others.join(best, ["a", "b"], "left_anti"), sets, percent), "minhash-links"))
-    named = materialize(named_spokes(components(links)), "minhash-spokes")
-    open_keys = named.groupBy("key").agg(F.min("component").alias("_l"), F.max("component").alias("_h")).filter("_l != _h").select("key")
-    group = materialize(named.join(open_keys, "key", "left_semi").drop("key").distinct(), "minhash-open")
-    rest = materialize(_remainder(group, sets, percent), "minhash-edges")
-    labels = components(links.union(materialize(_confirm(rest, sets, percent), "minhash-links")))
+    links = materialize(_confirm(spokes.filter(fit).select(F.col("centre").alias("a"), F.col("node").alias("b")), sets, percent), "minhash-links")
+    labels = components(links)
+
+    own, its = labels.select("node", F.col("component").alias("_own")), labels.select(F.col("node").alias("centre"), F.col("component").alias("_its"))
+    named = spokes.join(own, "node", "left").join(its, "centre", "left").withColumn("component", F.coalesce("_own", "node"))
+    named = materialize(named.withColumn("far", F.col("component") != F.coalesce("_its", "centre")).drop("_own", "_its"), "minhash-named")
+    open_ = named.groupBy("centre").agg(F.min("component").alias("_l"), F.max("component").alias("_h")).filter("_l != _h").select("centre")
+    rest = materialize(_remainder(named.join(open_, "centre", "left_semi"), sets, percent), "minhash-edges")
+    more = materialize(_confirm(rest, sets, percent), "minhash-links")
+    if not more.isEmpty():
+        labels = components(links.union(more))
     named = nodes.join(labels, "node", "left")
     component = F.when(F.col("_x_id").isNotNull(), F.coalesce("component", "node", "_x_id"))
     return named.select(F.col("_x_id").alias(id_col), "n_shingles", component.alias("component_id"), F.coalesce(F.col("_x_id") == component, F.lit(False)).alias("kept"))
