@@ -1,8 +1,9 @@
 """Shards by extendible hashing: a directory over hash-prefix bits in which only oversized buckets split further.
 
-The directory is built from byte sums of small hash cells, never from the documents themselves: all prefixes of a
-cell are summed at once and a cell belongs to its shortest prefix that fits. Cells that do not fit at the current
-width go on with more bits. Once the key's 60 bits are used, rows that share a key are told apart by a row hash.
+The directory is built from byte sums of small hash cells, never from the documents themselves: sums go up the prefix tree
+STRIDE bits at a time, and a shard is a prefix that fits while its parent does not. Cells that do not fit at the current
+width go on with more bits. Once the key's 60 bits are used, rows that share a key are told apart by a row hash. Sums,
+directory and documents meet in sorted joins, since all of them grow with the corpus.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ from pyspark.sql import functions as F
 from .shared import materialize
 
 HASH_BITS = 60
+#: Levels of the prefix tree that one aggregation sums.
+STRIDE = 4
 
 
 def _hash60(text):
@@ -43,35 +46,44 @@ def _split(rows: DataFrame, limit: int, last: bool, tag: str) -> tuple[DataFrame
             ),
             f"shard-cells-{tag}",
         )
-        spread = cells.select(
-            "_x_path", "_x_cell", "_x_bytes", "_x_rows", F.explode(F.sequence(F.lit(start), F.lit(end))).alias("_x_depth")
-        ).withColumn("_x_prefix", F.expr(f"shiftright(_x_cell, {end} - _x_depth)"))
-        sums = spread.groupBy("_x_path", "_x_depth", "_x_prefix").agg(
-            F.sum("_x_bytes").alias("shard_bytes"), F.sum("_x_rows").alias("shard_rows")
-        )
+        sums = cells.select("_x_path", F.lit(end).alias("_x_depth"), F.col("_x_cell").alias("_x_prefix"), F.col("_x_bytes").alias("shard_bytes"), F.col("_x_rows").alias("shard_rows"))
+        top = sums
+        for high in range(end, start, -STRIDE):
+            low = max(start, high - STRIDE)
+            spread = top.withColumn("_x_up", F.explode(F.sequence(F.lit(1), F.lit(high - low))))
+            up = spread.select("_x_path", (high - F.col("_x_up")).alias("_x_depth"), F.expr("shiftright(_x_prefix, _x_up)").alias("_x_prefix"), "shard_bytes", "shard_rows")
+            up = up.groupBy("_x_path", "_x_depth", "_x_prefix").agg(F.sum("shard_bytes").alias("shard_bytes"), F.sum("shard_rows").alias("shard_rows"))
+            up = materialize(up, f"shard-sums-{tag}")
+            sums, top = sums.unionByName(up), up.filter(F.col("_x_depth") == low)
         fits = F.col("shard_bytes") <= limit
         if last and end == HASH_BITS:  # single rows above the limit stay alone
             fits = fits | (F.col("_x_depth") == HASH_BITS)
+        full = sums.filter(~(F.col("shard_bytes") <= limit)).select("_x_path", (F.col("_x_depth") + 1).alias("_x_depth"), F.col("_x_prefix").alias("_x_parent"))
+        leaves = (
+            sums.filter(fits).withColumn("_x_parent", F.shiftright("_x_prefix", 1)).join(full.hint("merge"), ["_x_path", "_x_depth", "_x_parent"], "left_semi")
+            .unionByName(sums.filter(fits & (F.col("_x_depth") == start)).withColumn("_x_parent", F.shiftright("_x_prefix", 1)))
+            if end > start else sums.filter(fits)
+        )
+        width = F.expr(f"{end} - _x_depth")
+        first, after = (F.call_function("shiftleft", c, width) for c in (F.col("_x_prefix"), F.col("_x_prefix") + 1))
         directory = materialize(
-            spread.select("_x_path", "_x_cell", "_x_depth", "_x_prefix")
-            .join(sums.filter(fits), ["_x_path", "_x_depth", "_x_prefix"])
-            .groupBy("_x_path", "_x_cell")
-            .agg(F.min(F.struct("_x_depth", "_x_prefix", "shard_bytes", "shard_rows")).alias("_x_leaf")),
+            leaves.withColumn("_x_leaf", F.struct("_x_depth", "_x_prefix", "shard_bytes", "shard_rows"))
+            .select("_x_path", F.explode(F.sequence(first, after - 1)).alias("_x_cell"), "_x_leaf"),
             f"shard-directory-{tag}",
         )
         keyed = pending.withColumn("_x_cell", _prefix(F.col("_x_h"), end))
         done.append(
-            keyed.join(directory, ["_x_path", "_x_cell"]).select(
+            keyed.join(directory.hint("merge"), ["_x_path", "_x_cell"]).select(
                 *[c for c in pending.columns if c != "_x_path"],
                 F.concat("_x_path", _bits_text(F.col("_x_leaf._x_prefix"), F.col("_x_leaf._x_depth"))).alias("shard_id"),
                 F.col("_x_leaf._x_depth").alias("depth"), F.col("_x_leaf.shard_bytes").alias("shard_bytes"), F.col("_x_leaf.shard_rows").alias("shard_rows"),
             )
         )
-        left = cells.join(directory, ["_x_path", "_x_cell"], "left_anti")
+        left = cells.join(directory.hint("merge"), ["_x_path", "_x_cell"], "left_anti")
         if left.isEmpty():
             rest = None
             break
-        pending = keyed.join(left.select("_x_path", "_x_cell"), ["_x_path", "_x_cell"], "left_semi").drop("_x_cell").select(*rows.columns)
+        pending = keyed.join(left.select("_x_path", "_x_cell").hint("merge"), ["_x_path", "_x_cell"], "left_semi").drop("_x_cell").select(*rows.columns)
         if end == HASH_BITS:
             rest = pending
             break
