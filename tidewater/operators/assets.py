@@ -35,8 +35,13 @@ def is_bare_id(name: Column) -> Column:
 
 def superseded(base: DataFrame, uploaded: DataFrame) -> DataFrame:
     """Base rows with an uploaded copy of equal or higher rank that is not older."""
-    u = uploaded.select("ident", F.col("prefix_rank").alias("_r"), F.col("mtime").alias("_m"))
-    return base.join(u, (base["ident"] == u["ident"]) & (F.col("_r") >= base["prefix_rank"]) & (F.col("_m") >= base["mtime"]), "left_semi")
+    return base.join(*_covered(base, uploaded), "left_semi")
+
+
+def _covered(base: DataFrame, uploaded: DataFrame) -> tuple[DataFrame, Column]:
+    """The newest uploaded copy of every identifier and rank, one row each, and when it covers a base row."""
+    u = uploaded.groupBy("ident", F.col("prefix_rank").alias("_r")).agg(F.max("mtime").alias("_m"))
+    return u, (base["ident"] == u["ident"]) & (F.col("_r") >= base["prefix_rank"]) & (F.col("_m") >= base["mtime"])
 
 
 def newer_uploaded(base: DataFrame, uploaded: DataFrame) -> DataFrame:
@@ -99,8 +104,7 @@ def workload(base: DataFrame, uploaded: DataFrame, low: int = 0, high: int = 1)
     up_low = without_higher(uploaded.filter(F.col("prefix_rank") == low), every, high).withColumn("origin", F.lit("uploaded_low"))
     base_high = base.filter(F.col("prefix_rank") == high).withColumn("origin", F.lit("base_high"))
     live = base_low.unionByName(base_high)
-    u = uploaded.select("ident", F.col("prefix_rank").alias("_r"), F.col("mtime").alias("_m"))
-    live = live.join(u, (live["ident"] == u["ident"]) & (F.col("_r") >= live["prefix_rank"]) & (F.col("_m") >= live["mtime"]), "left_anti")
+    live = live.join(*_covered(live, uploaded), "left_anti")
     return live.unionByName(up_low)
 
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 FACTS = ("channel_id", "channel_handle", "verified", "subscriber_count")
@@ -19,29 +22,44 @@ def channel_facts(channels: DataFrame) -> DataFrame:
     return channels.filter("channel_handle is not null").withColumn("subscriber_count", subs).withColumn("channel_url", F.concat(F.lit("https://www.youtube.com/@"), "channel_handle"))
 
 
-def prefer_incoming(new: Column, old: Column) -> Column:
-    """Verified first, then a handle that ends in VEVO, then more subscribers, else what is there stays."""
-    flag = lambda x: F.coalesce(x, F.lit(False))
-    vevo = lambda x: flag(F.upper(x["channel_handle"]).endswith("VEVO"))
-    subs = lambda x: F.coalesce(x["subscriber_count"], F.lit(0))
-    return (
-        F.when(flag(new["verified"]) != flag(old["verified"]), flag(new["verified"])).when(vevo(new) != vevo(old), vevo(new)).otherwise(subs(new) > subs(old))
-    )
-
-
 def fold_mapping(links: DataFrame, key: str = "video_id", order: tuple[str, ...] = ("mtime", "seq")) -> DataFrame:
-    """(key, facts, collisions): a video's channels in time order; the same channel refreshes its facts, another one wins or loses by
-    prefer_incoming. The fold depends on the order, so it is no argmax: links of a video are first reduced to runs that could matter."""
-    facts = F.struct(*FACTS)
-    ordered = links.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(*order, facts.alias("f")))).alias("log"))
-    start = F.struct(F.lit(None).cast(ordered.schema["log"].dataType.elementType["f"].dataType).alias("f"), F.lit(0).cast("bigint").alias("n"))
-
-    def step(acc, x):
-        same = acc["f"].isNull() | acc["f"]["channel_id"].eqNullSafe(x["f"]["channel_id"])
-        won = same | prefer_incoming(x["f"], acc["f"])
-        return F.struct(F.when(won, x["f"]).otherwise(acc["f"]).alias("f"), (acc["n"] + F.when(same, 0).otherwise(1)).alias("n"))
-
-    return ordered.select(key, F.aggregate("log", start, step).alias("r")).select(key, *[F.col(f"r.f.{c}").alias(c) for c in FACTS], F.col("r.n").alias("collisions"))
+    """(key, facts, collisions): a video's channels in time order; the same channel refreshes its facts, another one wins when it is
+    verified, else VEVO, else larger, where the present one is not. The fold depends on the order, so it is no argmax. Rows are
+    sorted by video and time inside partitions and stream through their task, which keeps the present holder of one video only;
+    a video's log is never collected. Ties in the order are broken by the facts."""
+    slim = links.select(key, *order, *FACTS)
+    names = [key, *FACTS]
+
+    def rank(facts: tuple) -> tuple:
+        return bool(facts[2]), (facts[1] or "").upper().endswith("VEVO"), facts[3] or 0
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, holder, collisions = None, None, 0  # current: (key,) of the video
+        for batch in batches:
+            done = []
+            for k, *facts in zip(*(batch.column(n).to_pylist() for n in names)):
+                if current != (k,):
+                    if current is not None:
+                        done.append((*current, *holder, collisions))
+                    current, holder, collisions = (k,), facts, 0
+                elif facts[0] == holder[0]:
+                    holder = facts
+                else:
+                    collisions += 1
+                    holder = facts if rank(facts) > rank(holder) else holder
+            yield batch_of(done, batch.schema)
+            schema = batch.schema
+        if current is not None:
+            yield batch_of([(*current, *holder, collisions)], schema)
+
+    def batch_of(done: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+        columns = list(zip(*done)) or [()] * (len(names) + 1)
+        kinds = [*(schema.field(n).type for n in names), pa.int64()]
+        return pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, kinds)], names=[*names, "collisions"])
+
+    of = ", ".join(f"`{n}` {slim.schema[n].dataType.simpleString()}" for n in names)
+    ordered = slim.repartition(key).sortWithinPartitions(key, *order, *FACTS)
+    return ordered.select(*names).mapInArrow(fold, of + ", collisions bigint")
 
 
 def augment(videos: DataFrame, mapping: DataFrame, key: str = "video_id") -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import json
 
 import pandas as pd
@@ -212,13 +213,18 @@ def info_rows(df: DataFrame, payload: str = "payload") -> DataFrame:
         F.transform_values(i["subtitles"], lambda k, v: F.element_at(v, -1)["url"]).alias("subtitles"))
 
 
+_FEED = """entry array<struct<`yt:videoId`:string,title:string,author:struct<name:string>,published:string,updated:string,`media:group`:struct<`media:description`:string,
+    `media:thumbnail`:struct<_url:string,_width:int,_height:int>,`media:community`:struct<`media:statistics`:struct<_views:bigint>>>>>"""
+
+
 def feed_rows(df: DataFrame, payload: str = "payload") -> DataFrame:
-    """(other columns, video_id, title, author_name, published, view_count, thumbnail_url) of the entries of RSS feeds; entries without id or title are dropped."""
-    text = F.regexp_extract_all(F.col(payload), F.lit(r"(?s)<entry>(.*?)</entry>"), F.lit(1))
-    e = df.withColumn("_e", F.explode(text))
-    tag = lambda pattern: F.nullif(F.regexp_extract("_e", pattern, 1), F.lit(""))
-    out = e.select(*[c for c in df.columns if c != payload], tag(r"<yt:videoId>([^<]*)<").alias("video_id"), tag(r"<title>([^<]*)<").alias("title"), tag(r"(?s)<author>\s*<name>([^<]*)<").alias("author_name"),
-        N.lenient_timestamp(tag(r"<published>([^<]*)<")).alias("published"), tag(r'<media:statistics views="(\d+)"').try_cast("bigint").alias("view_count"), tag(r'<media:thumbnail url="([^"]*)"').alias("thumbnail_url"))
+    """(other columns, video_id, title, author_name, published, view_count, thumbnail_url) of the entries of RSS feeds; entries
+    without id or title are dropped, and so is a feed that is no XML."""
+    e = df.withColumn("_e", F.explode(F.from_xml(F.col(payload), _FEED, {"ignoreNamespace": "false"})["entry"]))
+    part = lambda *path: functools.reduce(lambda c, n: c[n], path, F.col("_e"))
+    text = lambda *path: F.nullif(F.trim(part(*path)), F.lit(""))
+    out = e.select(*[c for c in df.columns if c != payload], text("yt:videoId").alias("video_id"), text("title").alias("title"), text("author", "name").alias("author_name"),
+        N.lenient_timestamp(text("published")).alias("published"), part("media:group", "media:community", "media:statistics", "_views").alias("view_count"), text("media:group", "media:thumbnail", "_url").alias("thumbnail_url"))
     return out.filter("video_id is not null and title is not null")
 
 

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .lineage import checkpointed
+
 
 def link_filter(links: DataFrame, known: DataFrame, handles: DataFrame, ignored: DataFrame, least_subs: int) -> DataFrame:
     """Links (channel, subs) worth following: not known, not a known handle, not ignored, of unknown or sufficient size."""
@@ -24,19 +24,18 @@ def initial_queue(discovered: DataFrame, scraped: DataFrame, failed: DataFrame,
     return seeds.select("channel").unionByName(orphans).distinct()
 
 
-def discover(edges: DataFrame, start: DataFrame, excluded: DataFrame, least_subs: int = 0, max_depth: int = 20) -> DataFrame:
+def discover(edges: DataFrame, start: DataFrame, excluded: DataFrame, least_subs: int = 0, max_depth: int | None = None) -> DataFrame:
     """(channel, depth, subs): every channel reachable from start over edges (src, dst, subs) that pass the size filter; each at its
-    least depth, start at 0. Each round joins the frontier with the edges and takes away what was visited; tables between rounds are checkpointed."""
-    sc = edges.sparkSession.sparkContext
-    if not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(edges.sparkSession.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="spark-shared-"))
+    least depth, start at 0, up to max_depth where one is given. Each round joins the frontier with the edges and takes away what
+    was visited; edges and the tables between rounds are checkpointed."""
     usable = edges.filter(F.col("subs").isNull() | (F.col("subs") >= least_subs)).join(excluded.select(F.col("channel").alias("dst")).distinct(), "dst", "left_anti")
-    best = usable.groupBy("src", "dst").agg(F.max("subs").alias("subs"))
-    frontier = start.select("channel").distinct().select("channel", F.lit(0).alias("depth"), F.lit(None).cast("bigint").alias("subs")).checkpoint()
-    visited = frontier
-    for depth in range(1, max_depth + 1):
+    best = checkpointed(usable.groupBy("src", "dst").agg(F.max("subs").alias("subs")))
+    frontier = checkpointed(start.select("channel").distinct().select("channel", F.lit(0).alias("depth"), F.lit(None).cast("bigint").alias("subs")))
+    visited, depth = frontier, 0
+    while max_depth is None or depth < max_depth:
+        depth += 1
         found = frontier.select(F.col("channel").alias("src")).join(best, "src").groupBy(F.col("dst").alias("channel")).agg(F.max("subs").alias("subs"))
-        frontier = found.join(visited.select("channel"), "channel", "left_anti").select("channel", F.lit(depth).alias("depth"), F.col("subs").cast("bigint").alias("subs")).checkpoint()
+        frontier = checkpointed(found.join(visited.select("channel"), "channel", "left_anti").select("channel", F.lit(depth).alias("depth"), F.col("subs").cast("bigint").alias("subs")))
         if frontier.isEmpty():
             break
         visited = visited.unionByName(frontier)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .lineage import checkpointed
+
 #: Upper bounds of the latency histogram, in seconds.
 BUCKETS = (0.5, 1.0, 2.5, 5.0, 10.0, 30.0, 60.0, 120.0, 300.0)
 
@@ -51,7 +53,8 @@ def novelty_cut(pages: DataFrame, stop_after: int = 3, source: str = "source", p
 
 def shard(df: DataFrame, n: int, *order: str) -> DataFrame:
     """Round-robin shards over a total order, without one task for the whole table: ranks start from counts of range partitions."""
-    ranged = df.repartitionByRange(*order).withColumn("_p", F.spark_partition_id())
+    # the partition of a row is written down once: two reads of the plan could be coalesced differently
+    ranged = checkpointed(df.repartitionByRange(df.sparkSession.sparkContext.defaultParallelism * 4, *order).withColumn("_p", F.spark_partition_id()))
     w = Window.partitionBy("_p").orderBy(*order)
     local = ranged.withColumn("_r", F.row_number().over(w))
     sizes = local.groupBy("_p").agg(F.max("_r").alias("_n"))

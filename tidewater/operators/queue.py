@@ -2,31 +2,36 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .lineage import checkpointed
+
 STATES = ("queued", "claimed", "no_feeds", "orphan")
 
 
 def first_of_batch(batch: DataFrame, order: str, by: tuple[str, ...] = ("creator_id", "name")) -> DataFrame:
-    """Rows that no earlier kept row blocks by one of the columns, compared without case. With two columns the rule is sequential:
-    a row that is dropped blocks nothing. Rows are decided in rounds: those whose earlier rivals are all decided come next."""
-    keyed = batch.select("*", *[F.lower(F.col(c)).alias(f"_k{i}") for i, c in enumerate(by)])
-    kept, pending = None, keyed
-    while True:
-        heads = pending
-        for i in range(len(by)):
-            heads = heads.withColumn(f"_f{i}", F.min(order).over(Window.partitionBy(f"_k{i}")))
-        won = heads.filter(" and ".join(f"{order} = _f{i}" for i in range(len(by)))).select(*keyed.columns)
-        kept = won if kept is None else kept.unionByName(won)
-        if len(by) == 1:
-            return kept.select(*batch.columns)
-        won = won.checkpoint() if batch.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isDefined() else won.persist()
-        for i in range(len(by)):
-            pending = pending.join(won.select(f"_k{i}").distinct(), f"_k{i}", "left_anti")
-        pending = pending.select(*keyed.columns)
-        if pending.isEmpty():
-            return kept.select(*batch.columns)
+    """Rows that no earlier kept row blocks by one of the columns, compared without case; a null blocks nothing and is blocked
+    by nothing. order is unique. With two columns the rule is sequential, as a row that is dropped blocks nothing: rows are
+    decided in rounds, those whose earlier rivals are all decided come next, and each round starts from a checkpoint."""
+    # a null becomes a key of its own; no other value begins like it
+    keys = {f"_k{i}": F.coalesce(F.lower(F.col(c)), F.concat(F.lit("\0"), F.col(order).cast("string"))) for i, c in enumerate(by)}
+    keyed = batch.withColumns(keys)
+    first = lambda df: df.withColumns({f"_f{k}": F.min(order).over(Window.partitionBy(k)) for k in keys})
+    heads = " and ".join(f"{order} = _f{k}" for k in keys)
+    if len(by) == 1:
+        return first(keyed).filter(heads).select(*batch.columns)
+    pending, rounds = checkpointed(keyed.select(order, *keys)), []
+    while not pending.isEmpty():
+        won = checkpointed(first(pending).filter(heads).select(order, *keys))
+        rounds.append(won.select(order))
+        for k in keys:
+            pending = pending.join(won.select(k).distinct(), k, "left_anti")
+        pending = checkpointed(pending.select(order, *keys))
+    kept = functools.reduce(DataFrame.unionByName, rounds) if rounds else pending.select(order)
+    return batch.join(kept, order, "left_semi")
 
 
 def populate(batch: DataFrame, known: DataFrame, markers: DataFrame, order: str, by: tuple[str, ...] = ("creator_id", "name")) -> DataFrame:

@@ -145,11 +145,13 @@ def n19(spark, sf):
     return X.info_rows(d).select("k", "video_id", "channel_handle", F.unix_seconds("published").alias("published"), F.element_at("formats", "1")["ext"].alias("fmt"), F.array_join(F.map_keys("thumbnails"), ",").alias("labels"), F.element_at("subtitles", "en").alias("sub"))
 
 
-@query("n20_feed_entries", """SELECT c_custkey AS k, 'v' || CAST(c_custkey AS VARCHAR) AS video_id, c_name AS title, CAST(c_custkey AS BIGINT) AS view_count, 'https://i/t.jpg' AS thumbnail_url, epoch(TIMESTAMP '2024-06-15 10:30:00')::BIGINT AS published FROM customer""")
+@query("n20_feed_entries", """SELECT c_custkey AS k, 'v' || CAST(c_custkey AS VARCHAR) AS video_id, CASE c_custkey % 3 WHEN 0 THEN 'A & B ''' || c_name || '''' WHEN 1 THEN '<' || c_name || '>' ELSE c_name END AS title, 'N <3' AS author_name,
+    CAST(c_custkey AS BIGINT) AS view_count, 'https://i/t.jpg?a=1&b=2' AS thumbnail_url, epoch(TIMESTAMP '2024-06-15 10:30:00')::BIGINT AS published FROM customer WHERE c_custkey % 7 <> 0""")
 def n20(spark, sf):
-    d = rows(spark, sf, """SELECT c_custkey AS k, concat('<feed><title>f</title><entry><yt:videoId>v', CAST(c_custkey AS STRING), '</yt:videoId><title>', c_name, '</title><author><name>N</name></author><published>2024-06-15T10:30:00+00:00</published><media:group><media:thumbnail url="https://i/t.jpg" width="480"/><media:community><media:statistics views="',
-        CAST(c_custkey AS STRING), '"/></media:community></media:group></entry><entry><title>no id</title></entry></feed>') AS payload FROM {customer}""")
-    return X.feed_rows(d).select("k", "video_id", "title", "view_count", "thumbnail_url", F.unix_seconds("published").alias("published"))
+    d = rows(spark, sf, """SELECT c_custkey AS k, concat('<feed xmlns:yt="y" xmlns:media="m" xmlns="http://www.w3.org/2005/Atom"><title>f</title><entry><yt:videoId>v', CAST(c_custkey AS STRING), '</yt:videoId><title>', CASE c_custkey % 3 WHEN 0 THEN concat('A &amp; B &#39;', c_name, '&#39;') WHEN 1 THEN concat('<![CDATA[<', c_name, '>]]>') ELSE c_name END,
+        '</title><author><name>N &lt;3</name></author><published>2024-06-15T10:30:00+00:00</published><media:group>', CASE WHEN c_custkey % 2 = 0 THEN '<media:thumbnail url="https://i/t.jpg?a=1&amp;b=2" width="480"/>' ELSE '<media:thumbnail height="360" width="480" url="https://i/t.jpg?a=1&amp;b=2"/>' END,
+        '<media:community><media:starRating count="1"/><media:statistics rank="1" views="', CAST(c_custkey AS STRING), '"/></media:community></media:group></entry><entry><title>no id</title></entry>', CASE WHEN c_custkey % 7 = 0 THEN '<entry>' ELSE '' END, '</feed>') AS payload FROM {customer}""")
+    return X.feed_rows(d).select("k", "video_id", "title", "author_name", "view_count", "thumbnail_url", F.unix_seconds("published").alias("published"))
 
 
 @query("n21_embedded_json", """SELECT page_id, CASE WHEN page_id % 3 = 0 THEN '{"a":{"b":' || CAST(page_id AS VARCHAR) || '}}' END AS found FROM pages""")

@@ -3,7 +3,7 @@ any source that Spark reads; the read_ functions open paths."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,9 +11,15 @@ from ..functions import channels as C
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(pos, value) of a small list file, in file order."""
-    whole = spark.read.option("wholetext", True).text(path)
-    return whole.select(F.posexplode(F.split("value", "\r?\n")).alias("pos", "value"))
+    """(pos, value) of the lines of a list file, numbered from 0 in file order. A file of any size is read in its blocks: lines
+    are numbered inside each block and start from the number of lines in the blocks before, one row per block."""
+    block = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block")]
+    lines = spark.read.option("lineSep", "\n").text(path).select("value", *block, F.monotonically_increasing_id().alias("_at"))
+    blocks = lines.groupBy("_file", "_block").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))
+    start = blocks.select("_file", "_block", "_first", F.coalesce(before, F.lit(0)).alias("_before"))
+    pos = (F.col("_at") - F.col("_first") + F.col("_before")).alias("pos")
+    return lines.join(start, ["_file", "_block"]).select(pos, F.regexp_replace("value", "\r$", "").alias("value"))
 
 
 def read_dataset(spark: SparkSession, root: str) -> DataFrame:
