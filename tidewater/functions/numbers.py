@@ -19,6 +19,14 @@ def convert_count(text: Column) -> Column:
     return F.coalesce(plain, F.floor(number * scale).cast("bigint"))
 
 
+def count_of(text: Column) -> Column:
+    """The first word as a count: '1.2M', '42,069', or the digits it begins with."""
+    word = F.replace(F.upper(F.substring_index(strip(text), " ", 1)), F.lit(","), F.lit(""))
+    scale = F.when(word.endswith("K"), 1e3).when(word.endswith("M"), 1e6).when(word.endswith("B"), 1e9)
+    number = F.substr(word, F.lit(1), F.length(word) - 1).try_cast("double")
+    return F.when(scale.isNotNull(), (number * scale).cast("bigint")).otherwise(non_empty(F.regexp_extract(word, r"^(\d+)", 1)).try_cast("bigint"))
+
+
 def leading_count(text: Column) -> Column:
     """Digits at the start, after commas are taken out."""
     return non_empty(F.regexp_extract(F.replace(strip(text), F.lit(","), F.lit("")), r"^(\d+)", 1)).try_cast("bigint")

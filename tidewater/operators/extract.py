@@ -59,23 +59,40 @@ def json_find(key: str):
     return find
 
 
+#: Fields that name a video's author, in the order in which they are tried.
+BYLINES = ("ownerText", "longBylineText", "shortBylineText")
+
+
+def _author(renderer: dict):
+    """(name, channel id) of the first run that leads to a channel: its handle, else channel/ and its id."""
+    for field in BYLINES:
+        runs = (renderer.get(field) or {}).get("runs")
+        for run in runs if isinstance(runs, list) else []:
+            end = ((run.get("navigationEndpoint") or {}).get("browseEndpoint") or {}) if isinstance(run, dict) else {}
+            base, browse = end.get("canonicalBaseUrl"), end.get("browseId")
+            known = browse if isinstance(browse, str) and browse.startswith("UC") else None
+            name = base.lstrip("/@") if isinstance(base, str) and base else known and f"channel/{known}"
+            if name:
+                return {"name": name, "channel_id": browse if isinstance(browse, str) else None}
+    return None
+
+
 def _authors(text):
-    out, todo = [], [_load(text)] if isinstance(text, str) and "videoRenderer" in text else []
+    out, todo = {}, [_load(text)] if isinstance(text, str) and "videoRenderer" in text else []
     while todo:
         x = todo.pop()
         if isinstance(x, dict):
-            r = x.get("videoRenderer")
-            for run in ((r or {}).get("ownerText") or {}).get("runs", []) if isinstance(r, dict) else []:
-                end = (run.get("navigationEndpoint") or {}).get("browseEndpoint") or {}
-                out.append({"name": (end.get("canonicalBaseUrl") or "").lstrip("/@") or run.get("text"), "channel_id": end.get("browseId")})
+            found = _author(x["videoRenderer"]) if isinstance(x.get("videoRenderer"), dict) else None
+            if found:
+                out.setdefault(found["name"], found)
             todo.extend(reversed(list(x.values())))
         elif isinstance(x, list):
             todo.extend(reversed(x))
-    return out
+    return list(out.values())
 
 
 def collect_authors(payload: Column) -> Column:
-    """Authors (name, channel_id) of every videoRenderer at any depth."""
+    """Authors (name, channel_id) of the video renderers at any depth, each name once."""
 
     @F.pandas_udf("array<struct<name:string,channel_id:string>>")
     def collect(texts: pd.Series) -> pd.Series:
@@ -136,7 +153,7 @@ def player_rows(df: DataFrame, payload: str = "payload", existing: tuple[str, ..
         "duration_s": N.strict_int(d["lengthSeconds"]), "view_count": N.strict_int(d["viewCount"]), "like_count": N.strict_int(m["likeCount"]), "category": m["category"],
         "published": N.lenient_timestamp(m["publishDate"]), "keywords": F.array_sort(F.array_distinct(d["keywords"])), "countries": F.array_sort(F.array_distinct(m["availableCountries"])),
         "subtitles": last_wins(F.filter(tracks, lambda t: ~auto(t)), "languageCode"), "automatic_captions": last_wins(F.filter(tracks, auto), "languageCode"),
-        "thumbnail_url": default_thumbnail(d["thumbnail"]["thumbnails"]), "age_restricted": W.age_restricted(F.col("_p.playabilityStatus.status"), F.col("_p.playabilityStatus.reason")),
+        "thumbnail_url": default_thumbnail(d["thumbnail"]["thumbnails"]), "age_restricted": F.coalesce(F.col("_p.playabilityStatus.status") == "LOGIN_REQUIRED", F.lit(False)),
     }
     text = {"video_id", "title", "description", "channel_id", "author_name", "category"}
     cols = []
@@ -148,56 +165,6 @@ def player_rows(df: DataFrame, payload: str = "payload", existing: tuple[str, ..
     return df.select(*[c for c in df.columns if c not in (*new, "_p", payload)], *cols)
 
 
-def chapters(df: DataFrame, payload: str = "payload") -> DataFrame:
-    """(other columns, title, start_s, url) of the chapter markers of a page's panels; markers without title or start are dropped."""
-    m = "struct<chapters:array<struct<chapterRenderer:struct<title:struct<simpleText:string>,timeRangeStartMillis:bigint,thumbnail:struct<thumbnails:" + _THUMB + ">>>>>"
-    rows = df.withColumn("_c", F.explode(F.from_json(F.col(payload), m)["chapters"]))
-    c = F.col("_c.chapterRenderer")
-    out = rows.select(*[x for x in df.columns if x != payload], c["title"]["simpleText"].alias("title"), (c["timeRangeStartMillis"] / 1000).alias("start_s"), largest_thumbnail(c["thumbnail"]["thumbnails"]).alias("url"))
-    return out.filter("title is not null and start_s is not null")
-
-
-_TABS = "struct<tabs:array<struct<title:string,contents:array<struct<videoId:string,url:string,playlistId:string,badge:array<string>,title:string>>>>>"
-
-
-def tab_items(df: DataFrame, payload: str = "payload") -> DataFrame:
-    """(other columns, tab, video_id, playlist_id, video_count): items of a channel's tabs; shorts carry their id at the end of a URL,
-    a playlist's video count is the last badge with a number of videos."""
-    rows = df.withColumn("_t", F.explode(F.from_json(F.col(payload), _TABS)["tabs"])).withColumn("_i", F.explode("_t.contents"))
-    vid = F.when(F.lower("_t.title") == "shorts", F.element_at(F.split("_i.url", "/"), -1)).otherwise(F.col("_i.videoId"))
-    badges = F.filter("_i.badge", lambda b: b.rlike(r"\d+\s+video"))
-    count = F.regexp_extract(F.get(badges, F.size(badges) - 1), r"(\d+)\s+video", 1).try_cast("int")
-    return rows.select(*[x for x in df.columns if x != payload], F.lower("_t.title").alias("tab"), vid.alias("video_id"), F.col("_i.playlistId").alias("playlist_id"), count.alias("video_count")).distinct()
-
-
-def channel_counts(rows: Column) -> Column:
-    """struct(videos, subscribers, views) of metadata rows (array of parts, each an array of texts) of a channel header."""
-    parts = F.flatten(rows)
-    pick = lambda word: N.convert_count(F.get(F.filter(parts, lambda p: F.lower(p).contains(word)), F.lit(0)))
-    return F.struct(pick("video").alias("videos"), pick("subscriber").alias("subscribers"), pick("view").alias("views"))
-
-
-def external_links(df: DataFrame, links: str = "links") -> DataFrame:
-    """(other columns, url, label, priority): the links of a header in order, priorities 10, 20, ..."""
-    rows = df.select(*[c for c in df.columns if c != links], F.posexplode(links).alias("_pos", "_u"))
-    url = F.concat(F.lit("https://"), F.regexp_replace("_u", "^https?://", ""))
-    return rows.select(*[c for c in df.columns if c != links], url.alias("url"), W.link_label(F.col("_u")).alias("label"), ((F.col("_pos") + 1) * 10).alias("priority"))
-
-
-_POST = f"struct<postId:string,contentText:{_TEXT},voteCount:struct<simpleText:string>,attachment:struct<image:struct<thumbnails:{_THUMB}>,images:array<struct<thumbnails:{_THUMB}>>,videoId:string,choices:array<struct<text:{_TEXT}>>>>"
-
-
-def post_rows(df: DataFrame, payload: str = "payload") -> DataFrame:
-    """(other columns, post_id, text, votes, kind, images, video_id, choices) of a post; kind is image, images, video, poll or text."""
-    df = df.withColumn("_p", F.from_json(F.col(payload), _POST))
-    a = F.col("_p.attachment")
-    kind = F.when(a["images"].isNotNull(), "images").when(a["image"].isNotNull(), "image").when(a["videoId"].isNotNull(), "video").when(a["choices"].isNotNull(), "poll").otherwise("text")
-    one = lambda i: F.element_at(i["thumbnails"], -1)["url"]
-    images = F.when(kind == "images", F.transform(a["images"], one)).when(kind == "image", F.array(one(a["image"])))
-    return df.select(*[c for c in df.columns if c not in (payload, "_p")], F.col("_p.postId").alias("post_id"), text_of(F.col("_p.contentText")).alias("text"), N.convert_count(F.col("_p.voteCount.simpleText")).alias("votes"),
-        kind.alias("kind"), images.alias("images"), a["videoId"].alias("video_id"), F.transform(a["choices"], lambda c: text_of(c["text"])).alias("choices"))
-
-
 _DLP = """struct<id:string,title:string,description:string,channel_id:string,uploader_id:string,view_count:bigint,like_count:bigint,duration:double,upload_date:string,timestamp:bigint,media_type:string,tags:array<string>,categories:array<string>,
     thumbnails:array<struct<id:string,url:string,width:int,height:int,preference:int>>,formats:array<struct<format_id:string,ext:string,url:string,acodec:string,vcodec:string>>,subtitles:map<string,array<struct<url:string,ext:string>>>>"""
 
@@ -233,60 +200,6 @@ def no_content(*collections: str) -> Column:
     return sum((F.coalesce(F.size(c), F.lit(0)) for c in collections[1:]), F.coalesce(F.size(collections[0]), F.lit(0))) <= 0
 
 
-def featured_links(df: DataFrame, payload: str = "payload") -> DataFrame:
-    """(other columns, name, channel_id, subs) of featured channels; those without a subscriber text are left out."""
-    kind = "struct<featured:array<struct<title:string,channelId:string,canonicalBaseUrl:string,subscriberCountText:" + _TEXT + ">>>"
-    c = df.withColumn("_f", F.explode(F.from_json(F.col(payload), kind)["featured"]))
-    subs = text_of(F.col("_f.subscriberCountText"))
-    name = F.coalesce(F.nullif(F.regexp_replace("_f.canonicalBaseUrl", "^/@?", ""), F.lit("")), F.col("_f.title"))
-    return c.filter(F.coalesce(subs, F.lit("")) != "").select(*[x for x in df.columns if x != payload], name.alias("name"), F.col("_f.channelId").alias("channel_id"), N.convert_count(subs).alias("subs"))
-
-
-def banners(df: DataFrame, payload: str = "payload") -> DataFrame:
-    """(other columns, images): avatar and banner images with a display hint, distinct by URL and size."""
-    kind = f"struct<avatar:{_THUMB},banner:{_THUMB},tvBanner:{_THUMB},mobileBanner:{_THUMB}>"
-    p = F.from_json(F.col(payload), kind)
-    hinted = lambda c, hint: F.transform(F.coalesce(p[c], F.array().cast(_THUMB)), lambda t: F.struct(W.with_scheme(t["url"]).alias("url"), t["width"].alias("width"), t["height"].alias("height"), F.lit(hint).alias("hint")))
-    every = F.concat(hinted("avatar", "thumbnail"), hinted("banner", "banner"), hinted("tvBanner", "tv"), hinted("mobileBanner", "mobile"))
-    size = lambda t: F.struct(t["url"], t["width"], t["height"])
-    first = F.aggregate(every, F.slice(every, 1, 0), lambda acc, t: F.when(F.exists(acc, lambda a: size(a) == size(t)), acc).otherwise(F.concat(acc, F.array(t))))
-    return df.select(*[x for x in df.columns if x != payload], first.alias("images"))
-
-
-def about_rows(df: DataFrame, payload: str = "payload", existing: tuple[str, ...] = ()) -> DataFrame:
-    """Channel columns of about data; what a channel has already stays."""
-    p = F.from_json(F.col(payload), "struct<title:string,description:string,country:string,joinedDateText:string,viewCountText:string,subscriberCountText:string,videoCountText:string,vanityChannelUrl:string>")
-    new = {
-        "title": p["title"], "description": p["description"], "country": p["country"], "joined": N.lenient_timestamp(p["joinedDateText"]), "view_count": N.convert_count(p["viewCountText"]),
-        "subscriber_count": N.convert_count(p["subscriberCountText"]), "video_count": N.convert_count(p["videoCountText"]), "channel_handle": F.nullif(F.regexp_extract(p["vanityChannelUrl"], "/@([^/?]+)", 1), F.lit("")),
-    }
-    return df.select(*[c for c in df.columns if c not in (*new, payload)], *[(F.coalesce(F.col(n), v) if n in existing else v).alias(n) for n, v in new.items()])
-
-
-def watch_page_counts(df: DataFrame, payload: str = "payload") -> DataFrame:
-    """(other columns, like_count, comment_count, category): likes from either layout, comments from a panel, category from a metadata row."""
-    p = F.from_json(F.col(payload), "struct<likeButton:struct<title:string>,toggleButton:struct<label:string>,panels:array<struct<id:string,contextualInfo:string>>,rows:array<struct<title:string,content:string>>>")
-    panel = F.get(F.filter(p["panels"], lambda x: x["id"].contains("comment")), F.lit(0))["contextualInfo"]
-    category = F.get(F.filter(p["rows"], lambda r: r["title"] == "Category"), F.lit(0))["content"]
-    return df.select(*[x for x in df.columns if x != payload], F.coalesce(N.convert_count(p["likeButton"]["title"]), N.leading_count(p["toggleButton"]["label"])).alias("like_count"), N.convert_count(panel).alias("comment_count"), category.alias("category"))
-
-
-def course_rows(df: DataFrame, payload: str = "payload") -> DataFrame:
-    """(other columns, course_id, title, video_count, videos): courses with their child videos; no count means 0."""
-    kind = "struct<courses:array<struct<courseId:string,title:string,videoCount:int,videos:array<struct<videoId:string,title:string,lengthText:string>>>>>"
-    c = df.withColumn("_c", F.explode(F.from_json(F.col(payload), kind)["courses"]))
-    videos = F.transform(F.filter("_c.videos", lambda v: v["videoId"].isNotNull()), lambda v: F.struct(v["videoId"].alias("video_id"), v["title"].alias("title"), v["lengthText"].alias("length")))
-    return c.select(*[x for x in df.columns if x != payload], F.col("_c.courseId").alias("course_id"), F.col("_c.title").alias("title"), F.coalesce("_c.videoCount", F.lit(0)).alias("video_count"), videos.alias("videos"))
-
-
-def product_rows(df: DataFrame, payload: str = "payload") -> DataFrame:
-    """(other columns, title, price, merchant, url): products; the URL is that of the first command that has one."""
-    kind = "struct<products:array<struct<title:string,price:string,fromVendorText:string,commands:array<struct<url:string>>>>>"
-    c = df.withColumn("_p", F.explode(F.from_json(F.col(payload), kind)["products"]))
-    url = F.get(F.filter("_p.commands", lambda x: x["url"].isNotNull()), F.lit(0))["url"]
-    return c.select(*[x for x in df.columns if x != payload], F.col("_p.title").alias("title"), F.col("_p.price").alias("price"), F.col("_p.fromVendorText").alias("merchant"), url.alias("url"))
-
-
 def normal_formats(formats: Column) -> Column:
     """Formats under alternative field names (audio_codec or audiocodec, thumb_url or thumbnail_url) as one shape."""
     return F.transform(formats, lambda x: F.struct(x["format_id"].alias("format_id"), F.coalesce(x["audio_codec"], x["audiocodec"]).alias("audio_codec"), F.coalesce(x["thumb_url"], x["thumbnail_url"]).alias("thumbnail_url"), F.coalesce(x["video_count"], F.lit(0)).alias("video_count")))

@@ -65,3 +65,32 @@ def cte(*names: str) -> str:
     """WITH clause that gives DuckDB the same input roles."""
     plain = {n: re.sub(r"(?<!\{)\{(\w+)\}(?!\})", r"\1", INPUTS[n]).replace("{{", "{").replace("}}", "}") for n in names}
     return "WITH " + ", ".join(f"{n} AS ({s})" for n, s in plain.items()) + " "
+
+
+def nest(path: str, inner: str) -> str:
+    """JSON text of inner at a dotted path; "[]" after a name puts what follows into an array of one."""
+    for name in reversed(path.split(".")):
+        inner = f'{{"{name.removesuffix("[]")}":[{inner}]}}' if name.endswith("[]") else f'{{"{name}":{inner}}}'
+    return inner
+
+
+def merged(*texts: str) -> str:
+    """One JSON object with the members of all, whose names differ; an empty text adds nothing."""
+    return "{" + ",".join(t[1:-1] for t in texts if t) + "}"
+
+
+def concat_sql(template: str) -> str:
+    """SQL that puts a template together; <<expression>> stands for the text of an SQL expression."""
+    parts = re.split("<<(.*?)>>", template, flags=re.S)
+    quote = lambda t: "'" + t.replace("'", "''") + "'"
+    return "concat(" + ", ".join(f"CAST(({x}) AS STRING)" if k % 2 else quote(x) for k, x in enumerate(parts) if x) + ")"
+
+
+def by_case(key: str, *templates: str) -> str:
+    """A template that is another one by the value of key: 0, 1, ..."""
+    return "<<CASE " + key + "".join(f" WHEN {k} THEN {concat_sql(t) if t else chr(39) * 2}" for k, t in enumerate(templates)) + " END>>"
+
+
+def payloads(key: str, table: str, template: str, more: str = "") -> str:
+    """Rows k, further columns and payload over a table, as text for rows()."""
+    return f"SELECT {key} AS k{more}, {concat_sql(template)} AS payload FROM ".replace("{", "{{").replace("}", "}}") + "{" + table + "}"

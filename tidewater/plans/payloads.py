@@ -89,53 +89,15 @@ def n1(spark, sf):
     return d.select("event_id", X.typed_path(p, "$.a.k", "string").alias("kind"), X.typed_path(p, "$.a.k", "bigint").alias("number"), X.json_find("deep")(p).alias("deep"))
 
 
-@query("n3_n4_authors", "SELECT o_orderkey, o_clerk AS name, 'UC' || CAST(o_custkey AS VARCHAR) AS channel_id FROM (SELECT *, CAST(o_custkey AS VARCHAR) AS o_clerk FROM orders)")
-def n3(spark, sf):
-    d = rows(spark, sf, """SELECT o_orderkey, concat('{{"x":[{{"videoRenderer":{{"ownerText":{{"runs":[{{"text":"t","navigationEndpoint":{{"browseEndpoint":{{"browseId":"UC', CAST(o_custkey AS STRING), '","canonicalBaseUrl":"/@', CAST(o_custkey AS STRING), '"}}}}}}]}}}}}}]}}') AS payload FROM {orders}""")
-    return d.select("o_orderkey", F.inline(X.collect_authors(F.col("payload"))))
+_PLAY = """SELECT p_partkey AS k, 'old' AS title, 'kept' AS category, concat('{{"videoDetails":{{"videoId":"v', CAST(p_partkey AS STRING), '","title":"', CASE WHEN p_partkey % 3 = 0 THEN '' ELSE p_name END, '","lengthSeconds":"', CAST(p_size AS STRING), '","viewCount":"12","keywords":["b","a","b"],"channelId":"","thumbnail":{{"thumbnails":[{{"url":"u1","width":10,"height":10}},{{"url":"u2","width":5,"height":5}}]}}}},"playabilityStatus":{{"status":"', CASE p_partkey % 4 WHEN 0 THEN 'LOGIN_REQUIRED' ELSE 'OK' END, '","reason":"age"}},"microformat":{{"playerMicroformatRenderer":{{"publishDate":"20240615","likeCount":"x"}}}},"captions":{{"playerCaptionsTracklistRenderer":{{"captionTracks":[{{"baseUrl":"m","languageCode":"en"}},{{"baseUrl":"n","languageCode":"en"}},{{"baseUrl":"a","languageCode":"de","kind":"asr"}}]}}}}}}') AS payload FROM {part}"""
 
 
-_PLAY = """SELECT p_partkey AS k, 'old' AS title, 'kept' AS category, concat('{{"videoDetails":{{"videoId":"v', CAST(p_partkey AS STRING), '","title":"', CASE WHEN p_partkey % 3 = 0 THEN '' ELSE p_name END, '","lengthSeconds":"', CAST(p_size AS STRING), '","viewCount":"12","keywords":["b","a","b"],"channelId":"","thumbnail":{{"thumbnails":[{{"url":"u1","width":10,"height":10}},{{"url":"u2","width":5,"height":5}}]}}}},"microformat":{{"playerMicroformatRenderer":{{"publishDate":"20240615","likeCount":"x"}}}},"captions":{{"playerCaptionsTracklistRenderer":{{"captionTracks":[{{"baseUrl":"m","languageCode":"en"}},{{"baseUrl":"n","languageCode":"en"}},{{"baseUrl":"a","languageCode":"de","kind":"asr"}}]}}}}}}') AS payload FROM {part}"""
-
-
-@query("n10_n11_n22_player", """SELECT p_partkey AS k, 'v' || CAST(p_partkey AS VARCHAR) AS video_id, CASE WHEN p_partkey % 3 = 0 THEN 'old' ELSE p_name END AS title, 'kept' AS category, CAST(p_size AS BIGINT) AS duration_s, CAST(12 AS BIGINT) AS view_count, CAST(NULL AS BIGINT) AS like_count,
-    'a,b' AS keywords, 'n' AS sub_en, 'a' AS auto_de, 'u2' AS thumbnail_url, CAST(NULL AS VARCHAR) AS channel_id FROM part""")
+@query("n10_n11_player", """SELECT p_partkey AS k, 'v' || CAST(p_partkey AS VARCHAR) AS video_id, CASE WHEN p_partkey % 3 = 0 THEN 'old' ELSE p_name END AS title, 'kept' AS category, CAST(p_size AS BIGINT) AS duration_s, CAST(12 AS BIGINT) AS view_count, CAST(NULL AS BIGINT) AS like_count,
+    'a,b' AS keywords, 'n' AS sub_en, 'a' AS auto_de, 'u2' AS thumbnail_url, CAST(NULL AS VARCHAR) AS channel_id, p_partkey % 4 = 0 AS age_restricted FROM part""")
 def n10(spark, sf):
     r = X.player_rows(rows(spark, sf, _PLAY), existing=("title", "category"))
     return r.select("k", "video_id", "title", "category", "duration_s", "view_count", "like_count", F.array_join("keywords", ",").alias("keywords"), F.element_at("subtitles", "en")["baseUrl"].alias("sub_en"),
-        F.element_at("automatic_captions", "de")["baseUrl"].alias("auto_de"), "thumbnail_url", "channel_id")
-
-
-@query("n12_tk4_chapters", "SELECT p_partkey AS k, p_name AS title, p_size / 2.0::DOUBLE AS start_s, 'big' AS url FROM part")
-def n12(spark, sf):
-    return X.chapters(rows(spark, sf, """SELECT p_partkey AS k, concat('{{"chapters":[{{"chapterRenderer":{{"title":{{"simpleText":"', p_name, '"}},"timeRangeStartMillis":', CAST(p_size * 500 AS STRING), ',"thumbnail":{{"thumbnails":[{{"url":"big","width":9,"height":1}},{{"url":"small","width":2,"height":8}}]}}}}}},{{"chapterRenderer":{{"timeRangeStartMillis":1}}}}]}}') AS payload FROM {part}"""))
-
-
-@query("n14_n15_tab_items", """SELECT k, tab, video_id, playlist_id, video_count FROM (SELECT p_partkey AS k, 'videos' AS tab, 'v' || CAST(p_partkey AS VARCHAR) AS video_id, NULL AS playlist_id, NULL::INT AS video_count FROM part
-    UNION ALL SELECT p_partkey, 'shorts', 's' || CAST(p_partkey AS VARCHAR), NULL, NULL FROM part UNION ALL SELECT p_partkey, 'playlists', NULL, 'p' || CAST(p_partkey AS VARCHAR), CAST(p_size AS INT) FROM part)""")
-def n14(spark, sf):
-    return X.tab_items(rows(spark, sf, """SELECT p_partkey AS k, concat('{{"tabs":[{{"title":"Videos","contents":[{{"videoId":"v', CAST(p_partkey AS STRING), '"}},{{"videoId":"v', CAST(p_partkey AS STRING), '"}}]}},{{"title":"Shorts","contents":[{{"url":"/shorts/s', CAST(p_partkey AS STRING),
-        '"}}]}},{{"title":"Playlists","contents":[{{"playlistId":"p', CAST(p_partkey AS STRING), '","badge":["3 videos","', CAST(p_size AS STRING), ' videos","new"]}}]}}]}}') AS payload FROM {part}"""))
-
-
-@query("n6_channel_counts", "SELECT c_custkey AS k, CAST(c_custkey AS BIGINT) AS videos, CAST(c_custkey % 90 * 1000000 + 500000 AS BIGINT) AS subscribers, CAST(NULL AS BIGINT) AS views FROM customer")
-def n6(spark, sf):
-    d = rows(spark, sf, "SELECT c_custkey AS k, array(array('@h', concat(CAST(c_custkey % 90 AS STRING), '.5M subscribers')), array(concat(CAST(c_custkey AS STRING), ' videos'))) AS r FROM {customer}")
-    return d.select("k", X.channel_counts(F.col("r")).alias("c")).select("k", "c.*")
-
-
-@query("n9_f26_external_links", "SELECT c_custkey AS k, 'https://twitter.com/' || c_name AS url, 'Twitter' AS label, 10 AS priority FROM customer UNION ALL SELECT c_custkey, 'https://www.reddit.com/r', 'reddit', 20 FROM customer")
-def n9(spark, sf):
-    return X.external_links(rows(spark, sf, "SELECT c_custkey AS k, array(concat('http://twitter.com/', c_name), 'https://www.reddit.com/r') AS links FROM {customer}"))
-
-
-@query("n17_f25_posts", """SELECT p_partkey AS k, 'p' AS post_id, p_name AS text, CAST(1200 AS BIGINT) AS votes, CASE p_partkey % 4 WHEN 0 THEN 'image' WHEN 1 THEN 'images' WHEN 2 THEN 'poll' ELSE 'text' END AS kind,
-    CASE p_partkey % 4 WHEN 0 THEN 'b' WHEN 1 THEN 'b,d' END AS images, CASE WHEN p_partkey % 4 = 2 THEN 'yes,no' END AS choices FROM part""")
-def n17(spark, sf):
-    d = rows(spark, sf, """SELECT p_partkey AS k, concat('{{"postId":"p","contentText":{{"runs":[{{"text":"', substr(p_name, 1, 3), '"}},{{"text":"', substr(p_name, 4), '"}}]}},"voteCount":{{"simpleText":"1.2K"}}',
-        CASE p_partkey % 4 WHEN 0 THEN ',"attachment":{{"image":{{"thumbnails":[{{"url":"a"}},{{"url":"b"}}]}}}}' WHEN 1 THEN ',"attachment":{{"images":[{{"thumbnails":[{{"url":"b"}}]}},{{"thumbnails":[{{"url":"c"}},{{"url":"d"}}]}}]}}'
-        WHEN 2 THEN ',"attachment":{{"choices":[{{"text":{{"simpleText":"yes"}}}},{{"text":{{"simpleText":"no"}}}}]}}' ELSE '' END, '}}') AS payload FROM {part}""")
-    return X.post_rows(d).select("k", "post_id", "text", "votes", "kind", F.array_join("images", ",").alias("images"), F.array_join("choices", ",").alias("choices"))
+        F.element_at("automatic_captions", "de")["baseUrl"].alias("auto_de"), "thumbnail_url", "channel_id", "age_restricted")
 
 
 @query("n19_a13_a14_info_records", """SELECT p_partkey AS k, 'v' || CAST(p_partkey AS VARCHAR) AS video_id, 'h' AS channel_handle, epoch(TIMESTAMP '2024-06-15')::BIGINT AS published, 'x' AS fmt, 'a,10x5' AS labels, 'last' AS sub FROM part""")
@@ -160,36 +122,6 @@ def n21(spark, sf):
     return d.select("page_id", X.embedded_json(F.col("html")).alias("found"))
 
 
-@query("n5_featured_links", "SELECT c_custkey AS k, 'h' || CAST(c_custkey AS VARCHAR) AS name, 'UC' AS channel_id, CAST(c_custkey * 1000 AS BIGINT) AS subs FROM customer WHERE c_custkey % 2 = 0")
-def n5(spark, sf):
-    return X.featured_links(rows(spark, sf, """SELECT c_custkey AS k, concat('{{"featured":[{{"title":"t","channelId":"UC","canonicalBaseUrl":"/@h', CAST(c_custkey AS STRING), '","subscriberCountText":{{"simpleText":"', CASE WHEN c_custkey % 2 = 0 THEN concat(CAST(c_custkey AS STRING), 'K subscribers') ELSE '' END, '"}}}}]}}') AS payload FROM {customer}"""))
-
-
-@query("n7_banners", "SELECT p_partkey AS k, CAST(3 AS INT) AS n, 'https://a' || CAST(p_partkey AS VARCHAR) AS url, 'banner' AS hint FROM part")
-def n7(spark, sf):
-    d = X.banners(rows(spark, sf, """SELECT p_partkey AS k, concat('{{"avatar":[{{"url":"//v","width":1,"height":1}}],"banner":[{{"url":"//a', CAST(p_partkey AS STRING), '","width":9,"height":2}}],"tvBanner":[{{"url":"//v","width":1,"height":1}},{{"url":"t","width":2,"height":1}}]}}') AS payload FROM {part}"""))
-    return d.select("k", F.size("images").alias("n"), F.col("images")[1]["url"].alias("url"), F.col("images")[1]["hint"].alias("hint"))
-
-
-@query("n8_about_rows", "SELECT c_custkey AS k, CASE WHEN c_custkey % 2 = 0 THEN 'own' ELSE 'new' END AS title, epoch(TIMESTAMP '2024-06-15')::BIGINT AS joined, CAST(c_custkey AS BIGINT) AS view_count, c_name AS channel_handle FROM customer")
-def n8(spark, sf):
-    d = rows(spark, sf, """SELECT c_custkey AS k, CASE WHEN c_custkey % 2 = 0 THEN 'own' END AS title, concat('{{"title":"new","joinedDateText":"Joined Jun 15, 2024","viewCountText":"', CAST(c_custkey AS STRING), ' views","vanityChannelUrl":"http://www.youtube.com/@', c_name, '"}}') AS payload FROM {customer}""")
-    return X.about_rows(d, existing=("title",)).select("k", "title", F.unix_seconds("joined").alias("joined"), "view_count", "channel_handle")
-
-
-@query("n13_watch_page_counts", "SELECT p_partkey AS k, CAST(CASE WHEN p_partkey % 2 = 0 THEN p_size * 1000 ELSE p_size END AS BIGINT) AS like_count, CAST(p_size AS BIGINT) AS comment_count, p_brand AS category FROM part")
-def n13(spark, sf):
-    return X.watch_page_counts(rows(spark, sf, """SELECT p_partkey AS k, concat('{{', CASE WHEN p_partkey % 2 = 0 THEN concat('"likeButton":{{"title":"', CAST(p_size AS STRING), 'K"}}') ELSE concat('"toggleButton":{{"label":"', CAST(p_size AS STRING), ' likes"}}') END,
-        ',"panels":[{{"id":"x"}},{{"id":"comments","contextualInfo":"', CAST(p_size AS STRING), '"}}],"rows":[{{"title":"Category","content":"', p_brand, '"}}]}}') AS payload FROM {part}"""))
-
-
-@query("n16_n18_courses_products", "SELECT p_partkey AS k, 'c' AS course_id, 0 AS video_count, 'v' || CAST(p_partkey AS VARCHAR) AS video_id, p_brand AS product, 'u2' AS url FROM part")
-def n16(spark, sf):
-    d = rows(spark, sf, """SELECT p_partkey AS k, concat('{{"courses":[{{"courseId":"c","videos":[{{"videoId":"v', CAST(p_partkey AS STRING), '"}},{{"title":"none"}}]}}],"products":[{{"title":"', p_brand, '","commands":[{{}},{{"url":"u2"}},{{"url":"u3"}}]}}]}}') AS payload FROM {part}""")
-    courses = X.course_rows(d).select("k", "course_id", "video_count", F.inline("videos")).select("k", "course_id", "video_count", "video_id")
-    return courses.join(X.product_rows(d).select("k", F.col("title").alias("product"), "url"), "k")
-
-
 @query("pf8_no_content", "SELECT c_custkey AS k, c_custkey % 3 <> 0 AS empty FROM customer")
 def pf8(spark, sf):
     d = rows(spark, sf, "SELECT c_custkey AS k, CASE WHEN c_custkey % 3 = 0 THEN array('v') WHEN c_custkey % 3 = 1 THEN array() END AS videos, CAST(NULL AS ARRAY<STRING>) AS playlists FROM {customer}")
