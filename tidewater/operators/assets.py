@@ -61,6 +61,19 @@ def promote_bare(markers: DataFrame, records: DataFrame) -> DataFrame:
     return markers.select("ident").distinct().join(have, "ident", "left").select("ident", F.when(F.col("_have"), "redundant").otherwise("promoted").alias("outcome"))
 
 
+def existing_artefact(ids: DataFrame, names: DataFrame, key: str = "video_id") -> DataFrame:
+    """(id, artefact) of ids with a record or a sentinel among the file names: video-min before video-dlp before the bare id."""
+    rank = F.when(F.col("name").startswith("video-min-"), 0).when(F.col("name").startswith("video-dlp-"), 1).otherwise(2)
+    ident = F.when(is_bare_id(F.col("name")), F.col("name")).otherwise(work_entry(F.col("name"))["video_id"])
+    found = names.select(ident.alias(key), rank.alias("_rank"), "name").filter(F.col(key).isNotNull()).groupBy(key).agg(F.min_by("name", "_rank").alias("artefact"))
+    return ids.select(key).join(found, key)
+
+
+def fresh(assets: DataFrame, uploaded: DataFrame) -> DataFrame:
+    """Asset versions that no uploaded copy supersedes."""
+    return assets.join(*_covered(assets, uploaded), "left_anti")
+
+
 def best_status(assets: DataFrame) -> DataFrame:
     """(ident, status, mtime): uploaded beats scraped, then the newest."""
     best = F.max(F.struct((F.col("dir") == "uploaded").alias("up"), "mtime")).alias("b")

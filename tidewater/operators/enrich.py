@@ -62,18 +62,20 @@ def fold_mapping(links: DataFrame, key: str = "video_id", order: tuple[str, ...]
     return ordered.select(*names).mapInArrow(fold, of + ", collisions bigint")
 
 
-def augment(videos: DataFrame, mapping: DataFrame, key: str = "video_id") -> DataFrame:
-    """videos with empty or stale channel fields filled, and outcome: updated, noop or no_mapping."""
+def augment(videos: DataFrame, mapping: DataFrame, key: str = "video_id", error: str | None = None) -> DataFrame:
+    """videos with empty or stale channel fields filled, and outcome: updated, noop, no_mapping or, where the column error
+    says that a record could not be read, error; such a record stays as it is."""
+    bad = F.lit(False) if error is None else F.col(error).isNotNull()
     m = mapping.select(F.col(key), *[F.col(c).alias(f"_{c}") for c in (*FACTS, "channel_url") if c in mapping.columns], F.lit(True).alias("_has"))
     out, changed = videos.join(m, key, "left"), F.lit(False)
     for c in [c for c in (*FACTS, "channel_url") if c in mapping.columns and c in videos.columns]:
         empty = F.col(c).isNull() | (F.col(c).cast("string") == "")
         if c == "channel_url":
             empty = empty | F.col(c).contains("/channel/")
-        take = empty & F.col(f"_{c}").isNotNull()
+        take = empty & F.col(f"_{c}").isNotNull() & ~bad
         out = out.withColumn(f"_t_{c}", take)
         changed = changed | F.col(f"_t_{c}")
-    out = out.withColumn("outcome", F.when(F.col("_has").isNull(), "no_mapping").when(changed, "updated").otherwise("noop"))
+    out = out.withColumn("outcome", F.when(bad, "error").when(F.col("_has").isNull(), "no_mapping").when(changed, "updated").otherwise("noop"))
     cols = [F.when(F.col(f"_t_{c}"), F.col(f"_{c}")).otherwise(F.col(c)).alias(c) if f"_t_{c}" in out.columns else F.col(c) for c in videos.columns]
     return out.select(*cols, "outcome")
 

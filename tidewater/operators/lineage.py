@@ -2,15 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import re
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir or the one given to setCheckpointDir(). Where neither is
+    set, a new temporary one, but only if all runs in one process on this machine; on a cluster it is an error."""
+    given = spark.sparkContext._jsc.sc().getCheckpointDir()
+    found = spark.conf.get("spark.checkpoint.dir", None) or (given.get() if given.isDefined() else None)
+    if not found:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        found = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
+        spark.conf.set("spark.checkpoint.dir", found)
+    return found.rstrip("/")
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """df checkpointed in spark.checkpoint.dir, or in the folder given to setCheckpointDir(): iterations start from it again."""
+    """df checkpointed in the shared folder: iterations start from it again."""
     sc = df.sparkSession.sparkContext
     if not sc._jsc.sc().getCheckpointDir().isDefined():
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        sc.setCheckpointDir(folder)
+        sc.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint()

@@ -91,6 +91,31 @@ def select_new(candidates: DataFrame, known: DataFrame, cap: int, budget: int, k
     return taken.join(known.select(key).distinct(), key, "left_anti").orderBy(order, key).limit(max(budget, 1))
 
 
+def new_videos(entries: DataFrame, on_disk: DataFrame, on_server: DataFrame, key: str = "video_id") -> DataFrame:
+    """Feed entries that are neither on disk nor known to be on the server (key, exists); what the server gave no answer for is new."""
+    return not_in(entries, (on_disk, key), (on_server.filter("exists"), key), on=key)
+
+
+def capped(ids: DataFrame, cap: int, seed: int, key: str) -> DataFrame:
+    """At most cap rows, in an order that the seed fixes; the others are deferred to another run."""
+    return ids.orderBy(F.xxhash64(F.lit(seed), F.col(key)), key).limit(cap)
+
+
+def read_channels(
+    lines: DataFrame, creator_map: DataFrame, resolved: DataFrame, unresolvable: DataFrame, scraped: DataFrame, known: DataFrame,
+    max_new: int, max_resolved: int, look_at: int, seed: int = 0,
+) -> DataFrame:
+    """(handle, pos) of the channels of a list to scrape: header off, one line per channel, lines parsed, ids replaced by known
+    handles, at most max_resolved of the others looked up in resolved (channel_id, handle) unless they are marked unresolvable,
+    handles scraped already taken out, and at most max_new of the first look_at that are not known."""
+    parsed = resolve_handles(dedupe_preserving_case(split_header(lines)[1]), creator_map)
+    ids = not_in(parsed.filter("channel_id is not null").groupBy("channel_id").agg(F.min("pos").alias("pos")), (unresolvable, "channel_id"), on="channel_id")
+    found = capped(ids, max_resolved, seed, "channel_id").join(resolved.select("channel_id", "handle"), "channel_id").filter("handle <> '' and not contains(handle, ' ')")
+    every = parsed.filter("handle is not null").select("handle", "pos").unionByName(found.select("handle", "pos"))
+    first = every.groupBy("handle").agg(F.min("pos").alias("pos"))
+    return select_new(not_in(first, (scraped, "handle"), on="handle"), known, look_at, max_new)
+
+
 def resolution_outcome(ids: DataFrame, creator_map: DataFrame, markers: DataFrame, resolved: DataFrame) -> DataFrame:
     """(channel_id, outcome, handle): already_resolved, unresolvable (marked, empty or with a blank) or resolved."""
     joined = (

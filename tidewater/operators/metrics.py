@@ -30,6 +30,16 @@ def failure_runs(events: DataFrame, ok: str = "ok", key: str = "key", order: tup
     return island.withColumn("streak", F.sum(bad.cast("int")).over(Window.partitionBy(key, "_i").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))).drop("_i")
 
 
+def failures_with_ttl(events: DataFrame, ttl_s: int, key: str = "key", ts: str = "ts", tie: str = "event_id", ok: str = "ok") -> DataFrame:
+    """events with failures: those of a key since its last success, forgotten when none came for ttl_s."""
+    w = Window.partitionBy(key).orderBy(ts, tie)
+    seconds = F.unix_micros(F.col(ts).cast("timestamp")) / 1e6
+    since = seconds - F.lag(seconds).over(w)
+    island = events.withColumn("_i", F.sum((F.col(ok) | (F.coalesce(since, F.lit(0.0)) > ttl_s)).cast("int")).over(w))
+    count = F.sum((~F.col(ok)).cast("bigint")).over(Window.partitionBy(key, "_i").orderBy(ts, tie))
+    return island.withColumn("failures", count).drop("_i")
+
+
 def breaker(streaks: DataFrame, threshold: int = 5, least: float = 60.0, most: float = 3600.0) -> DataFrame:
     """streaks with opens (times the breaker opened in the run so far) and cooldown seconds, doubled at each opening."""
     opens = F.floor(F.col("streak") / threshold).cast("int")

@@ -32,6 +32,33 @@ def skip_reason(name_ok: Column, read_ok: Column, handle: Column, video_id: Colu
     )
 
 
+def channel_action(superseded: Column, read_ok: Column, channel_id: Column, error: Column) -> Column:
+    """What becomes of a channel file before an upload: a superseded one is deleted, an unreadable one or one without id is left,
+    one that breaks the schema is marked, the others are sent."""
+    return (
+        F.when(superseded, "delete_superseded").when(~read_ok, "skip_unreadable").when(F.coalesce(channel_id, F.lit("")) == "", "skip_no_channel_id")
+        .when(error.isNotNull(), "mark_invalid").otherwise("send")
+    )
+
+
+def existing_records(ids: DataFrame, records: DataFrame, owner: str | None = None, key: str = "id") -> DataFrame:
+    """Ids that records hold, of one uploader where one is given."""
+    have = records if owner is None else records.filter(F.col("owner") == owner)
+    return ids.join(have.select(key).distinct(), key, "left_semi")
+
+
+def union_sets(df: DataFrame, key: str, *sets: str) -> DataFrame:
+    """(key, values): the distinct values of all array columns and rows of a key, sorted. Values are made distinct before they are gathered."""
+    every = F.flatten(F.array(*[F.coalesce(c, F.array().cast(df.schema[c].dataType)) for c in sets]))
+    values = df.select(key, F.explode_outer(every).alias("_v")).distinct()
+    return values.groupBy(key).agg(F.array_sort(F.collect_set("_v")).alias("values"))
+
+
+def first_rows(df: DataFrame, limit: int | None, *order: str) -> DataFrame:
+    """The first rows in an order; all without a limit."""
+    return df if limit is None else df.orderBy(*order).limit(limit)
+
+
 def reconcile(batch: DataFrame, results: DataFrame) -> DataFrame:
     """(idx, content_id, file, status, reason): results matched by content id, else by record index; missing where none came."""
     by_id = results.filter("platform_content_id is not null").groupBy(F.col("platform_content_id").alias("content_id")).agg(F.min(F.struct("status", "reason")).alias("_a"))
@@ -86,11 +113,11 @@ def envelope(df: DataFrame, owner: str, platform: str, entity: str, version: str
     return df.filter(error.isNull()).select(F.struct(F.lit(owner).alias("username"), F.lit(platform).alias("platform"), F.lit(entity).alias("entity"), F.lit(version).alias("version"), url.alias("source_url"), body.alias("data")).alias("envelope"))
 
 
-def pack_batches(df: DataFrame, shards: int, max_records: int, max_bytes: int, key: str, order: str, line: str) -> DataFrame:
+def pack_batches(df: DataFrame, shards: int, max_records: int, max_bytes: int, key: str, order: str, line: str, shard: Column | None = None) -> DataFrame:
     """(key, shard, batch, bytes): lines packed in order, greedily; a batch ends before the record that breaks its count or byte limit.
-    Lines above the limit are dropped. The fold is sequential, so it runs per hash shard; each shard streams through its task in order."""
+    Lines above the limit are dropped. The fold is sequential, so it runs per shard, by a hash of the key or as given; each shard streams through its task in order."""
     sized = df.select(*dict.fromkeys((key, order)), (F.octet_length(line) + 1).cast("bigint").alias("bytes")).filter(F.col("bytes") <= max_bytes)
-    dealt = sized.withColumn("shard", F.pmod(F.xxhash64(key), F.lit(shards)).cast("int")).repartition(shards, "shard").sortWithinPartitions("shard", order, key)
+    dealt = sized.withColumn("shard", (F.pmod(F.xxhash64(key), F.lit(shards)) if shard is None else shard).cast("int")).repartition(shards, "shard").sortWithinPartitions("shard", order, key)
     key_type = df.schema[key].dataType.simpleString()
 
     def fold(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

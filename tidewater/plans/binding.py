@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.lineage import shared_dir
+
 _PAD = "lpad(CAST({k} AS STRING), 22, '0')"
 
 INPUTS = {
@@ -61,6 +64,11 @@ def rows(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     return spark.sql(text.replace('AS "videoId"', "AS videoId"), **{t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in tables})
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, for queries that write and read again."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def cte(*names: str) -> str:
     """WITH clause that gives DuckDB the same input roles."""
     plain = {n: re.sub(r"(?<!\{)\{(\w+)\}(?!\})", r"\1", INPUTS[n]).replace("{{", "{").replace("}}", "}") for n in names}

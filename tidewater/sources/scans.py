@@ -56,6 +56,15 @@ def list_assets(spark: SparkSession, root: str, prefix: str = "", suffix: str =
     return files.select(name.alias("name"), where.alias("dir"), F.col("modificationTime").cast("double").alias("mtime")).filter(F.col("name").startswith(prefix) & F.col("name").endswith(suffix))
 
 
+def read_documents(spark: SparkSession, root: str) -> DataFrame:
+    """(path, text, error) of every file under root: plain and gzip JSON as whole texts, a file with another suffix as an error row."""
+    name = F.regexp_extract("path", r"([^/]+)$", 1)
+    every = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", name.alias("_name"))
+    other = every.filter(~F.col("_name").rlike(r"\.json(\.gz)?$")).select("path", F.lit(None).cast("string").alias("text"), F.lit("unsupported file extension").alias("error"))
+    texts = spark.read.option("recursiveFileLookup", True).option("wholetext", True).option("pathGlobFilter", "*.{json,json.gz}").text(root)
+    return texts.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"), F.lit(None).cast("string").alias("error")).unionByName(other)
+
+
 def changed_since(files: DataFrame, cutoff: float, col: str = "mtime") -> DataFrame:
     """Incremental scan: strictly newer than the cutoff."""
     return files.filter(F.col(col) > cutoff)

@@ -46,7 +46,7 @@ def first_claims(claims: DataFrame, late: str = "1 hour") -> DataFrame:
 
 
 def ever_had_feed(rows: DataFrame) -> DataFrame:
-    """Sticky flag: each creator once, at its first success."""
+    """Sticky flag: each creator once, at its first success. Its state is the set of creators that ever had a feed, and is meant to grow with them."""
     return rows.filter("ok").select("key").dropDuplicates(["key"])
 
 
@@ -149,10 +149,9 @@ def audit_claims(rows: DataFrame, ttl_s: int = 600) -> DataFrame:
 
 def watch_assets(assets: DataFrame, uploaded: DataFrame, hand_on: Callable[[DataFrame, int], None], checkpoint: str):
     """Start a query that hands on new asset versions, batch by batch, without those superseded by an uploaded one."""
-    from ..operators.assets import superseded
+    from ..operators.assets import fresh
 
     def batch(df: DataFrame, number: int) -> None:
-        fresh = df.join(superseded(df, uploaded).select("ident", "prefix_rank", "mtime").distinct(), ["ident", "prefix_rank", "mtime"], "left_anti")
-        hand_on(fresh, number)
+        hand_on(fresh(df, uploaded), number)
 
     return assets.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
