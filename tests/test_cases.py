@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 from tidewater.functions import channels as C
 from tidewater.functions import numbers as N
 from tidewater.functions import web as W
-from tidewater.operators import assets, enrich, extract, lists, metrics, queue, records, validation
+from tidewater.operators import assets, enrich, extract, graph, lists, metrics, queue, records, validation
 from tidewater.sources import scans
 
-UC = "UCkYQyvc_i9hXEo4xic9Hh2g"
+UC = "UCabcdefghijklmnopqrst_-"
 
 
 def column(spark, values, f, kind="string"):
@@ -24,7 +24,7 @@ def column(spark, values, f, kind="string"):
     (["mychannel", "MyChannel"], ["MyChannel"]),
     (["MyChannel", '{"channel":"MyChannel","subs":1000}'], ['{"channel":"MyChannel","subs":1000}']),
     (["https://www.youtube.com/@MyChannel", "MyChannel"], ["MyChannel"]),
-    (["https://www.youtube.com/@HistoryMatters", "https://www.youtube.com/@HistoryMatters/videos"], ["https://www.youtube.com/@HistoryMatters"]),
+    (["https://www.youtube.com/@TideTables", "https://www.youtube.com/@TideTables/videos"], ["https://www.youtube.com/@TideTables"]),
     (["MyChannel,2026-04-01", "mychannel"], ["MyChannel,2026-04-01"]),
     (["A", "B", "a", "C", "b"], ["A", "B", "C"]),
     ([], []),
@@ -191,3 +191,57 @@ def test_absence_and_list_keep_many_tasks(spark, tmp_path):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     parts = sorted((tmp_path / "list").glob("part-*"))
     assert len(parts) > 1 and "".join(p.read_text() for p in parts).split() == ["head", *(f"v{k}" for k in range(1000))]
+
+
+def test_batches_with_null_keys_are_decided(spark):
+    rows = [(1, None, None), (2, None, None), (3, "a", None), (4, "a", "x"), (5, None, "X"), (6, "b", "x"), (7, "c", "y"), (8, "c", "z"), (9, None, "z"), (10, "B", None)]
+    df = spark.createDataFrame(rows, "pos int, creator_id string, name string")
+    seen, want = set(), []
+    for pos, *keys in rows:
+        own = {(k, v.lower()) for k, v in enumerate(keys) if v is not None}
+        if not own & seen:
+            seen |= own
+            want.append(pos)
+    assert sorted(r.pos for r in queue.first_of_batch(df, "pos").collect()) == want
+    assert queue.first_of_batch(df.limit(0), "pos").count() == 0 and queue.first_of_batch(df, "pos", ("name",)).count() == 3 + 4
+
+
+def test_fold_streams_one_hot_video(spark):
+    n = 30_000
+    links = spark.range(n).selectExpr("'v' AS video_id", "concat('c', CAST(id % 3 AS STRING)) AS channel_id", "'h' AS channel_handle", "false AS verified", "id AS subscriber_count", "id AS mtime", "0L AS seq")
+    r = enrich.fold_mapping(links).collect()
+    assert [(x.channel_id, x.subscriber_count, x.collisions) for x in r] == [(f"c{(n - 1) % 3}", n - 1, n - 1)]
+    odd = spark.createDataFrame([("a", None, None, None, None, 1, 0), ("a", None, None, None, 5, 2, 0), ("a", "c", "xVevo", None, 1, 3, 0), (None, "c", "h", True, 1, 1, 0)], "video_id string, channel_id string, channel_handle string, verified boolean, subscriber_count long, mtime long, seq long")
+    assert {(x.video_id, x.channel_id, x.subscriber_count, x.collisions) for x in enrich.fold_mapping(odd).collect()} == {("a", "c", 1, 1), (None, "c", 1, 0)}
+    assert enrich.fold_mapping(odd.limit(0)).count() == 0
+
+
+def test_discovery_has_no_depth_limit(spark):
+    edges = spark.createDataFrame([(f"c{k}", f"c{k + 1}", None) for k in range(25)], "src string, dst string, subs long")
+    start, none = spark.createDataFrame([("c0",)], "channel string"), spark.createDataFrame([], "channel string")
+    assert graph.discover(edges, start, none).agg(F.max("depth")).first()[0] == 25
+    assert graph.discover(edges, start, none, max_depth=3).count() == 4
+
+
+def test_lines_are_numbered_over_blocks(spark, tmp_path):
+    lines = [f"line {k} " + "x" * (k % 50) for k in range(20_000)]
+    (tmp_path / "list.txt").write_bytes(("\r\n".join(lines) + "\n").encode())
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        got = scans.read_lines(spark, str(tmp_path / "list.txt")).orderBy("pos").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert [r.value for r in got] == lines and [r.pos for r in got] == list(range(20_000))
+
+
+def test_artefacts_and_documents(spark, tmp_path):
+    ids = spark.createDataFrame([("aaaaaaaaaaa",), ("bbbbbbbbbbb",), ("ccccccccccc",)], "video_id string")
+    names = spark.createDataFrame([("video-dlp-aaaaaaaaaaa.json.br",), ("video-min-aaaaaaaaaaa.json.br",), ("bbbbbbbbbbb",), ("video-min-x.txt",)], "name string")
+    assert {(r.video_id, r.artefact) for r in assets.existing_artefact(ids, names).collect()} == {("aaaaaaaaaaa", "video-min-aaaaaaaaaaa.json.br"), ("bbbbbbbbbbb", "bbbbbbbbbbb")}
+    (tmp_path / "deep").mkdir()
+    (tmp_path / "a.json").write_text('{"k":\n1}')
+    (tmp_path / "deep/b.txt").write_text("no")
+    got = {r.path.rsplit("/", 1)[1]: (r.text, r.error) for r in scans.read_documents(spark, str(tmp_path)).collect()}
+    assert got == {"a.json": ('{"k":\n1}', None), "b.txt": (None, "unsupported file extension")}
+

@@ -62,6 +62,12 @@ def fold_mapping(links: DataFrame, key: str = "video_id", order: tuple[str, ...]
     return ordered.select(*names).mapInArrow(fold, of + ", collisions bigint")
 
 
+def newest(records: DataFrame, key: str, mtime: str) -> DataFrame:
+    """One record per key, that of the newest file; ties by the other columns."""
+    rest = [c for c in records.columns if c not in (key, mtime)]
+    return records.groupBy(key).agg(F.max(F.struct(mtime, *rest)).alias("_r")).select(key, "_r.*")
+
+
 def augment(videos: DataFrame, mapping: DataFrame, key: str = "video_id", error: str | None = None) -> DataFrame:
     """videos with empty or stale channel fields filled, and outcome: updated, noop, no_mapping or, where the column error
     says that a record could not be read, error; such a record stays as it is."""

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,6 +49,36 @@ def breaker(streaks: DataFrame, threshold: int = 5, least: float = 60.0, most: f
     return streaks.withColumn("opens", opens).withColumn("cooldown_s", F.when(opens > 0, F.least(F.lit(least) * F.pow(F.lit(2.0), opens - 1), F.lit(most))).otherwise(0.0))
 
 
+def claim_step(holder: tuple[str | None, int], now: int, op: str, owner: str, ttl_ms: int) -> tuple[tuple[str | None, int], bool]:
+    """(holder and end of the claim, granted) after an event: a claim is granted while nobody holds the resource, a release to its holder."""
+    current, until = holder
+    if op == "release":
+        granted = current == owner and now < until
+        return ((None, 0) if granted else holder), granted
+    granted = current is None or now >= until
+    return ((owner, now + ttl_ms) if granted else holder), granted
+
+
+def audit_claims(events: DataFrame, ttl_s: int = 600) -> DataFrame:
+    """(resource, event_id, granted) of claim and release events (resource, event_id, ts, op, owner), the batch twin of the stream's audit.
+    Events are sorted by resource and time inside partitions and stream through their task, which keeps one holder."""
+    slim = events.select("resource", F.unix_millis(F.col("ts").cast("timestamp")).alias("ms"), "event_id", "op", "owner")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, holder = object(), (None, 0)
+        for batch in batches:
+            granted = []
+            for resource, ms, op, owner in zip(*(batch.column(n).to_pylist() for n in ("resource", "ms", "op", "owner"))):
+                if resource != current:
+                    current, holder = resource, (None, 0)
+                holder, won = claim_step(holder, ms, op, owner, ttl_s * 1000)
+                granted.append(won)
+            yield pa.RecordBatch.from_arrays([batch.column("resource"), batch.column("event_id"), pa.array(granted, pa.bool_())], names=["resource", "event_id", "granted"])
+
+    kind = events.schema["resource"].dataType.simpleString()
+    return slim.repartition("resource").sortWithinPartitions("resource", "ms", "event_id").mapInArrow(run, f"resource {kind}, event_id bigint, granted boolean")
+
+
 def backoff(streak: Column, first: float = 60.0, most: float = 300.0) -> Column:
     return F.when(streak > 0, F.least(F.lit(first) * F.pow(F.lit(2.0), streak - 1), F.lit(most))).otherwise(0.0)
 

@@ -125,3 +125,18 @@ def sc2(spark, sf):
     from ..sources.scans import changed_since
 
     return changed_since(rows(spark, sf, "assets").filter(F.col("prefix").startswith("video-dlp")), 60)
+
+
+@query("j15_existing_artefact", """SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 'video-min-' || id || '.json.br' WHEN 1 THEN 'video-dlp-' || id || '.json.br' ELSE id END AS artefact FROM (SELECT p_partkey, 'v' || lpad(CAST(p_partkey AS VARCHAR), 10, '0') AS id FROM part) WHERE p_partkey % 4 < 3""")
+def j15(spark, sf):
+    ids = rows(spark, sf, "SELECT p_partkey, 'v' || lpad(CAST(p_partkey AS STRING), 10, '0') AS video_id FROM {part}")
+    name = F.concat(F.lit("video-dlp-"), "video_id", F.lit(".json.br"))
+    k = F.col("p_partkey") % 4
+    files = ids.filter(k == 0).select(F.concat(F.lit("video-min-"), "video_id", F.lit(".json.br")).alias("name")).unionByName(ids.filter(k < 2).select(name.alias("name"))).unionByName(ids.filter(k < 3).select(F.col("video_id").alias("name")))
+    return A.existing_artefact(ids, files.unionByName(ids.select(F.lit("notes.txt").alias("name")))).join(ids, "video_id").select("p_partkey", "artefact")
+
+
+@query("st2_fresh_assets", cte("assets") + """SELECT ident, dir, prefix_rank, mtime, line FROM assets a WHERE dir = 'base' AND NOT EXISTS (SELECT 1 FROM assets u WHERE u.dir = 'uploaded' AND u.ident = a.ident AND u.prefix_rank >= a.prefix_rank AND u.mtime >= a.mtime)""")
+def st2(spark, sf):
+    a = rows(spark, sf, "assets")
+    return A.fresh(a.filter("dir = 'base'"), a.filter("dir = 'uploaded'")).select("ident", "dir", "prefix_rank", "mtime", "line")

@@ -69,3 +69,17 @@ def sk8(spark, sf):
     links = E.only_known(rows(spark, sf, "channel_videos"), rows(spark, sf, _VIDEOS))
     cut = 3000
     return E.merge_mapping(E.fold_mapping(links.filter(F.col("mtime") < cut)), links.filter(F.col("mtime") >= cut)).drop("collisions")
+
+
+@query("j5_outcomes_with_errors", FOLD.replace("f AS (WITH", f"vv AS ({_VIDEOS.replace('{part}', 'part')}), f AS (WITH") + """SELECT vv.video_id, CASE WHEN CAST(vv.video_id AS BIGINT) % 7 = 3 THEN 'error' WHEN f.video_id IS NULL THEN 'no_mapping' ELSE 'other' END AS outcome,
+    CASE WHEN CAST(vv.video_id AS BIGINT) % 7 = 3 THEN vv.channel_handle END AS untouched FROM vv LEFT JOIN f ON f.video_id = vv.video_id""")
+def j5e(spark, sf):
+    bad = F.when(F.col("video_id").cast("bigint") % 7 == 3, "unreadable").alias("bad")
+    out = E.augment(rows(spark, sf, _VIDEOS).select("*", bad), E.channel_facts(_mapping(spark, sf)), error="bad")
+    known = F.when(F.col("outcome").isin("updated", "noop"), "other").otherwise(F.col("outcome"))
+    return out.select("video_id", known.alias("outcome"), F.when(F.col("outcome") == "error", F.col("channel_handle")).alias("untouched"))
+
+
+@query("tk3_newest_channel_record", cte("channel_videos") + "SELECT channel_id, max(mtime) AS mtime FROM channel_videos GROUP BY 1")
+def tk3(spark, sf):
+    return E.newest(rows(spark, sf, "channel_videos"), "channel_id", "mtime").select("channel_id", "mtime")

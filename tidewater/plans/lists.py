@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import channels as C
 from ..operators import lists as L
-from .binding import cte, rows
+from .binding import cte, rows, scratch
 from .scalars import CANON, IDT, JSONCH, KEY, RANK, on
 
 QUERIES, SQL = {}, {}
@@ -145,11 +145,13 @@ def sk4(spark, sf):
     return L.membership(rows(spark, sf, "creators").select(F.col("creator_id").alias("channel_id")), rows(spark, sf, "creator_map"), "channel_id")
 
 
-@query("sc11_known_channels", cte("lines") + """SELECT DISTINCT 'tab' || CAST(pos % 97 AS VARCHAR) AS channel FROM lines WHERE pos % 14 = 11""")
+@query("sc11_known_channels", cte("lines") + r""", r AS (SELECT CASE WHEN starts_with(value, '{') THEN json_extract_string(value, '$.channel') WHEN contains(value, chr(9)) THEN split_part(value, chr(9), 2) ELSE value END AS raw FROM lines),
+    b AS (SELECT lower(regexp_replace(split_part(trim(raw), ',', 1), '^(https?://(www\.)?youtube\.com/)?@?', '')) AS channel FROM r)
+    SELECT DISTINCT channel FROM b WHERE channel <> '' AND NOT contains(channel, '@') AND NOT contains(channel, '#')""")
 def sc11(spark, sf):
     from ..sources.scans import known_channels
 
-    return known_channels(rows(spark, sf, "lines").filter("pos % 14 = 11"))
+    return known_channels(rows(spark, sf, "lines"))
 
 
 @query("sc17_mixed_ids", RESOLVED + " SELECT DISTINCT cid AS channel_id FROM p WHERE cid IS NOT NULL UNION SELECT 'UC' || lpad(CAST(c_custkey AS VARCHAR), 22, '0') FROM customer WHERE c_custkey % 4 = 0")
@@ -165,3 +167,74 @@ def j26(spark, sf):
     c = rows(spark, sf, "SELECT c_custkey, n_name AS country FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey")
     dim = rows(spark, sf, "SELECT upper(n_name) AS country_name, n_regionkey AS code FROM {nation}")
     return L.label_lookup(c, dim, F.col("country"), "country_name").select("c_custkey", "code")
+
+
+@query("j25_read_channels_whole", BASE + """, p AS (SELECT pos, CASE pos % 14 WHEN 0 THEN value WHEN 1 THEN value WHEN 2 THEN substr(value, 2) WHEN 3 THEN 'Chan' || CAST(pos % 97 AS VARCHAR) WHEN 4 THEN 'Chan' || CAST(pos % 97 AS VARCHAR) WHEN 5 THEN 'chan' || CAST(pos % 97 AS VARCHAR)
+        WHEN 11 THEN 'Tab' || CAST(pos % 97 AS VARCHAR) END AS h, CASE WHEN pos % 14 IN (6, 7, 10, 13) THEN 'UC' || lpad(CAST(pos % 97 AS VARCHAR), 22, '0') END AS cid FROM (SELECT b.pos AS first, l.pos, l.value FROM d1 b JOIN lines l ON l.value = b.value WHERE b.n = 1 QUALIFY row_number() OVER (PARTITION BY b.pos ORDER BY l.pos) = 1)),
+    q AS (SELECT first, coalesce(h, cm.handle) AS handle, cid FROM (SELECT p.*, b.pos AS first FROM p JOIN lines l ON l.pos = p.pos JOIN d1 b ON b.n = 1 AND b.value = l.value) p LEFT JOIN cm ON cm.channel_id = cid WHERE h IS NOT NULL OR cid IS NOT NULL),
+    e AS (SELECT handle, first FROM q WHERE handle IS NOT NULL UNION ALL SELECT 'New' || CAST(CAST(substr(cid, 3) AS INT) AS VARCHAR), first FROM q WHERE handle IS NULL AND CAST(substr(cid, 3) AS INT) % 5 <> 0 AND CAST(substr(cid, 3) AS INT) % 3 <> 0),
+    f AS (SELECT handle, min(first) AS pos FROM e GROUP BY 1), s AS (SELECT * FROM f WHERE handle NOT IN (SELECT 'Tab' || CAST(s_suppkey % 30 AS VARCHAR) FROM supplier) ORDER BY pos, handle LIMIT 90)
+    SELECT handle, pos FROM s WHERE handle NOT IN (SELECT 'Chan' || CAST(s_suppkey % 40 AS VARCHAR) FROM supplier) ORDER BY pos, handle LIMIT 60""")
+def j25w(spark, sf):
+    number = "CAST(n AS STRING)"
+    ids = "(SELECT DISTINCT c_custkey % 97 AS n FROM {customer})"
+    resolved = rows(spark, sf, f"SELECT 'UC' || lpad({number}, 22, '0') AS channel_id, CASE WHEN n % 3 = 0 THEN 'two words' ELSE 'New' || {number} END AS handle FROM {ids}")
+    marked = rows(spark, sf, f"SELECT 'UC' || lpad({number}, 22, '0') AS channel_id FROM {ids} WHERE n % 5 = 0")
+    scraped = rows(spark, sf, "SELECT DISTINCT 'Tab' || CAST(s_suppkey % 30 AS STRING) AS handle FROM {supplier}")
+    known = rows(spark, sf, "SELECT DISTINCT 'Chan' || CAST(s_suppkey % 40 AS STRING) AS handle FROM {supplier}")
+    return L.read_channels(rows(spark, sf, "lines"), maps(spark, sf)[0], resolved, marked, scraped, known, 60, 1_000_000, 90)
+
+
+@query("j14_new_videos", """SELECT o_orderkey AS video_id FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_linenumber = 5) AND o_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 3 = 0 AND o_orderkey % 5 <> 0)""")
+def j14(spark, sf):
+    entries = rows(spark, sf, "SELECT o_orderkey AS video_id FROM {orders}")
+    server = rows(spark, sf, "SELECT o_orderkey AS video_id, CASE WHEN o_orderkey % 5 <> 0 THEN o_orderkey % 3 = 0 END AS exists FROM {orders}")
+    return L.new_videos(entries, rows(spark, sf, "SELECT l_orderkey AS video_id FROM {lineitem} WHERE l_linenumber = 5"), server)
+
+
+@query("tk2_capped_resolution", "SELECT least(n, 40) AS taken, n - least(n, 40) AS deferred, least(n, 40) AS again FROM (SELECT count(DISTINCT c_name) AS n FROM customer)")
+def tk2(spark, sf):
+    ids = rows(spark, sf, "SELECT DISTINCT c_name AS id FROM {customer}")
+    taken = L.capped(ids, 40, 7, "id")
+    marked = ids.join(taken.withColumn("t", F.lit(1)), "id", "left").join(L.capped(ids, 40, 7, "id").withColumn("u", F.lit(1)), "id", "left")
+    return marked.agg(F.count("t").alias("taken"), F.count_if(F.col("t").isNull()).alias("deferred"), F.count_if(F.col("t").isNotNull() & F.col("u").isNotNull()).alias("again"))
+
+
+@query("sk5_map_export", cte("creator_map") + "SELECT channel_id, arg_max(handle, seq) AS handle FROM creator_map GROUP BY 1")
+def sk5(spark, sf):
+    from ..sources.scans import creator_map_lines, read_lines
+    from ..sources.sinks import export_map
+
+    path = scratch(spark, "map-export")
+    export_map(maps(spark, sf)[0], path)
+    return creator_map_lines(read_lines(spark, path))
+
+
+@query("sk10_dropped_entries", BASE + "SELECT value, 2 AS n FROM c WHERE result IS NULL")
+def sk10(spark, sf):
+    from ..sources.sinks import append_dropped
+
+    path = scratch(spark, "dropped")
+    dropped = L.clean_list(rows(spark, sf, "lines"), *maps(spark, sf))[1]
+    append_dropped(dropped, path)
+    append_dropped(dropped, path)
+    return spark.read.text(path).groupBy("value").agg(F.count(F.lit(1)).cast("int").alias("n"))
+
+
+@query("sk13_rewritten_list", cte("lines") + ENTRIES + DEDUPED + """, f AS (SELECT min(pos) AS p FROM lines WHERE NOT starts_with(trim(value), '#')), o AS (SELECT 0 AS part, pos, value FROM lines, f WHERE pos < p UNION ALL SELECT 1, pos, value FROM d1 WHERE n = 1)
+    SELECT CAST(row_number() OVER (ORDER BY part, pos) - 1 AS BIGINT) AS pos, value FROM o""")
+def sk13(spark, sf):
+    from ..sources.scans import read_lines
+    from ..sources.sinks import rewrite_list
+
+    path = scratch(spark, "list")
+    header, entries = L.split_header(rows(spark, sf, "lines"))
+    rewrite_list(header, L.dedupe_preserving_case(entries), entries.count(), path)
+    return read_lines(spark, path)
+
+
+@query("sc14_had_feed_ids", "SELECT DISTINCT 'UC' || CAST(c_nationkey AS VARCHAR) AS id FROM customer")
+def sc14(spark, sf):
+    from ..sources.scans import id_lines
+
+    return id_lines(rows(spark, sf, "SELECT CASE WHEN c_custkey % 9 = 0 THEN '  ' ELSE concat('UC', CAST(c_nationkey AS STRING), CASE WHEN c_custkey % 2 = 0 THEN ' ' ELSE '' END) END AS value FROM {customer}"))

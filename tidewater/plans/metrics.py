@@ -107,3 +107,44 @@ def st10(spark, sf):
 def st11(spark, sf):
     o = rows(spark, sf, "outcomes").groupBy(F.date_trunc("hour", "ts").alias("start")).agg(F.count_if("ok").alias("rate"), F.max("key").alias("backlog"))
     return o.withColumn("firing", (F.col("rate") < 40) & (F.col("backlog") > 10))
+
+
+_MESSAGES = """SELECT event_id, named_struct('platform', CASE WHEN event_id % 2 = 0 THEN 'youtube' ELSE 'other' END, 'entity', event_type, 'data_url', concat('https://x/api/v1/data/param/u', CAST(user_id % 3 AS STRING), '/youtube/', event_type, '/0.0.', CAST(event_id % 4 AS STRING), '/file')) AS data FROM {events}"""
+
+
+@query("st1_filtered_messages", "SELECT event_id FROM events WHERE event_id % 2 = 0 AND event_type = 'click' AND user_id % 3 = 1 AND event_id % 4 = 2")
+def st1(spark, sf):
+    from ..streaming.jobs import filter_messages
+
+    return filter_messages(rows(spark, sf, _MESSAGES), "youtube", "click", "u1", "0.0.2").select("event_id")
+
+
+@query("st3_failures_with_ttl", BASE + """, g AS (SELECT *, CASE WHEN ok OR epoch_us(ts) - lag(epoch_us(ts)) OVER w > 7200 * 1000000::BIGINT THEN 1 ELSE 0 END AS b FROM outcomes WINDOW w AS (PARTITION BY key ORDER BY ts, event_id)),
+    i AS (SELECT *, sum(b) OVER (PARTITION BY key ORDER BY ts, event_id) AS isl FROM g) SELECT event_id, CAST(sum(CAST(NOT ok AS INT)) OVER (PARTITION BY key, isl ORDER BY ts, event_id) AS BIGINT) AS failures FROM i""")
+def st3(spark, sf):
+    return M.failures_with_ttl(rows(spark, sf, "outcomes"), 7200).select("event_id", "failures")
+
+
+@query("st4_ever_had_feed", BASE + "SELECT DISTINCT CAST(key AS BIGINT) AS key FROM outcomes WHERE ok")
+def st4(spark, sf):
+    from ..streaming.jobs import ever_had_feed
+
+    return ever_had_feed(rows(spark, sf, "outcomes")).select(F.col("key").cast("bigint").alias("key"))
+
+
+@query("st5_open_breakers", _RUNS + ", l AS (SELECT key, arg_max(streak, struct_pack(a := ts, b := event_id)) AS streak FROM s GROUP BY 1) SELECT CAST(key AS BIGINT) AS key, CAST(streak // 2 AS INT) AS opens FROM l WHERE streak // 2 > 0")
+def st5(spark, sf):
+    last = M.breaker(M.failure_runs(rows(spark, sf, "outcomes")), 2).groupBy("key").agg(F.max_by("opens", F.struct("ts", "event_id")).alias("opens"))
+    return last.filter("opens > 0").select(F.col("key").cast("bigint").alias("key"), F.col("opens").cast("int").alias("opens"))
+
+
+_CLAIMS = "SELECT CAST(user_id % 40 AS BIGINT) AS resource, event_id, ts, CASE WHEN value < 30 THEN 'release' ELSE 'claim' END AS op, event_type AS owner FROM {events}"
+
+
+@query("st8_claim_audit", f"""WITH RECURSIVE c AS (SELECT *, CAST(epoch_ms(ts) AS BIGINT) AS ms, row_number() OVER (PARTITION BY resource ORDER BY epoch_ms(ts), event_id) AS n FROM ({_CLAIMS.replace('{events}', 'events')})),
+    r AS (SELECT resource, CAST(0 AS BIGINT) AS n, CAST(NULL AS BIGINT) AS event_id, CAST(NULL AS VARCHAR) AS holder, CAST(0 AS BIGINT) AS ends, FALSE AS granted FROM (SELECT DISTINCT resource FROM c)
+        UNION ALL SELECT c.resource, c.n, c.event_id, CASE WHEN NOT g THEN holder WHEN op = 'release' THEN NULL ELSE owner END, CASE WHEN NOT g THEN ends WHEN op = 'release' THEN 0 ELSE ms + 3600000 END, g
+        FROM r JOIN c ON c.resource = r.resource AND c.n = r.n + 1, LATERAL (SELECT CASE WHEN op = 'release' THEN coalesce(holder = owner AND ms < ends, FALSE) ELSE holder IS NULL OR ms >= ends END AS g))
+    SELECT resource, event_id, granted FROM r WHERE n > 0""")
+def st8(spark, sf):
+    return M.audit_claims(rows(spark, sf, _CLAIMS), 3600)

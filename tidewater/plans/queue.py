@@ -96,7 +96,14 @@ def j12(spark, sf):
     return O.populate(b, known, b.filter("pos % 13 = 0"), "pos", ("name",))
 
 
-@query("j12_populate_by_id_and_name")
+_KNOWN_IDS = "SELECT 'UC' || lpad(CAST(s_suppkey AS VARCHAR), 22, '0') FROM supplier"
+
+
+@query("j12_populate_by_id_and_name", f"""WITH RECURSIVE b AS ({_BATCH.replace('{customer}', 'customer')}), ok AS (SELECT *, row_number() OVER (ORDER BY pos) AS n FROM b WHERE pos % 13 <> 0 AND lower(name) NOT IN (SELECT 'name' || CAST(s_suppkey AS VARCHAR) FROM supplier)
+        AND creator_id NOT IN ({_KNOWN_IDS}) AND creator_id NOT IN (SELECT creator_id FROM b WHERE pos % 13 = 0)),
+    r AS (SELECT CAST(0 AS BIGINT) AS n, CAST([] AS VARCHAR[]) AS seen, FALSE AS good UNION ALL SELECT o.n, CASE WHEN g THEN list_concat(seen, [lower(creator_id), lower(name)]) ELSE seen END, g
+        FROM r JOIN ok o ON o.n = r.n + 1, LATERAL (SELECT NOT list_contains(seen, lower(creator_id)) AND NOT list_contains(seen, lower(name)) AS g))
+    SELECT pos, creator_id, name FROM ok JOIN r ON r.n = ok.n WHERE r.good""")
 def j12b(spark, sf):
     b = rows(spark, sf, _BATCH)
     known = rows(spark, sf, "SELECT 'name' || CAST(s_suppkey AS STRING) AS name, 'UC' || lpad(CAST(s_suppkey AS STRING), 22, '0') AS creator_id FROM {supplier}")

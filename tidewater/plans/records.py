@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import imports as I
 from ..operators import lists as L
 from ..operators import records as R
-from .binding import cte, rows
+from .binding import cte, rows, scratch
 
 QUERIES, SQL = {}, {}
 
@@ -92,9 +92,12 @@ def a17(spark, sf):
     return R.batch_outcomes(R.reconcile(b, rows(spark, sf, _RESULT)).join(b.select("idx", "batch"), "idx"))
 
 
-@query("sk6_pack_batches")
+@query("sk6_pack_batches", """WITH RECURSIVE s AS (SELECT doc_id, CAST(doc_id % 8 AS INT) AS shard, CAST(strlen(text) + 1 AS BIGINT) AS bytes, row_number() OVER (PARTITION BY doc_id % 8 ORDER BY doc_id) AS n FROM documents WHERE strlen(text) + 1 <= 200000),
+    r AS (SELECT doc_id, shard, bytes, n, 0 AS batch, 1 AS records, bytes AS size FROM s WHERE n = 1 UNION ALL SELECT s.doc_id, s.shard, s.bytes, s.n, CASE WHEN ends THEN batch + 1 ELSE batch END, CASE WHEN ends THEN 1 ELSE records + 1 END, CASE WHEN ends THEN s.bytes ELSE size + s.bytes END
+        FROM r JOIN s ON s.shard = r.shard AND s.n = r.n + 1, LATERAL (SELECT records >= 100 OR size + s.bytes > 200000 AS ends))
+    SELECT doc_id, shard, batch, bytes FROM r""")
 def sk6(spark, sf):
-    return R.pack_batches(rows(spark, sf, "SELECT doc_id, to_json(struct(doc_id, text)) AS line FROM {documents}"), 8, 100, 200_000, "doc_id", "doc_id", "line")
+    return R.pack_batches(rows(spark, sf, "SELECT doc_id, text AS line FROM {documents}"), 8, 100, 200_000, "doc_id", "doc_id", "line", F.pmod("doc_id", F.lit(8)))
 
 
 @query("pf11_delete_matching", "SELECT doc_id, lang, source FROM documents WHERE NOT (lang = 'fr' AND source = 'src3')")
@@ -122,7 +125,7 @@ def j27(spark, sf):
 @query("j21_j22_existing_records", "SELECT doc_id, doc_id % 3 = 0 AS has_formats FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)")
 def j22(spark, sf):
     d = rows(spark, sf, """SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN '{{"formats":{{"18":1}}}}' WHEN 1 THEN '{{"formats":[]}}' ELSE '{{}}' END AS payload FROM {documents}""")
-    return d.join(rows(spark, sf, "SELECT doc_id FROM {labels}"), "doc_id", "left_semi").select("doc_id", R.has_formats(F.col("payload")).alias("has_formats"))
+    return R.existing_records(d, rows(spark, sf, "SELECT doc_id FROM {labels}"), key="doc_id").select("doc_id", R.has_formats(F.col("payload")).alias("has_formats"))
 
 
 @query("pf16_pf17_pf26_documents", """SELECT p_partkey AS k, '{"p_partkey":' || CAST(p_partkey AS VARCHAR) || ',"title":"' || p_name || '","view_count":' || CAST(CASE WHEN p_partkey % 2 = 0 THEN p_size ELSE 0 END AS VARCHAR) || CASE WHEN p_partkey % 3 = 0 THEN ',"locale":"x"}' ELSE '}' END AS doc FROM part""")
@@ -175,3 +178,103 @@ def sc18(spark, sf):
     from ..sources.scans import mapping_table
 
     return mapping_table(rows(spark, sf, """SELECT concat('{{"v', CAST(s_suppkey AS STRING), '":{{"channel_id":', CASE WHEN s_suppkey % 2 = 0 THEN '"c"' ELSE 'null' END, CASE WHEN s_suppkey % 3 <> 0 THEN concat(',"channel_handle":"', s_name, '"') ELSE '' END, '}}}}') AS value FROM {supplier}"""))
+
+
+@query("pf15_channel_actions", """WITH i AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 6 = 0 THEN 'delete_superseded' WHEN c_custkey % 6 = 1 THEN 'skip_unreadable' WHEN c_custkey % 6 IN (2, 3) THEN 'skip_no_channel_id' WHEN c_custkey % 6 = 4 THEN 'mark_invalid' ELSE 'send' END AS action FROM customer) SELECT k, action FROM i""")
+def pf15(spark, sf):
+    d = rows(spark, sf, """SELECT c_custkey AS k, c_custkey % 6 = 0 AS superseded, c_custkey % 6 > 1 AS read_ok, CASE WHEN c_custkey % 6 = 2 THEN '' WHEN c_custkey % 6 > 3 THEN 'UC' END AS id, CASE WHEN c_custkey % 6 < 5 THEN 'bad' END AS error FROM {customer}""")
+    return d.select("k", R.channel_action(F.col("superseded"), F.col("read_ok"), F.col("id"), F.col("error")).alias("action"))
+
+
+_ANNOTATED = """{"properties": {"p_partkey": {"x-scrape-field": "platform_content_id"}, "p_name": {"x-scrape-field": "platform_topic_id"}, "p_brand": {"type": "string"}, "p_type": {"x-scrape-field": "source_url"}}}"""
+
+
+@query("pf17_annotated_fields", "SELECT p_partkey AS platform_content_id, p_name AS platform_topic_id, p_type AS source_url FROM part")
+def pf17(spark, sf):
+    return R.annotated(rows(spark, sf, "SELECT * FROM {part}"), _ANNOTATED, "x-scrape-field")
+
+
+@query("pf26_upload_envelopes", """SELECT p_partkey AS k, 'me|youtube|video|0.0.1|https://x/' || CAST(p_partkey AS VARCHAR) AS head, '{"p_partkey":' || CAST(p_partkey AS VARCHAR) || ',"p_name":"' || p_name || '"}' AS data FROM part WHERE p_partkey % 3 <> 0""")
+def pf26(spark, sf):
+    d = rows(spark, sf, "SELECT p_partkey, p_name FROM {part}")
+    e = R.envelope(d, "me", "youtube", "video", "0.0.1", F.concat(F.lit("https://x/"), "p_partkey"), F.when(F.col("p_partkey") % 3 == 0, "invalid")).select("envelope.*")
+    return e.select(F.col("data.p_partkey").alias("k"), F.concat_ws("|", "username", "platform", "entity", "version", "source_url").alias("head"), F.to_json("data").alias("data"))
+
+
+@query("a12_union_sets", "SELECT p_brand, list_sort(list_distinct(flatten(list([p_type, p_name, 'x'])))) AS values FROM part GROUP BY 1")
+def a12(spark, sf):
+    d = rows(spark, sf, "SELECT p_brand, array(p_type, p_name) AS keywords, CASE WHEN p_size % 2 = 0 THEN array(p_name, 'x', CAST(NULL AS STRING)) ELSE array('x') END AS tags, CAST(NULL AS ARRAY<STRING>) AS countries FROM {part}")
+    return R.union_sets(d, "p_brand", "keywords", "tags", "countries")
+
+
+@query("tk5_first_rows", "SELECT o_orderkey FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 100")
+def tk5(spark, sf):
+    return R.first_rows(rows(spark, sf, "SELECT o_orderkey, o_totalprice FROM {orders}"), 100, F.desc("o_totalprice"), "o_orderkey").select("o_orderkey")
+
+
+@query("sc1_multi_format_scan", "SELECT CAST(c_custkey AS VARCHAR) AS k, c_name AS name, CASE c_custkey % 3 WHEN 1 THEN CAST(c_nationkey AS VARCHAR) END AS nation FROM customer")
+def sc1(spark, sf):
+    from ..sources.scans import read_dataset
+
+    path = scratch(spark, "dataset")
+    d = rows(spark, sf, "SELECT c_custkey AS k, c_name AS name, c_nationkey AS nation FROM {customer}")
+    d.filter("k % 3 = 0").select("k", "name").write.option("header", True).csv(f"{path}/a/csv")
+    d.filter("k % 3 = 1").selectExpr("to_json(struct(k, name, nation)) AS value").unionByName(rows(spark, sf, "SELECT '{{broken' AS value FROM {nation}")).write.text(f"{path}/b")
+    _renamed(spark, f"{path}/b", ".txt", ".jsonl")
+    d.filter("k % 3 = 2").select("k", "name").write.parquet(f"{path}/c")
+    return read_dataset(spark, path).select("k", "name", "nation")
+
+
+@query("sc3_documents_by_suffix", "SELECT 'ok' AS error, count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS total FROM orders UNION ALL SELECT 'unsupported file extension', count(DISTINCT o_orderpriority), NULL FROM orders")
+def sc3(spark, sf):
+    from ..sources.scans import read_documents
+
+    path = scratch(spark, "documents")
+    d = rows(spark, sf, "SELECT o_orderkey, o_orderpriority FROM {orders}")
+    lines = d.selectExpr("concat('{\"k\":', o_orderkey, '}') AS value", "o_orderkey % 20 AS part")
+    lines.filter("part % 2 = 0").select("value").coalesce(4).write.option("compression", "gzip").mode("append").json(f"{path}/gz")
+    lines.filter("part % 2 = 1").select("value").coalesce(4).write.mode("append").json(f"{path}/plain")
+    d.selectExpr("o_orderpriority", "1 AS n").distinct().write.partitionBy("o_orderpriority").csv(f"{path}/other")
+    found = read_documents(spark, path)
+    kinds = found.filter("error is not null").groupBy(F.regexp_extract("path", "o_orderpriority=([^/]*)", 1).alias("p")).agg(F.first("error").alias("error")).groupBy("error").agg(F.count(F.lit(1)).alias("n"), F.lit(None).cast("bigint").alias("total"))
+    lines = found.filter("error is null").select(F.explode(F.split("text", "\n")).alias("line")).filter("line <> ''")
+    number = F.get_json_object(F.get_json_object("line", "$.value"), "$.k").cast("bigint")
+    return lines.agg(F.lit("ok").alias("error"), F.count(F.lit(1)).alias("n"), F.sum(number).alias("total")).unionByName(kinds)
+
+
+@query("sk1_appended_lines", "SELECT n_nationkey AS k, n_name AS name, 2 AS n FROM nation")
+def sk1(spark, sf):
+    from ..sources.sinks import append_jsonl
+
+    path = scratch(spark, "appended")
+    d = rows(spark, sf, "SELECT n_nationkey AS k, n_name AS name FROM {nation}")
+    append_jsonl(d, path)
+    append_jsonl(d, path)
+    return spark.read.schema("k bigint, name string").json(path).groupBy("k", "name").agg(F.count(F.lit(1)).cast("int").alias("n"))
+
+
+@query("vl3_inferred_schema", "SELECT name, kind FROM (VALUES ('ok', 'boolean,null'), ('k', 'integer,null'), ('rate', 'number,null'), ('tags', 'array,null of string,null'), ('name', 'string,null'), ('at', 'object')) v(name, kind)")
+def vl3(spark, sf):
+    from ..operators.validation import infer_schema
+
+    d = rows(spark, sf, "SELECT to_json(named_struct('k', c_custkey, 'name', c_name, 'rate', c_acctbal / 3, 'ok', c_custkey % 2 = 0, 'tags', array(c_mktsegment), 'at', named_struct('n', c_nationkey))) AS value FROM {customer}")
+    lines = spark.read.json(_written(spark, d))
+    found = infer_schema(lines.schema)["properties"]
+    kinds = [(n, ",".join(s["type"]) + (" of " + ",".join(s["items"]["type"]) if "items" in s else "") if isinstance(s["type"], list) else s["type"]) for n, s in found.items()]
+    return spark.createDataFrame(kinds, "name string, kind string")
+
+
+def _renamed(spark, folder: str, old: str, new: str) -> None:
+    """Give the files of a folder another suffix."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for f in fs.listStatus(at):
+        name = f.getPath().getName()
+        if name.endswith(old):
+            fs.rename(f.getPath(), spark._jvm.org.apache.hadoop.fs.Path(at, name[: -len(old)] + new))
+
+
+def _written(spark, lines) -> str:
+    path = scratch(spark, "lines")
+    lines.write.text(path)
+    return path

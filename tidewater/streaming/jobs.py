@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions import web as W
+from ..operators.metrics import claim_step
 
 
 def read_events(spark: SparkSession, path: str, schema: str, files_per_trigger: int = 100) -> DataFrame:
@@ -126,12 +127,7 @@ class _Claims(StatefulProcessor):
         out = []
         for r in pd.concat(list(rows)).sort_values(["ts", "event_id"]).itertuples():
             now = r.ts.value // 1_000_000
-            if r.op == "release":
-                granted = owner == r.owner and now < until
-                owner, until = (None, 0) if granted else (owner, until)
-            else:
-                granted = owner is None or now >= until
-                owner, until = (r.owner, now + self.ttl_ms) if granted else (owner, until)
+            (owner, until), granted = claim_step((owner, until), now, r.op, r.owner, self.ttl_ms)
             out.append((key[0], r.event_id, granted))
         self.state.update((owner, until))
         yield pd.DataFrame(out, columns=["resource", "event_id", "granted"])
