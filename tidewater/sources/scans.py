@@ -61,7 +61,7 @@ def read_documents(spark: SparkSession, root: str) -> DataFrame:
     name = F.regexp_extract("path", r"([^/]+)$", 1)
     every = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", name.alias("_name"))
     other = every.filter(~F.col("_name").rlike(r"\.json(\.gz)?$")).select("path", F.lit(None).cast("string").alias("text"), F.lit("unsupported file extension").alias("error"))
-    texts = spark.read.option("recursiveFileLookup", True).option("wholetext", True).option("pathGlobFilter", "*.{json,json.gz}").text(root)
+    texts = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.{json,json.gz}").text(root, wholetext=True)
     return texts.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"), F.lit(None).cast("string").alias("error")).unionByName(other)
 
 
