@@ -211,7 +211,6 @@ def check_packing(rows, docs, tokenizer, end):
 def test_packing(spark):
     path = public_tokenizers.path("byte_bpe_50k.json")
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
     rows = queries.QUERIES["op8_packing"](spark, SMALL).collect()
     assert {r.doc_id for r in rows} == set(docs)
@@ -224,6 +223,23 @@ def test_packing(spark):
     assert packing.pack_documents(spark.createDataFrame([(None, "a"), (1, "a"), (1, "a")], "doc_id long, text string"), path).select("sequence_id").count() >= 3
 
 
+def test_step_groups_last_over_batches(spark):
+    """Groups of a tier hold the asked number of sequences, however few rows a batch has; only the end of a task leaves fewer."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").coalesce(1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        rows = packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), step_sequences=4).select("window", "step_id", "sequence_id").distinct().collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    sizes = {}
+    for r in rows:
+        sizes.setdefault((r.window, r.step_id), []).append(r.sequence_id)
+    for window in (2048, 1024, 512, 256):
+        own = [len(v) for (w, _), v in sorted(sizes.items()) if w == window]
+        assert sum(n < 4 for n in own) <= 1 and max(own, default=4) <= 4, (window, own)
+    assert len({s for _, s in sizes}) == len(sizes)
+
+
 def test_filters_without_usable_labels(spark, tmp_path):
     good, bad = "a calm and useful text about gardens ", "vile hateful stupid insults everywhere "
     docs = spark.createDataFrame([(i, (good if i % 2 else bad) * 3 + str(i)) for i in range(40)], "doc_id long, text string")

@@ -19,10 +19,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import materialize
+from .shared import by_characters, materialize
 from .shingles import OnePermutation, shingle_set
 
 BANDS, ROWS = 40, 6
+#: Of texts that a task holds as Python values at a time, or one text.
+BATCH_CHARS = 8_000_000
 #: Of counts that are alike for a bound, by centre.
 LEVELS = 32
 
@@ -38,7 +40,7 @@ def _sketches(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = OnePermutation(bands, rows)
-        for batch in batches:
+        for batch in by_characters(batches, 1, BATCH_CHARS):
             sets = [shingle_set(t, width) for t in batch.column(1).to_pylist()]
             digests = [xxhash.xxh3_128_intdigest(s.tobytes()) for s in sets]
             halves = np.array([[d >> 64, d & (2**64 - 1)] for d in digests], dtype=np.uint64).reshape(-1, 2).view(np.int64)
@@ -53,7 +55,7 @@ def _sketches(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
 
 def _sets(docs: DataFrame, width: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in by_characters(batches, 1, BATCH_CHARS):
             yield pa.RecordBatch.from_arrays([batch.column(0), _lists([shingle_set(t, width) for t in batch.column(1).to_pylist()])], names=["node", "set"])
 
     return docs.mapInArrow(run, f"node {docs.schema['_x_id'].dataType.simpleString()}, set array<bigint>")

@@ -7,7 +7,7 @@ only the end of a task leaves a part of a window; it goes out as full windows of
 tier are dealt to step groups in serpentine order of their attention cost, so the groups of a batch cost about the same.
 
 Packing needs no shuffle: each input partition is packed where it is tokenized, batch by batch, and between batches a
-task holds less than one window of tokens for each tier.
+task holds less than one window of tokens and one step group of finished windows for each tier.
 """
 
 from __future__ import annotations
@@ -22,10 +22,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import byte_bpe
+from .shared import by_characters
 
 TIERS = (2048, 1024, 512, 256)
 END_ID = 1
 STEP_SEQUENCES = 32
+#: Of texts that a task holds as Python values at a time, or one text.
+BATCH_CHARS = 8_000_000
 
 
 class Packer:
@@ -93,8 +96,14 @@ class Packer:
             self.out.append((window, pieces))
             left -= window
 
-    def taken(self) -> list[tuple[int, list]]:
-        out, self.out = self.out, []
+    def taken(self, size: int) -> list[tuple[int, list]]:
+        """The finished windows that make up whole step groups of size; the others of a tier wait for more, at most size - 1."""
+        count = {t: sum(w == t for w, _ in self.out) // size * size for t in {w for w, _ in self.out}}
+        out, rest = [], []
+        for window in self.out:
+            (out if count[window[0]] > 0 else rest).append(window)
+            count[window[0]] -= 1
+        self.out = rest
         return out
 
 
@@ -112,10 +121,11 @@ def _step_of(windows: list[tuple[int, list]], size: int) -> list[tuple[int, int]
 
 def pack_documents(
     df: DataFrame, tokenizer_path: str, tiers: tuple[int, ...] = TIERS, id_col: str = "doc_id", text_col: str = "text",
-    end_id: int = END_ID, step_sequences: int = STEP_SEQUENCES, with_ids: bool = False, added_tokens: bool = False,
+    end_id: int = END_ID, step_sequences: int = STEP_SEQUENCES, with_ids: bool = False, added_tokens: bool = True,
 ) -> DataFrame:
     """One row per piece: id, start, length, ids_crc32, doc_tokens, sequence_id, offset, window, step_id and, with_ids, ids.
 
+    Strings of the vocabulary's added tokens become their ids, as in the tokenizers library, unless added_tokens is false.
     Every id lies in exactly one piece and every sequence is full, its length a power of two up to the largest tier.
     Defined cases: a null or empty text is the end id alone; ids may be null or repeated, each row is a document of its
     own; an empty table gives no piece; other columns of df are ignored.
@@ -129,9 +139,9 @@ def pack_documents(
         packer, made, made_steps = Packer(tiers), 0, 0
         bpe = byte_bpe.load(tokenizer_path)
 
-        def emit() -> pa.RecordBatch | None:
+        def emit(size: int) -> pa.RecordBatch | None:
             nonlocal made, made_steps
-            windows = packer.taken()
+            windows = packer.taken(size)
             if not windows:
                 return None
             steps = _step_of(windows, step_sequences)
@@ -152,16 +162,16 @@ def pack_documents(
 
         names = [id_col, *[f.split()[0] for f in fields.split(", ")], *["ids"] * with_ids]
         id_kind = pa.int64()
-        for batch in batches:
+        for batch in by_characters(batches, 1, BATCH_CHARS):
             id_kind = batch.schema.field(0).type
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ids = memoryview(bpe.encode(text or "", added_tokens) + end)
                 packer.add((doc, ids, len(ids) // 4))
             packer.pack()
-            if out := emit():
+            if out := emit(step_sequences):
                 yield out
         packer.finish()
-        if out := emit():
+        if out := emit(1):
             yield out
 
     slim = df.select(F.col(id_col), F.col(text_col).cast("string").alias("_x_text"))
