@@ -22,11 +22,12 @@ def no_feed_snapshot(no_feeds: DataFrame, path: str) -> None:
     no_feeds.select("creator_id", "url", "name", "count").orderBy(F.desc("count"), "creator_id").write.mode("overwrite").option("sep", "\t").csv(path)
 
 
-def queue_snapshot(queue: DataFrame) -> DataFrame:
-    """(tier, rows): one JSON list of [due, name, id] per tier and part; parts bound the size of a line."""
+def queue_snapshot(queue: DataFrame, rows_per_line: int = 10_000) -> DataFrame:
+    """(tier, part, rows): JSON lists of [due, name, id]; a tier has as many parts as keep a line at about rows_per_line entries."""
     entry = F.array(F.col("due_ts").cast("string"), F.col("name"), F.col("creator_id"))
-    part = F.pmod(F.xxhash64("creator_id"), F.lit(64))
-    return queue.groupBy("tier", part.alias("part")).agg(F.to_json(F.array_sort(F.collect_list(entry))).alias("rows")).select("tier", "part", "rows")
+    parts = queue.groupBy("tier").agg(F.ceil(F.count(F.lit(1)) / rows_per_line).alias("_parts"))
+    part = F.pmod(F.xxhash64("creator_id"), F.col("_parts"))
+    return queue.join(parts, "tier").groupBy("tier", part.alias("part")).agg(F.to_json(F.array_sort(F.collect_list(entry))).alias("rows")).select("tier", "part", "rows")
 
 
 def import_videos(videos: DataFrame, path: str, formats: str | None = None) -> None:
