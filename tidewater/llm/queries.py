@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, embed_dedup, exact_dedup, lm, minhash, packing, pieces, quality, sharding, toxicity
+from . import chat, embed_dedup, exact_dedup, lm, minhash, packing, pieces, quality, sharding, toxicity, vector_codes
 from .shared import in_split
 
 SHARD_BYTES = 1 << 20
@@ -70,6 +70,44 @@ def op10_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.extendible_shards(_table(spark, sf_dir, "documents"), SHARD_BYTES)
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.vector_codes(_table(spark, sf_dir, "embeddings"))
+
+
+def _vector_codes_sql(parts: int = 16, entries: int = 64, rounds: int = 2) -> str:
+    """Plain assignment of every part to every entry, round by round."""
+
+    def assigned(k: int) -> str:
+        return f"""a{k} AS MATERIALIZED (
+            SELECT p.r, p.part, min(list_sum(list_transform(list_zip(p.z, b.z), lambda t: (t[1] - t[2]) * (t[1] - t[2]))) * {entries} + b.entry) AS m
+            FROM p JOIN b{k} b ON p.part = b.part GROUP BY p.r, p.part)"""
+
+    def moved(k: int) -> str:
+        return f"""s{k} AS (
+            SELECT part, m % {entries} AS entry, w, CAST(sum(z[w]) AS BIGINT) AS s, count(*) AS n
+            FROM (SELECT p.part, a.m, p.z, unnest(range(1, len(p.z) + 1)) AS w FROM a{k} a JOIN p ON a.r = p.r AND a.part = p.part) GROUP BY ALL),
+        b{k + 1} AS MATERIALIZED (
+            SELECT part, entry, coalesce(n.z, o.z) AS z FROM b{k} o LEFT JOIN (
+                SELECT part, entry, list((s - ((s % n) + n) % n) // n ORDER BY w) AS z FROM s{k} GROUP BY part, entry) n USING (part, entry))"""
+
+    steps = ", ".join(f"{assigned(k)}, {moved(k)}" for k in range(rounds))
+    return f"""
+        WITH v AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS r, vec_id, label,
+                list_transform(embedding, lambda x: CAST(floor(256.0 * CAST(x AS DOUBLE)) AS BIGINT)) AS z
+            FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        p AS MATERIALIZED (
+            SELECT r, part, z[part * (len(z) // {parts}) + 1 : (part + 1) * (len(z) // {parts})] AS z
+            FROM v, (SELECT CAST(unnest(range(0, {parts})) AS BIGINT) AS part)),
+        b0 AS MATERIALIZED (SELECT part, r - 1 AS entry, z FROM p WHERE r <= {entries}),
+        {steps}, {assigned(rounds)},
+        c AS (SELECT r, string_agg(printf('%02x', m % {entries}), '' ORDER BY part) AS code, CAST(sum(m // {entries}) AS BIGINT) AS error FROM a{rounds} GROUP BY r)
+        SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+            (SELECT sha256(string_agg(x, ',' ORDER BY part, entry, w)) FROM (
+                SELECT part, entry, unnest(range(1, len(z) + 1)) AS w, unnest(z) AS x FROM b{rounds})) AS codebooks_sha256
+        FROM c JOIN v USING (r)"""
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_embed_dedup": op2_embed_dedup,
@@ -81,6 +119,7 @@ QUERIES = {
     "op7_chat_format": op7_chat_format,
     "op9_lm": op9_lm,
     "op10_extendible_shards": op10_extendible_shards,
+    "op11_vector_codes": op11_vector_codes,
 }
 
 SQL = {
@@ -114,4 +153,5 @@ SQL = {
         SELECT doc_id, n_bytes, CASE WHEN depth = 0 THEN '' ELSE right(lpad(bin(prefix), 60, '0'), depth) END AS shard_id, depth,
             CAST(shard_bytes AS BIGINT) AS shard_bytes, shard_rows, FALSE AS oversized
         FROM l WHERE k = 1""",
+    "op11_vector_codes": _vector_codes_sql(),
 }
