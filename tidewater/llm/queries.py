@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, embed_dedup, exact_dedup, lm, minhash, packing, pieces, quality, sharding, toxicity, vector_codes
+from . import chat, embed_dedup, exact_dedup, lm, merkle, minhash, packing, pieces, quality, sharding, toxicity, vector_codes
 from .shared import in_split
 
 SHARD_BYTES = 1 << 20
@@ -108,6 +108,45 @@ def _vector_codes_sql(parts: int = 16, entries: int = 64, rounds: int = 2) -> st
         FROM c JOIN v USING (r)"""
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.merkle_manifest(_table(spark, sf_dir, "documents"), in_split("doc_id", 2, 0))
+
+
+def _merkle_sql() -> str:
+    """All levels of all trees, every leaf's siblings by joins, and a fold over them."""
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    field = "coalesce(strlen(CAST({0} AS VARCHAR)) || ':' || CAST({0} AS VARCHAR), '-')"
+    leaf = lambda text: "sha256(" + " || ".join(field.format(text if c == "text" else c) for c in fields) + ")"
+    # crc32 of the decimal id: a list of bytes, each followed by eight marks for the eight shifts
+    bits = "flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))"
+    crc = f"xor(list_reduce(list_concat([4294967295::BIGINT], {bits}), lambda c, v: CASE WHEN v >= 0 THEN xor(c, v) ELSE xor(c >> 1, (c & 1) * 3988292384) END), 4294967295)"
+    climb = """SELECT CAST(max(lvl) + 1 AS BIGINT), tree, idx // 3, sha256(string_agg(d, '' ORDER BY idx))
+            FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS c FROM {0}) WHERE c > 1 GROUP BY tree, idx // 3"""
+    step = """SELECT l.r, {2} + n.lvl AS lvl, coalesce(string_agg(n.d, '' ORDER BY n.idx) FILTER (n.idx < l.{1} // CAST(pow(3, n.lvl) AS BIGINT)), '') AS a,
+                coalesce(string_agg(n.d, '' ORDER BY n.idx) FILTER (n.idx > l.{1} // CAST(pow(3, n.lvl) AS BIGINT)), '') AS b
+            FROM l JOIN {0} n ON n.tree = {3} AND n.idx // 3 = l.{1} // CAST(pow(3, n.lvl) AS BIGINT) // 3
+            JOIN (SELECT tree, max(lvl) AS top FROM {0} GROUP BY tree) t ON t.tree = n.tree AND n.lvl < t.top GROUP BY l.r, n.lvl"""
+    return f"""
+        WITH RECURSIVE d AS MATERIALIZED (
+            SELECT doc_id, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, {leaf("text")} AS leaf,
+                CASE WHEN {crc} % 2 = 0 THEN {leaf("replace(text, chr(10), '')")} ELSE {leaf("text")} END AS met FROM documents),
+        l AS MATERIALIZED (
+            SELECT *, row_number() OVER (ORDER BY tree, doc_id NULLS FIRST, leaf) AS r, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx FROM d),
+        up AS (SELECT CAST(0 AS BIGINT) AS lvl, tree, idx, leaf AS d FROM l UNION ALL {climb.format("up")}),
+        tops AS MATERIALIZED (SELECT tree, arg_max(d, lvl) AS d FROM up GROUP BY tree),
+        over_ AS (SELECT CAST(0 AS BIGINT) AS lvl, 0 AS tree, tree AS idx, d FROM tops UNION ALL {climb.format("over_")}),
+        steps AS MATERIALIZED (
+            SELECT *, row_number() OVER (PARTITION BY r ORDER BY lvl) - 1 AS k
+            FROM ({step.format("up", "idx", 0, "l.tree")} UNION ALL {step.format("over_", "tree", 1000, 0)})),
+        folds AS (
+            SELECT r, CAST(0 AS BIGINT) AS k, met AS d FROM l
+            UNION ALL SELECT f.r, f.k + 1, sha256(s.a || f.d || s.b) FROM folds f JOIN steps s ON s.r = f.r AND s.k = f.k),
+        root AS (SELECT arg_max(d, lvl) AS root FROM over_),
+        p AS (SELECT r, sha256(string_agg(a || b, '' ORDER BY k)) AS proof FROM steps GROUP BY r)
+        SELECT l.doc_id, l.leaf, tops.d AS subroot, root, coalesce(p.proof, sha256('')) AS proof_sha256, e.d AS folded_root, e.d = root AS verified
+        FROM l JOIN tops USING (tree) LEFT JOIN p USING (r) JOIN (SELECT r, arg_max(d, k) AS d FROM folds GROUP BY r) e USING (r) CROSS JOIN root"""
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_embed_dedup": op2_embed_dedup,
@@ -120,6 +159,7 @@ QUERIES = {
     "op9_lm": op9_lm,
     "op10_extendible_shards": op10_extendible_shards,
     "op11_vector_codes": op11_vector_codes,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 SQL = {
@@ -154,4 +194,5 @@ SQL = {
             CAST(shard_bytes AS BIGINT) AS shard_bytes, shard_rows, FALSE AS oversized
         FROM l WHERE k = 1""",
     "op11_vector_codes": _vector_codes_sql(),
+    "op13_merkle_manifest": _merkle_sql(),
 }
