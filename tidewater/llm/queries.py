@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, embed_dedup, exact_dedup, lm, merkle, minhash, packing, pieces, quality, sharding, toxicity, vector_codes
+from . import ann, chat, embed_dedup, exact_dedup, lm, merkle, minhash, packing, pieces, quality, sharding, toxicity, vector_codes
 from .shared import in_split
 
 SHARD_BYTES = 1 << 20
@@ -108,6 +108,10 @@ def _vector_codes_sql(parts: int = 16, entries: int = 64, rounds: int = 2) -> st
         FROM c JOIN v USING (r)"""
 
 
+def op12_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest_neighbours(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.merkle_manifest(_table(spark, sf_dir, "documents"), in_split("doc_id", 2, 0))
 
@@ -159,6 +163,7 @@ QUERIES = {
     "op9_lm": op9_lm,
     "op10_extendible_shards": op10_extendible_shards,
     "op11_vector_codes": op11_vector_codes,
+    "op12_nearest_neighbours": op12_nearest_neighbours,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
