@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, label_col: str, max_rows: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(text, label) of at most max_rows labelled documents, drawn by a hash of their id
-    from those that docs holds. labels may hold nulls and repeated rows."""
+    """(text, label) of at most max_rows labelled documents, drawn by a hash of their id from those that docs holds. labels may
+    hold nulls and repeated rows; of several documents with one id, the text with the least hash is taken."""
     drawn = (
         labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
         .groupBy(F.col(id_col).alias("_x_id"))
@@ -24,7 +24,8 @@ def training_sample(docs: DataFrame, labels: DataFrame, label_col: str, max_rows
     )
     # at most max_rows rows of two numbers: small enough to broadcast at any corpus size
     found = docs.select(F.col(id_col).alias("_x_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    return found.join(F.broadcast(drawn), "_x_id").select("_x_id", "text", F.col("_x_label").alias("label"))
+    one = F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("one")  # merged in every task first: an id can have any number of rows
+    return found.join(F.broadcast(drawn), "_x_id").groupBy("_x_id", "_x_label").agg(one).select("_x_id", F.col("one.text").alias("text"), F.col("_x_label").alias("label"))
 
 
 def fit(sample: DataFrame, train: Callable[[list[str], list[int]], bytes]) -> bytes:
