@@ -25,7 +25,7 @@ def pairs_at(dim, cosine, n, shape, seed):
 def test_recall_at_the_limit(dim, count):
     for k, shape in enumerate(["dense", "few components", "one block"]):
         u, v = pairs_at(dim, 0.9505, 100, shape, [dim, k])
-        left, right = ({*zip(i.tolist(), f.tolist())} for i, f in (embed_dedup.filters(x, count, 0.95) for x in (u, v)))
+        left, right = ({*zip(i.tolist(), f.tolist())} for i, f in (embed_dedup.filters(x, embed_dedup.plan(dim, count, 0.95)) for x in (u, v)))
         assert len({i for i, _ in left & right}) >= 97, shape
         assert len(left) / 100 < 400
 
@@ -42,10 +42,11 @@ def table(rng):
     return [np.round(r, 6) for r in rows]
 
 
-@pytest.mark.parametrize("chunk, products", [(1024, 100), (50, 100), (2, 0)])
-def test_query_on_a_table_with_links(spark, tmp_path, monkeypatch, chunk, products):
+@pytest.mark.parametrize("chunk, few", [(4096, 8), (50, 2), (7, 0)])
+def test_query_on_a_table_with_links(spark, tmp_path, monkeypatch, chunk, few):
     monkeypatch.setattr(embed_dedup, "CHUNK", chunk)
-    monkeypatch.setattr(embed_dedup, "PRODUCTS", products)
+    monkeypatch.setattr(embed_dedup, "STRIP", 5)
+    monkeypatch.setattr(embed_dedup, "FEW", few)
     rows = table(np.random.default_rng(8))
     df = spark.createDataFrame([(k, [float(x) for x in r]) for k, r in enumerate(rows)], "vec_id long, embedding array<double>")
     df.write.parquet(f"{tmp_path}/embeddings.parquet")
@@ -57,3 +58,40 @@ def test_query_on_a_table_with_links(spark, tmp_path, monkeypatch, chunk, produc
     got = {r.vec_id: r for r in queries.QUERIES["op2_embed_dedup"](spark, str(tmp_path)).collect()}
     assert {k: r.component_id for k, r in got.items()} == want
     assert [got[k].n_links for k in range(len(v))] == near.sum(1).tolist()
+
+
+def links_of(rows, least=0.95):
+    v = np.array(rows)
+    near = v @ v.T >= least * np.linalg.norm(v, axis=1)[:, None] * np.linalg.norm(v, axis=1)
+    np.fill_diagonal(near, False)
+    return near
+
+
+def test_unlinked_vectors_around_one_centre_make_few_pairs(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    centre = rng.standard_normal(64)
+    centre /= np.linalg.norm(centre)
+    noise = rng.standard_normal((500, 64))
+    noise -= (noise @ centre)[:, None] * centre
+    rows = 0.92 * centre + np.sqrt(1 - 0.92**2) * noise / np.linalg.norm(noise, axis=1, keepdims=True)
+    rows[400:420] = rows[:20] + 0.05 * rng.standard_normal((20, 64)) / 8
+    seen, plain = [], embed_dedup._verified
+    monkeypatch.setattr(embed_dedup, "_verified", lambda pairs, *more: (seen.append(pairs.count()), plain(pairs, *more))[1])
+    df = spark.createDataFrame([(k, [float(x) for x in r]) for k, r in enumerate(rows)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in embed_dedup.near_duplicate_vectors(df).collect()}
+    assert [got[k] for k in range(500)] == links_of(rows).sum(1).tolist() and sum(got.values()) >= 40
+    assert len(seen) == 2 and sum(seen) < 20 * 500, seen
+
+
+def test_links_of_a_long_sparse_component_are_exact(spark):
+    rng = np.random.default_rng(12)
+    walk = [rng.standard_normal(24)]
+    for _ in range(1299):
+        step = rng.standard_normal(24)
+        unit = walk[-1] / np.linalg.norm(walk[-1])
+        step -= (step @ unit) * unit
+        walk.append(0.962 * unit + np.sqrt(1 - 0.962**2) * step / np.linalg.norm(step))
+    df = spark.createDataFrame([(k, [float(x) for x in r]) for k, r in enumerate(walk)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r for r in embed_dedup.near_duplicate_vectors(df).collect()}
+    near = links_of(walk)
+    assert [got[k].n_links for k in range(1300)] == near.sum(1).tolist() and {r.component_id for r in got.values()} == {0}

@@ -7,9 +7,10 @@ filter holds a fraction of a vector by chance. A rotation makes every vector loo
 codes therefore follow from the dimension and the number of vectors alone, and plan() finds them by simulation: so many codes
 that a pair exactly at the limit shares a filter with probability RECALL.
 
-Equal vectors are one node. A filter offers edges between its centre and its other members, then the pairs of members that are
-in different components still, so a family of copies makes no pairs. Links are counted inside components: a dense component is
-cut into chunks whose products are taken as matrices, a sparse one keeps to the pairs that share filters.
+Equal vectors are one node. A filter offers edges between its centre and its other members, so a family of copies makes no pairs.
+Members that are in different components still are compared next: as pairs in filters of few members, else in chunks whose
+products are taken as matrices and yield one link for two components. Links are counted inside components, exactly: chunks of a
+component are multiplied with each other, so a component of g vectors takes g * g / 2 products and moves g / (2 * CHUNK) times.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .components import components
 from .shared import materialize
@@ -37,9 +39,10 @@ WORDS, BLOCK = 16384, 4
 SHARE = 0.2
 #: Pairs of vectors that plan() simulates.
 PAIRS = 192
-CHUNK = 1024
-#: Products of a matrix that cost as much as one pair of rows.
-PRODUCTS = 100
+#: Members of a chunk, and rows of it that are multiplied at a time.
+CHUNK, STRIP = 4096, 512
+#: Members of a filter whose pairs are written out.
+FEW = 8
 SEED = 5
 
 
@@ -117,14 +120,14 @@ def plan(dim: int, count: int, least: float) -> tuple[int, int, float, int]:
 
 
 @functools.lru_cache(maxsize=64)
-def codes(dim: int, count: int, least: float) -> tuple[list[ProductCode], float]:
-    words, blocks, threshold, many = plan(dim, count, least)
-    return [ProductCode(k, dim, words, blocks) for k in range(many)], threshold
+def codes(dim: int, words: int, blocks: int, many: int) -> list[ProductCode]:
+    return [ProductCode(k, dim, words, blocks) for k in range(many)]
 
 
-def filters(v: np.ndarray, count: int, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """(vector, filter key) of unit vectors of one length among count vectors."""
-    own, threshold = codes(v.shape[1], count, least)
+def filters(v: np.ndarray, planned: tuple[int, int, float, int]) -> tuple[np.ndarray, np.ndarray]:
+    """(vector, filter key) of unit vectors of one length, by what plan() gave for them."""
+    words, blocks, threshold, many = planned
+    own = codes(v.shape[1], words, blocks, many)
     who, keys = [], []
     for k, code in enumerate(own):
         i, direction, _ = code.decode(v, threshold)
@@ -137,8 +140,9 @@ def _doubles(raws: list[bytes], kind: str) -> np.ndarray:
     return np.frombuffer(b"".join(raws), kind).astype(np.float64)
 
 
-def _entries(nodes: DataFrame, count: int, least: float, kind: str) -> DataFrame:
-    """(filter, node) for every filter that a node's vector exceeds."""
+def _entries(nodes: DataFrame, plans: dict[int, tuple[int, int, float, int]], kind: str) -> DataFrame:
+    """(filter, node) for every filter that a node's vector exceeds. plans: by length, made once, so that all tasks take the same
+    filters whatever their processors round."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -149,7 +153,7 @@ def _entries(nodes: DataFrame, count: int, least: float, kind: str) -> DataFrame
                 for size in np.unique(sizes).tolist():
                     rows = np.flatnonzero(sizes == size)
                     v = _doubles([raws[i] for i in rows.tolist()], kind).reshape(len(rows), -1)
-                    who, keys = filters(v / np.linalg.norm(v, axis=1, keepdims=True), count, least)
+                    who, keys = filters(v / np.linalg.norm(v, axis=1, keepdims=True), plans[v.shape[1]])
                     yield pa.RecordBatch.from_arrays([pa.array(keys), part.column(0).take(pa.array(rows[who]))], names=["filter", "node"])
 
     return nodes.select("node", "vec").mapInArrow(run, f"filter bigint, node {nodes.schema['node'].dataType.simpleString()}")
@@ -193,36 +197,74 @@ def _vectors(rows: DataFrame, kind: str) -> DataFrame:
     return rows.mapInArrow(run, f"_x_id {rows.schema['_x_id'].dataType.simpleString()}, vec binary")
 
 
-def _chunk_products(named: DataFrame, sizes: DataFrame, least: float, kind: str) -> DataFrame:
-    """(node, others) of dense components: for every two chunks of one, the links of each member with the other chunk's copies."""
-    held = named.join(sizes.select("component", F.ceil(F.col("g") / CHUNK).cast("int").alias("chunks")), "component")
+def _products(held: DataFrame, group: str, tag: str, many, emit, schema: str, kind: str) -> DataFrame:
+    """What emit gives for every two chunks of a group, and for each with itself. held: (group, node, tag, vec) with many chunks
+    in their group; emit takes nodes and tags of both sides, a strip of rows and their inner products with norms."""
     chunk = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
     cells = materialize(
-        held.withColumn("chunk", chunk).groupBy("component", "chunks", "chunk").agg(F.collect_list(F.struct("node", "copies", "vec")).alias("m")), "embed-chunks"
+        held.withColumn("chunks", many).withColumn("chunk", chunk).groupBy(group, "chunks", "chunk").agg(F.collect_list(F.struct("node", tag, "vec")).alias("m")), "embed-chunks"
     )
-    left = cells.select("component", "chunk", F.col("m").alias("u"), F.explode(F.sequence("chunk", F.col("chunks") - 1)).alias("other"))
-    pairs = left.join(cells.select("component", F.col("chunk").alias("other"), F.col("m").alias("v")), ["component", "other"])
+    left = cells.select(group, "chunk", F.col("m").alias("u"), F.explode(F.sequence("chunk", F.col("chunks") - 1)).alias("other"))
+    pairs = left.join(cells.select(group, F.col("chunk").alias("other"), F.col("m").alias("v")), [group, "other"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def own(members) -> tuple[list, np.ndarray, np.ndarray]:
+        def own(members) -> tuple[list, list, np.ndarray, np.ndarray]:
             v = _doubles([m["vec"] for m in members], kind).reshape(len(members), -1)
-            return [m["node"] for m in members], np.array([m["copies"] for m in members], np.int64), v
+            return [m["node"] for m in members], [m[tag] for m in members], v, np.sqrt((v * v).sum(1))
 
         for batch in batches:
             for k in range(batch.num_rows):
-                (n, c, u), (o, d, v) = own(batch.column(0)[k].as_py()), own(batch.column(1)[k].as_py())
-                near = u @ v.T >= least * np.sqrt((u * u).sum(1))[:, None] * np.sqrt((v * v).sum(1))
-                if batch.column(2)[k].as_py():
-                    near[np.arange(len(n)), np.arange(len(n))] = False
-                    ids, others = n, near @ d
-                else:
-                    ids, others = n + o, np.concatenate([near @ d, c @ near])
-                yield pa.RecordBatch.from_arrays([pa.array(ids, type=of), pa.array(others.astype(np.int64))], names=["node", "others"])
+                same = batch.column(2)[k].as_py()
+                left = own(batch.column(0)[k].as_py())
+                right = left if same else own(batch.column(1)[k].as_py())
+                yield from emit(left, right, same)
 
-    from pyspark.sql.pandas.types import to_arrow_type
+    return pairs.select("u", "v", (F.col("chunk") == F.col("other")).alias("same")).mapInArrow(run, schema)
 
+
+def _strips(left: tuple, right: tuple, least: float, same: bool) -> Iterator[tuple[int, np.ndarray]]:
+    """(first row, which pairs link) for strips of left's rows; no row links with itself."""
+    for at in range(0, len(left[2]), STRIP):
+        u, norm = left[2][at : at + STRIP], left[3][at : at + STRIP]
+        near = u @ right[2].T >= least * norm[:, None] * right[3]
+        if same:
+            near[np.arange(len(u)), np.arange(at, at + len(u))] = False
+        yield at, near
+
+
+def _counted(named: DataFrame, sizes: DataFrame, least: float, kind: str) -> DataFrame:
+    """(node, others): links of each node with copies of other nodes of its component, in parts to be summed."""
     of = to_arrow_type(named.schema["node"].dataType)
-    return pairs.select("u", "v", (F.col("chunk") == F.col("other")).alias("same")).mapInArrow(run, f"node {named.schema['node'].dataType.simpleString()}, others bigint")
+
+    def emit(left: tuple, right: tuple, same: bool) -> Iterator[pa.RecordBatch]:
+        copies, back = np.array(right[1], np.int64), np.zeros(len(right[0]), np.int64)
+        mine = np.array(left[1], np.int64)
+        for at, near in _strips(left, right, least, same):
+            yield pa.RecordBatch.from_arrays([pa.array(left[0][at : at + len(near)], type=of), pa.array(near @ copies)], names=["node", "others"])
+            back += mine[at : at + len(near)] @ near
+        if not same:
+            yield pa.RecordBatch.from_arrays([pa.array(right[0], type=of), pa.array(back)], names=["node", "others"])
+
+    held = named.select("component", "node", "copies", "vec").join(sizes, "component")
+    return _products(held, "component", "copies", F.ceil(F.col("g") / CHUNK).cast("int"), emit, f"node {named.schema['node'].dataType.simpleString()}, others bigint", kind)
+
+
+def _joining(crowded: DataFrame, least: float, kind: str) -> DataFrame:
+    """Links (a, b) between nodes in different cells of a filter, from crowded (filter, size, node, cell, vec): of the links that two
+    chunks have between the same two cells, one."""
+    of = to_arrow_type(crowded.schema["node"].dataType)
+
+    def emit(left: tuple, right: tuple, same: bool) -> Iterator[pa.RecordBatch]:
+        _, cell = np.unique(np.array(left[1] + right[1]), return_inverse=True)
+        mine, theirs = cell[: len(left[1])], cell[len(left[1]) :]
+        for at, near in _strips(left, right, least, same):
+            i, j = np.nonzero(near & (mine[at : at + len(near), None] != theirs))
+            _, first = np.unique(mine[at + i] * len(cell) + theirs[j], return_index=True)
+            a, b = [left[0][k] for k in (at + i[first]).tolist()], [right[0][k] for k in j[first].tolist()]
+            yield pa.RecordBatch.from_arrays([pa.array(a, type=of), pa.array(b, type=of)], names=["a", "b"])
+
+    kind_of = crowded.schema["node"].dataType.simpleString()
+    return _products(crowded, "filter", "cell", F.ceil(F.col("size") / CHUNK).cast("int"), emit, f"a {kind_of}, b {kind_of}", kind)
 
 
 def near_duplicate_vectors(df: DataFrame, least: float = 0.95, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -237,8 +279,9 @@ def near_duplicate_vectors(df: DataFrame, least: float = 0.95, id_col: str = "ve
     rows = materialize(_vectors(df.select(F.col(id_col).alias("_x_id"), F.col(vector_col).alias("_x_v")), kind), "embed-vectors")
     usable = rows.filter("vec is not null and _x_id is not null")
     nodes = materialize(usable.groupBy("vec").agg(F.min("_x_id").alias("node"), F.count(F.lit(1)).alias("copies")), "embed-nodes")
-    count = nodes.count()
-    entries = materialize(_entries(nodes, count, least, kind), "embed-entries")
+    lengths = nodes.groupBy((F.octet_length("vec") / np.dtype(kind).itemsize).cast("int").alias("dim")).count().collect()
+    plans = {r["dim"]: plan(r["dim"], r["count"], least) for r in lengths}
+    entries = materialize(_entries(nodes, plans, kind), "embed-entries")
     shared = entries.groupBy("filter").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     members = materialize(entries.join(shared, "filter"), "embed-members")
     scores = members.groupBy("node").agg(F.sum("size").alias("score"))
@@ -249,32 +292,21 @@ def near_duplicate_vectors(df: DataFrame, least: float = 0.95, id_col: str = "ve
 
     # what is left: members other than the centre that are in different components
     labels = components(links)
-    open_ = spokes.filter("size > 2").join(labels, "node", "left").select("filter", "node", F.coalesce("component", "node").alias("cell"))
+    open_ = spokes.filter("size > 2").join(labels, "node", "left").select("filter", "size", "node", F.coalesce("component", "node").alias("cell"))
     cells = open_.select("filter", "cell").distinct()
-    two = cells.join(cells.select("filter", F.col("cell").alias("other")), "filter").filter("cell < other")
-    pairs = (
-        two.join(open_.select("filter", "cell", F.col("node").alias("x")), ["filter", "cell"])
-        .join(open_.select("filter", F.col("cell").alias("other"), F.col("node").alias("y")), ["filter", "other"])
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    )
+    split = cells.groupBy("filter").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("filter")
+    open_ = materialize(open_.join(split, "filter", "left_semi"), "embed-open")
+    few = open_.filter(F.col("size") <= FEW)
+    other = few.select("filter", F.col("node").alias("b"), F.col("cell").alias("cell_b"))
+    pairs = few.select("filter", F.col("node").alias("a"), "cell").join(other, "filter").filter("a < b and cell != cell_b").select("a", "b").distinct()
     links = links.unionByName(materialize(_verified(pairs, nodes, least, kind), "embed-links"))
+    crowded = open_.filter(F.col("size") > FEW).join(nodes.select("node", "vec"), "node")
+    links = links.unionByName(materialize(_joining(crowded, least, kind), "embed-links"))
     labels = components(links)
 
-    # counts: in a component of g vectors g * g products of chunks, or the pairs that share a filter
     named = materialize(nodes.join(labels, "node"), "embed-named")
-    within = members.join(labels, "node").groupBy("filter", "component").agg(F.count(F.lit(1)).alias("n"))
-    met = within.groupBy("component").agg(F.sum(F.col("n").cast("double") * F.col("n")).alias("met"))
-    sizes = named.groupBy("component").agg(F.count(F.lit(1)).alias("g")).join(met, "component", "left")
-    sizes = materialize(sizes.withColumn("dense", F.col("g").cast("double") * F.col("g") <= PRODUCTS * F.coalesce("met", F.lit(0.0)) + CHUNK * CHUNK), "embed-sizes")
-    counted = _chunk_products(named, sizes.filter("dense"), least, kind)
-    sparse = sizes.filter("not dense").select("component")
-    if not sparse.isEmpty():
-        own = members.join(named.join(sparse, "component").select("node", "component"), "node").select("filter", "component", "node")
-        met_pairs = own.withColumnRenamed("node", "a").join(own.withColumnRenamed("node", "b"), ["filter", "component"]).filter("a < b").select("a", "b").distinct()
-        linked = materialize(_verified(met_pairs, nodes, least, kind), "embed-links")
-        both = linked.union(linked.select("b", "a"))
-        counted = counted.unionByName(both.join(nodes.select(F.col("node").alias("b"), "copies"), "b").select(F.col("a").alias("node"), F.col("copies").alias("others")))
-    degree = counted.groupBy("node").agg(F.sum("others").alias("others"))
+    sizes = materialize(named.groupBy("component").agg(F.count(F.lit(1)).alias("g")), "embed-sizes")
+    degree = _counted(named, sizes, least, kind).groupBy("node").agg(F.sum("others").alias("others"))
 
     known = nodes.join(degree, "node", "left").join(labels, "node", "left").select("vec", "node", "copies", "others", "component")
     own = F.when(F.col("node").isNull(), F.col("_x_id")).otherwise(F.coalesce("component", "node"))
