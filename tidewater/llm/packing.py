@@ -1,19 +1,22 @@
 """Hierarchical multi-length packing of documents into sequences.
 
 Whole windows of a long document go out at once. What remains of each document is routed to the smallest context-size tier
-that holds it. Every tier then opens a window per remainder, longest tier first, and fills the gap from shorter tiers: the
-largest remainder that fits goes in whole, and the last filler is cut where the window ends. A finished window is full, so
+that holds it. Every tier then opens a window per remainder, longest tier first, and fills the gap from all tiers: the largest
+remainder that fits goes in whole; where none fits, the shortest is cut where the window ends. A finished window is full, so
 only the end of a task leaves a part of a window; it goes out as full windows of smaller powers of two. The sequences of a
 tier are dealt to step groups in serpentine order of their attention cost, so the groups of a batch cost about the same.
 
-Packing needs no shuffle: each input partition is packed where it is tokenized, batch by batch, and between batches a
-task holds less than one window of tokens and one step group of finished windows for each tier.
+Packing needs no shuffle: each input partition is packed where it is tokenized, batch by batch, and between batches a task
+holds, for each tier, less than one window of tokens and less than one step group of finished windows, as ids of their own
+without the rest of their documents.
 """
 
 from __future__ import annotations
 
+import bisect
 import zlib
 from collections.abc import Iterator
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -27,12 +30,14 @@ from .shared import by_characters
 TIERS = (2048, 1024, 512, 256)
 END_ID = 1
 STEP_SEQUENCES = 32
+LENGTH = itemgetter(2)
 #: Of texts that a task holds as Python values at a time, or one text.
 BATCH_CHARS = 8_000_000
 
 
 class Packer:
-    """Packs the remainders of one task. A piece is (document, start, length); a document is (id, ids, number of ids)."""
+    """Packs the remainders of one task. A piece is (document, start, length); a document is (id, ids, number of ids, place of the
+    first of the ids held). Every tier keeps its pieces by length."""
 
     def __init__(self, tiers: tuple[int, ...]):
         self.tiers = sorted(tiers, reverse=True)
@@ -40,7 +45,7 @@ class Packer:
         self.out: list[tuple[int, list]] = []  # (window, pieces)
 
     def _put(self, piece) -> None:
-        self.pools[next(t for t in reversed(self.tiers) if t >= piece[2])].append(piece)
+        bisect.insort(self.pools[next(t for t in reversed(self.tiers) if t >= piece[2])], piece, key=LENGTH)
 
     def add(self, doc) -> None:
         top, n = self.tiers[0], doc[2]
@@ -50,20 +55,30 @@ class Packer:
             self._put((doc, whole * top, n % top))
 
     def _filler(self, gap: int):
-        """A piece of at most gap tokens: the longest that fits whole, else the start of one from the shortest tier."""
+        """A piece of at most gap tokens: the longest of all that fits whole, else the start of the shortest."""
         shortest = None
         for t in self.tiers:
             pool = self.pools[t]
             if pool:
-                if pool[-1][2] <= gap:
-                    return pool.pop()
+                if fits := bisect.bisect_right(pool, gap, key=LENGTH):
+                    return pool.pop(fits - 1)
                 shortest = pool
         if shortest is None:
             return None
-        doc, start, length = shortest.pop()
+        doc, start, length = shortest.pop(0)
         self._put((doc, start + gap, length - gap))
         return doc, start, gap
 
+    def release(self) -> None:
+        """Let go of the documents whose pieces wait: each keeps its own ids alone."""
+
+        def own(piece):
+            (doc, ids, n, first), start, length = piece
+            return (doc, bytes(ids[4 * (start - first) : 4 * (start - first + length)]), n, start), start, length
+
+        self.pools = {t: [own(p) for p in pool] for t, pool in self.pools.items()}
+        self.out = [(window, [own(p) for p in pieces]) for window, pieces in self.out]
+
     def pack(self) -> None:
         """Fill windows tier by tier while there is enough to fill them; what is left stays for the next batch."""
         held = sum(p[2] for pool in self.pools.values() for p in pool)
@@ -149,8 +164,8 @@ def pack_documents(
             rows = []
             for (window, pieces), step in zip(windows, steps):
                 offset = 0
-                for (doc, ids, n), start, length in pieces:
-                    part = ids[4 * start : 4 * (start + length)]
+                for (doc, ids, n, first), start, length in pieces:
+                    part = ids[4 * (start - first) : 4 * (start - first + length)]
                     row = (doc, start, length, zlib.crc32(part), n, base + made, offset, window, base + numbers[step])
                     rows.append((*row, np.frombuffer(part, np.uint32)) if with_ids else row)
                     offset += length
@@ -166,10 +181,11 @@ def pack_documents(
             id_kind = batch.schema.field(0).type
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ids = memoryview(bpe.encode(text or "", added_tokens) + end)
-                packer.add((doc, ids, len(ids) // 4))
+                packer.add((doc, ids, len(ids) // 4, 0))
             packer.pack()
             if out := emit(step_sequences):
                 yield out
+            packer.release()
         packer.finish()
         if out := emit(1):
             yield out
