@@ -298,13 +298,12 @@ def score_texts(df: DataFrame, train, id_col: str = "doc_id", text_col: str = "t
     """One row per input row: id, n_tokens, n_known, train_tokens, base_score, score (log10 probabilities of the text).
 
     train says, as a Column over df, which rows to learn from. Defined cases: null and empty texts are one end token; null
-    in train counts as false; without training rows every token has the same probability; rows that repeat an id are scored each; an empty table
+    in train counts as false; weights are averaged over the input's partitions, so scores depend a little on how it is split; without training rows every token has the same probability; rows that repeat an id are scored each; an empty table
     gives an empty result; other columns of df are ignored, whatever their names.
     """
     blocks = _blocks(df, id_col, text_col, F.coalesce(train, F.lit(False)))
     asked = _requests(blocks)
-    by_word = asked.repartition("word")
-    vocab = materialize(by_word.groupBy("word").agg(F.sum("c").alias("n")).filter("n > 0"), "lm-vocabulary")
+    vocab = materialize(asked.groupBy("word").agg(F.sum("c").alias("n")).filter("n > 0"), "lm-vocabulary")
     short = F.octet_length("word").between(1, 16)  # such words are known by their hash alone
     singles = [bytes(r[0]) for r in vocab.filter(short).orderBy(F.desc("n"), "word").limit(SINGLES).collect()]
     listed = F.array(*[F.lit(w) for w in singles]).cast("array<binary>")
@@ -320,7 +319,8 @@ def score_texts(df: DataFrame, train, id_col: str = "doc_id", text_col: str = "t
     for _ in range(passes):
         w = _fit(blocks, singles, w)
     held = df.sparkSession.sparkContext.broadcast((singles, stats, w))  # bounded like the weights
-    answers = by_word.select("block", "word").join(vocab, "word").select("block", "word", "n")
+    # a frequent word has a row per block; the exchange is the join's own, so Spark can split such a word's partition
+    answers = asked.select("block", "word").join(vocab, "word").select("block", "word", "n")
     n_all, v_all = int(stats[:, 0].sum()), int(stats[:, 1].sum())
 
     def run(texts: pa.Table, counts: pa.Table) -> pa.Table:
