@@ -8,6 +8,7 @@ import public_tokenizers
 import pytest
 import sentencepiece
 from conftest import SMALL
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidewater.llm import byte_bpe, embed_dedup, labelled, minhash, packing, pieces, queries
@@ -208,6 +209,24 @@ def check_packing(rows, docs, tokenizer, end):
         assert at == own[0].window and at & (at - 1) == 0 and at <= 2048
 
 
+def test_filler_is_the_longest_that_fits():
+    p = packing.Packer((2048, 1024, 512, 256))
+    for name, n in (("a", 1648), ("b", 300), ("c", 500), ("d", 2000), ("e", 200)):
+        p.add((name, memoryview(b"\1\0\0\0" * n), n, 0))
+    p.pack()
+    first, second = ([(d[0], start, n) for d, start, n in pieces] for _, pieces in p.out[:2])
+    assert first == [("d", 0, 2000), ("e", 0, 48)] and second == [("a", 0, 1648), ("b", 0, 300), ("e", 48, 100)]
+    p.release()
+    assert all(len(d[1]) == 4 * n and d[3] == start for _, pieces in p.out for d, start, n in pieces)
+
+
+def test_pipeline_keeps_columns_with_clashing_names(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").withColumn("score", F.lit("own")).withColumn("predicted", F.col("doc_id"))
+    for stage in (corpus_pipeline.drop_toxic, corpus_pipeline.drop_poor):
+        kept = stage(spark, docs, SMALL)
+        assert kept.columns == docs.columns and kept.filter("score != 'own' or predicted != doc_id").isEmpty() and not kept.isEmpty()
+
+
 def test_packing(spark):
     path = public_tokenizers.path("byte_bpe_50k.json")
     t = Tokenizer.from_file(path)
@@ -250,6 +269,11 @@ def test_filters_without_usable_labels(spark, tmp_path):
             assert stage(spark, docs, f"{tmp_path}/{name}").count() == 40, name
     many = spark.createDataFrame([(i, i % 2) for i in range(4000)], "doc_id long, quality int")
     assert labelled.training_sample(docs, many, "quality", 30).count() == 30
+    # one drawn id on most rows: the bound holds, and the text does not depend on the rows' order
+    repeated = spark.createDataFrame([(k if k < 5 else 3, f"text {k}") for k in range(2000)], "doc_id long, text string").repartition(7)
+    few = spark.createDataFrame([(k, k % 2) for k in range(5)], "doc_id long, quality int")
+    drawn = labelled.training_sample(repeated, few, "quality", 5)
+    assert sorted(r["_x_id"] for r in drawn.collect()) == [0, 1, 2, 3, 4] and drawn.exceptAll(labelled.training_sample(repeated.coalesce(1), few, "quality", 5)).isEmpty()
 
 
 def test_pipeline(spark):
