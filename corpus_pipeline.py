@@ -5,8 +5,10 @@ Every stage takes the rows that the one before it kept, written as Parquet and r
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.llm import exact_dedup, minhash, packing, quality, toxicity
@@ -18,12 +20,17 @@ def _labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/labels.parquet")
 
 
+def _scored(docs: DataFrame, score: Callable[[DataFrame], DataFrame], keep: Column) -> DataFrame:
+    """The rows whose score keep holds for, with the columns they came with, whatever their names."""
+    return score(docs.select("text", F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_x_row"))).filter(keep).select("_x_row.*")
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below 0.5 for toxicity; all where no labelled rows of both classes teach a model."""
     model = toxicity.train_toxicity(docs, _labels(spark, sf_dir))
     if not informed(model):
         return docs
-    return toxicity.score_toxicity(docs, model).filter(F.col("score") < 0.5).select(*docs.columns)
+    return _scored(docs, lambda rows: toxicity.score_toxicity(rows, model), F.col("score") < 0.5)
 
 
 def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,7 +38,7 @@ def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = quality.train_quality(docs, _labels(spark, sf_dir))
     if not informed(model):
         return docs
-    return quality.score_quality(docs, model).filter(F.col("score") >= 0.5).select(*docs.columns)
+    return _scored(docs, lambda rows: quality.score_quality(rows, model), F.col("score") >= 0.5)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
