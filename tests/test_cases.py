@@ -125,7 +125,7 @@ def test_schema_round_trip(spark):
     df = spark.createDataFrame([(1, "a", [1.5])], "n int, s string, f array<double>")
     schema = json.dumps(validation.infer_schema(df.schema) | {"required": ["n"]})
     docs = spark.createDataFrame([('{"n":1,"s":"a","f":[1.5]}',), ('{"s":"a"}',), ("[1]",), ('{"n":1,"f":["x"]}',)], "text string")
-    assert [r.error for r in validation.validate(docs, schema).collect()] == [None, "<root>: 'n' is a required property", "<root>: is not of type object", "/f: holds an item that is not of type number or null"]
+    assert [r.error for r in validation.validate(docs, schema).collect()] == [None, "<root>: 'n' is a required property", "<root>: is not of type object", "/f/0: is not of type number or null"]
 
 
 def test_scan_of_mixed_files(spark, tmp_path):
@@ -245,3 +245,27 @@ def test_artefacts_and_documents(spark, tmp_path):
     got = {r.path.rsplit("/", 1)[1]: (r.text, r.error) for r in scans.read_documents(spark, str(tmp_path)).collect()}
     assert got == {"a.json": ('{"k":\n1}', None), "b.txt": (None, "unsupported file extension")}
 
+
+
+def test_schema_order_types_and_refusals(spark):
+    from tidewater.operators import validation as V
+
+    def errors(schema, *texts, **more):
+        df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, text string").withColumn("x", F.lit(1))
+        return [r.error for r in V.validate(df, schema, **more).orderBy("k").collect()]
+
+    # the first violation follows the schema's own order of keywords
+    two = '{"properties":{"a":{"type":"string"}},"required":["b"]}'
+    assert errors(two, '{"a":1}', '{"a":"x"}', '{"a":"x","b":1}', "[]", None, "{") == ["/a: is not of type string", "<root>: 'b' is a required property", None, None, "<root>: is not JSON", "<root>: is not JSON"]
+    assert errors('{"required":["b"],"properties":{"a":{"type":"string"}}}', '{"a":1}') == ["<root>: 'b' is a required property"]
+    assert errors('{"type":"integer"}', "5.0", "5.5", "true", "1e2", '"5"') == [None, "<root>: is not of type integer", "<root>: is not of type integer", None, "<root>: is not of type integer"]
+    assert errors('{"enum":[1,"a",true,null,{"x":[1]}]}', "1.0", '"1"', '"a"', "true", "null", '{"x":[1]}', "false") == [None, "<root>: is not one of the allowed values", None, None, None, None, "<root>: is not one of the allowed values"]
+    assert errors('{"minimum":3,"pattern":"^a"}', "2", '"b"', '"ab"', "{}") == ["<root>: is less than the minimum of 3", "<root>: does not match its pattern", None, None]
+    deep = '{"items":{"items":{"properties":{"k":{"items":{"not":{"const":0}}}}}}}'
+    assert errors(deep, '[[],[{"k":[1]},{"k":[2,0]}]]', "[[{}]]", "[]", "7") == ["/1/1/k/1: should not be valid under the given schema", None, None, None]
+    assert errors('{"patternProperties":{"^n":{"type":"number"}},"additionalProperties":false}', '{"n1":1}', '{"n1":"x"}', '{"m":1}') == [None, "/n1: is not of type number", "<root>: has additional properties"]
+    assert errors('{"oneOf":[{"minimum":1},{"maximum":5}]}', "3", "7") == ["<root>: is valid under several of the given schemas", None]
+    assert errors('{"format":"uri"}', '"no"') == ["<root>: is not a 'uri'"] and errors('{"format":"uri"}', '"no"', formats=False) == [None]
+    for bad in ('{"$ref":"#/$defs/a","$defs":{"a":{"items":{"$ref":"#/$defs/a"}}}}', '{"if":{}}'):
+        with pytest.raises(ValueError):
+            errors(bad, "1")

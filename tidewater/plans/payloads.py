@@ -8,7 +8,7 @@ from ..operators import extract as X
 from ..operators import graph as G
 from ..operators import lists as L
 from ..operators import validation as V
-from .binding import cte, rows
+from .binding import by_case, cte, payloads, rows
 
 QUERIES, SQL = {}, {}
 
@@ -77,6 +77,42 @@ def vl2(spark, sf):
     return V.quarantine(V.validate(rows(spark, sf, _DOCS), _SCHEMA))[1].groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
+_NESTED = """{"type":"object","properties":{
+    "video_id":{"type":"string"},"duration":{"type":["integer","null"],"minimum":0},"kind":{"enum":["video",1,null]},"tags":{"type":"array","items":{"type":"string"}},
+    "heatmaps":{"type":"array","items":{"type":"object","additionalProperties":{"type":"number"}}},"chapters":{"type":"array","items":{"$ref":"#/$defs/chapter"}},
+    "thumbnails":{"type":"object","additionalProperties":{"$ref":"#/$defs/thumbnail"}},"formats":{"type":"object","additionalProperties":{"$ref":"#/$defs/format"}}},
+    "required":["video_id"],"anyOf":[{"required":["channel_id"]},{"required":["channel_handle"]}],
+    "$defs":{"thumbnail":{"type":"object","properties":{"url":{"type":"string","format":"uri"},"width":{"type":["integer","null"],"minimum":0}},"required":["url"],"additionalProperties":false},
+    "chapter":{"type":"object","properties":{"start":{"type":"number","minimum":0},"title":{"type":["string","null"]}},"required":["start","title"],"additionalProperties":false},
+    "format":{"type":"object","properties":{"fps":{"type":["number","null"]},"fragments":{"type":"array","items":{"type":"object","properties":{"duration":{"type":"number","minimum":0}},"additionalProperties":false}}}}}}"""
+#: One member that breaks a rule, by p_partkey % 14; <<at>> good items come before it. The last one keeps to all rules.
+_BREAKS = (
+    ('"chapters":[<<at>>{"start":0}]', "/chapters/<<n>>: 'title' is a required property"),
+    ('"chapters":[<<at>>{"start":-1,"title":null}]', "/chapters/<<n>>/start: is less than the minimum of 0"),
+    ('"chapters":[<<at>>{"start":0,"title":"t","more":1}]', "/chapters/<<n>>: has additional properties"),
+    ('"chapters":[<<at>>"text"]', "/chapters/<<n>>: is not of type object"),
+    ('"thumbnails":{"a":{"url":"https://x.y"},"t<<n>>":{"width":5}}', "/thumbnails/t<<n>>: 'url' is a required property"),
+    ('"thumbnails":{"a":{"url":"https://x.y","width":5.0},"t<<n>>":{"url":"https://x.y","width":5.5}}', "/thumbnails/t<<n>>/width: is not of type integer or null"),
+    ('"thumbnails":{"t<<n>>":"https://x.y"}', "/thumbnails/t<<n>>: is not of type object"),
+    ('"formats":{"18":{"fps":25},"f<<n>>":{"fps":"25"}}', "/formats/f<<n>>/fps: is not of type number or null"),
+    ('"formats":{"f<<n>>":{"fragments":[{"duration":1},{"duration":-0.5}]}}', "/formats/f<<n>>/fragments/1/duration: is less than the minimum of 0"),
+    ('"heatmaps":[{"v":1},{"v":0.5,"w<<n>>":"high"}]', "/heatmaps/1/w<<n>>: is not of type number"),
+    ('"tags":["a",<<n>>]', "/tags/1: is not of type string"),
+    ('"kind":"1"', "/kind: is not one of the allowed values"),
+    ('"duration":<<n>>.0,"kind":1.0,"chapters":[<<at>>{"start":1.5,"title":null}],"thumbnails":{},"heatmaps":[{}]', ""),
+    ('"kind":null,"chapters":{"start":-1},"thumbnails":[]', "/chapters: is not of type array"),
+)
+
+
+@query("vl1_nested_records", f"""SELECT p_partkey AS k, nullif(replace(CASE p_partkey % {len(_BREAKS) + 1} {" ".join(f"WHEN {k} THEN '" + m.replace("'", "''") + "'" for k, (_, m) in enumerate(_BREAKS))}
+    ELSE '<root>: is not valid under any of the given schemas' END, '<<n>>', CAST(p_size % 4 AS VARCHAR)), '') AS error FROM part""")
+def vl1_nested(spark, sf):
+    good = "<<repeat('{\"start\":1,\"title\":\"t\"},', p_size % 4)>>"
+    bodies = [b.replace("<<at>>", good).replace("<<n>>", "<<p_size % 4>>") for b, _ in _BREAKS]
+    template = '{"video_id":"v<<p_partkey>>",<<CASE WHEN p_partkey % ' + str(len(_BREAKS) + 1) + " < " + str(len(_BREAKS)) + """ THEN '"channel_handle":"h",' ELSE '' END>>""" + by_case(f"p_partkey % {len(_BREAKS) + 1}", *bodies, '"tags":[]') + "}"
+    return V.validate(rows(spark, sf, payloads("p_partkey", "part", template)), _NESTED, "payload").select("k", "error")
+
+
 @query("vl5_latest_versions", "SELECT 'u' || CAST(c_nationkey AS VARCHAR) AS username, 'youtube' AS platform, c_mktsegment AS entity, '0.' || CAST(max(c_custkey) AS VARCHAR) || '.1' AS version FROM customer GROUP BY c_nationkey, c_mktsegment")
 def vl5(spark, sf):
     return V.latest_versions(rows(spark, sf, "SELECT 'u' || CAST(c_nationkey AS STRING) AS username, 'youtube' AS platform, c_mktsegment AS entity, '0.' || CAST(c_custkey AS STRING) || '.1' AS version FROM {customer}"))
