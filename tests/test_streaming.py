@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewater.operators import metrics
-from tidewater.streaming import jobs
+from tidewater.streaming import alerts, jobs
 
 SCHEMA = "event_id bigint, ts timestamp, key bigint, ok boolean, op string, owner string, resource bigint"
 
@@ -68,3 +68,95 @@ def test_watch(spark, tmp_path):
     q = jobs.watch_assets(spark.readStream.schema(schema).json(str(tmp_path / "in")), up, lambda df, n: seen.extend(df.collect()), str(tmp_path / "ck"))
     q.awaitTermination(60)
     assert {r.ident for r in seen} == {"b"}
+
+
+def write_files(spark, rows, schema, path, order):
+    """One JSON file per part of rows, in the order in which the stream takes them."""
+    import os
+    import time
+
+    os.makedirs(path)
+    for n, k in enumerate(order):
+        spark.createDataFrame(rows[k], schema).coalesce(1).write.json(f"{path}/tmp{n}")
+        part = next(f for f in os.listdir(f"{path}/tmp{n}") if f.endswith(".json"))
+        os.rename(f"{path}/tmp{n}/{part}", f"{path}/{n}.json")
+        os.utime(f"{path}/{n}.json", (time.time() - 100 + n, time.time() - 100 + n))
+
+
+def at(minutes):
+    import datetime
+
+    return datetime.datetime(2024, 5, 1) + datetime.timedelta(minutes=minutes)
+
+
+def state_rows(query):
+    return [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+
+
+def finish(stream, name, mode="append"):
+    q = stream.writeStream.format("memory").queryName(name).outputMode(mode).trigger(availableNow=True).start()
+    q.awaitTermination(180)
+    return q
+
+
+@pytest.mark.parametrize("order", [[0, 1, 2, 3, 4], [2, 0, 1, 3, 4]])
+def test_absence_by_timers(spark, tmp_path, order):
+    # series 1 each half hour, 2 stops after the third hour, 3 begins in the fifth, 4 never sends, 9 is not expected
+    sends = [(1, m) for m in range(0, 600, 30)] + [(2, m) for m in range(0, 180, 20)] + [(3, m) for m in range(300, 600, 25)] + [(9, 10)]
+    parts = [[(k, at(m)) for k, m in sends if 200 * p <= m < 200 * p + 200] for p in range(3)] + [[(1, at(3000))], [(1, at(3001))]]
+    write_files(spark, parts, "key int, ts timestamp", f"{tmp_path}/in", order)
+    expected = spark.createDataFrame([(1,), (2,), (3,), (4,), (4,)], "key int")
+    events = spark.readStream.schema("key int, ts timestamp").option("maxFilesPerTrigger", 1).json(f"{tmp_path}/in")
+    name = "absence" + "".join(map(str, order))
+    finish(alerts.absence(expected, events, "key", "2024-05-01 00:00:00", 3600, "8 hours"), name)
+    got = {(r.key, r.start) for r in spark.table(name).collect()}
+    assert spark.table(name).count() == len(got)
+    every = spark.read.schema("key int, ts timestamp").json(f"{tmp_path}/in")
+    over = at(3001 - 480 - 60)  # windows that the last watermark has closed
+    want = {(r.key, r.start) for r in metrics.absent(expected, every, "key").collect() if r.start <= over}
+    assert got == want and {k for k, _ in got} == {1, 2, 3, 4} and (4, at(0)) in got and (2, at(180)) in got
+
+
+def test_hold_in_a_stream(spark, tmp_path):
+    minutes = [m for m in range(0, 240) if not 150 <= m < 175]
+    parts = [[(at(m), m % 10 < (9 if m < 60 or m > 200 else 5), m % 2) for m in minutes if 60 * p <= m < 60 * p + 60] for p in range(4)] + [[(at(1000), True, 0), (at(1000), True, 1)], [(at(1001), True, 0)]]
+    schema = "ts timestamp, ok boolean, rule int"
+    write_files(spark, parts, schema, f"{tmp_path}/in", range(6))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(f"{tmp_path}/in")
+    windows = jobs.success_ratio(stream, "15 minutes", "5 minutes", "10 minutes")
+    finish(alerts.held_stream(windows, F.col("good") / F.col("n") < 0.8, 3, 300), "held")
+    batch = metrics.ratio_windows(spark.read.schema(schema).json(f"{tmp_path}/in"))
+    want = {(r.end, r.n, r.good, r.firing) for r in metrics.held(batch, F.col("ratio") < 0.8, 3, 300).collect() if r.end <= at(980)}
+    got = {tuple(r) for r in spark.table("held").collect()}
+    assert got == want and 0 < sum(f for *_, f in got) < len(got)
+
+
+def test_throughput_collapse_joins_two_streams(spark, tmp_path):
+    done = [[(at(m),) for m in range(60 * p, 60 * p + 60) if not 70 <= m < 130] for p in range(3)] + [[(at(3),), (at(900),)], [(at(901),)]]
+    gauges = [[(at(m), s, 10 * m + s) for m in range(60 * p, 60 * p + 60, 4) for s in (0, 1)] for p in range(3)] + [[(at(900), 0, 1)], [(at(901), 0, 1)]]
+    write_files(spark, done, "ts timestamp", f"{tmp_path}/done", range(5))
+    write_files(spark, gauges, "ts timestamp, source int, value long", f"{tmp_path}/gauges", range(5))
+    streams = [spark.readStream.schema(s).option("maxFilesPerTrigger", 1).json(f"{tmp_path}/{n}") for n, s in (("done", "ts timestamp"), ("gauges", "ts timestamp, source int, value long"))]
+    finish(alerts.throughput_collapse(*streams, 0.01, 1000), "collapse")
+    flat = [[r for part in parts for r in part if r != (at(3),)] for parts in (done, gauges)]  # the second row at minute 3 came too late
+    flat[0].append((at(3),))
+    tables = [spark.createDataFrame(flat[0], "ts timestamp"), spark.createDataFrame(flat[1], "ts timestamp, source int, value long")]
+    want = {tuple(r) for r in alerts.throughput_collapse(*tables, 0.01, 1000).collect() if r.start < at(800)}
+    got = [tuple(r) for r in spark.table("collapse").collect()]
+    assert set(got) == want and len(got) == 12 and sum(f for *_, f in got) == 4
+
+
+def test_state_ends(spark, tmp_path):
+    rows = [(k, at(k), k % 40, False, "claim", "w", k % 40) for k in range(40)]
+    parts = [rows, [(100, at(30), 41, False, "claim", "w", 41)], [(101, at(3000), 42, True, "release", "w", 42)], [(102, at(3001), 43, True, "release", "w", 43)]]
+    write_files(spark, parts, SCHEMA, f"{tmp_path}/in", range(4))
+    twin = spark.read.schema(SCHEMA).json(f"{tmp_path}/in")
+    for n, (job, want) in enumerate({
+        "counts": (lambda s: jobs.failure_counts(s, 600, "1 hour"), metrics.failures_with_ttl(twin, 600).select("key", "event_id", "failures")),
+        "claims": (lambda s: jobs.audit_claims(s, 600, "1 hour"), metrics.audit_claims(twin, 600)),
+        "breaker": (lambda s: jobs.breaker_stream(s, 1, forget_s=600, late="1 hour"), metrics.breaker(metrics.failures_with_ttl(twin, 600).withColumnRenamed("failures", "streak"), 1).select("key", "event_id", "streak", "opens", "cooldown_s")),
+    }.values()):
+        q = finish(job(spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).json(f"{tmp_path}/in")), f"ends{n}")
+        held = state_rows(q)
+        assert max(held) >= 40 and held[-1] == 0, held
+        assert sorted(map(tuple, spark.table(f"ends{n}").collect())) == sorted(map(tuple, want.collect()))

@@ -51,96 +51,130 @@ def ever_had_feed(rows: DataFrame) -> DataFrame:
     return rows.filter("ok").select("key").dropDuplicates(["key"])
 
 
-class _Breaker(StatefulProcessor):
-    """Failures in a row, openings and the cooldown of one key. Rows of a batch are taken in event order."""
+class _Timed(StatefulProcessor):
+    """State of one key that ends: apply() folds the events in event order and says until when the state can matter. A timer at
+    that time forgets it once the watermark has passed; a state that can't matter any more is forgotten at once."""
 
-    def __init__(self, threshold: int, least: float, most: float):
-        self.threshold, self.least, self.most = threshold, least, most
+    columns: list[str]
+    fields: str
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("run", "run bigint")
+        self.handle = handle
+        self.state = handle.getValueState("state", self.fields)
+
+    def apply(self, state: tuple | None, row) -> tuple[tuple | None, tuple]:
+        """(state after an event, or None if it equals that of an unknown key; what to put out beside key and event)."""
+        raise NotImplementedError
+
+    def ends(self, state: tuple) -> int | None:
+        """Milliseconds of event time from which on the state is that of an unknown key; None: it has no end."""
+        raise NotImplementedError
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        run = self.state.get()[0] if self.state.exists() else 0
-        every = pd.concat(list(rows)).sort_values(["ts", "event_id"])
+        state = self.state.get() if self.state.exists() else None
         out = []
-        for r in every.itertuples():
-            run = 0 if r.ok else run + 1
-            opens = run // self.threshold
-            out.append((key[0], r.event_id, run, opens, min(self.least * 2.0 ** (opens - 1), self.most) if opens else 0.0))
-        self.state.update((run,))
-        yield pd.DataFrame(out, columns=["key", "event_id", "streak", "opens", "cooldown_s"])
+        for r in pd.concat(list(rows)).sort_values(["ts", "event_id"]).itertuples():
+            state, told = self.apply(state, r)
+            out.append((key[0], r.event_id, *told))
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        if state is None:
+            self.state.clear()
+        else:
+            self.state.update(state)
+            if (end := self.ends(state)) is not None:
+                self.handle.registerTimer(end)
+        yield pd.DataFrame(out, columns=self.columns)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.state.clear()
+        return iter(())
 
     def close(self) -> None:
         pass
 
 
-def breaker_stream(rows: DataFrame, threshold: int = 5, least: float = 60.0, most: float = 3600.0) -> DataFrame:
-    """(key, event_id, streak, opens, cooldown_s) for (key, event_id, ts, ok); the batch twin is metrics.failure_runs with metrics.breaker."""
-    return rows.groupBy("key").transformWithStateInPandas(
-        statefulProcessor=_Breaker(threshold, least, most), outputStructType="key bigint, event_id bigint, streak bigint, opens int, cooldown_s double", outputMode="Append", timeMode="None"
-    )
+def _millis(row) -> int:
+    return row.ts.value // 1_000_000
+
+
+def _keyed(rows: DataFrame, key: str, late: str, processor: _Timed, schema: str) -> DataFrame:
+    """The processor over rows by key, in event time: rows later than the watermark are left out."""
+    return rows.withWatermark("ts", late).groupBy(key).transformWithStateInPandas(statefulProcessor=processor, outputStructType=schema, outputMode="Append", timeMode="EventTime")
+
+
+class _Breaker(_Timed):
+    """Failures in a row, openings and the cooldown of one key."""
+
+    columns, fields = ["key", "event_id", "streak", "opens", "cooldown_s"], "run bigint, last bigint"
 
+    def __init__(self, threshold: int, least: float, most: float, forget_ms: int | None):
+        self.threshold, self.least, self.most, self.forget_ms = threshold, least, most, forget_ms
 
-class _FailureCount(StatefulProcessor):
+    def apply(self, state, row):
+        run, last = state or (0, 0)
+        now = _millis(row)
+        if self.forget_ms is not None and now - last > self.forget_ms:
+            run = 0
+        run = 0 if row.ok else run + 1
+        opens = run // self.threshold
+        return (run, now) if run else None, (run, opens, min(self.least * 2.0 ** (opens - 1), self.most) if opens else 0.0)
+
+    def ends(self, state):
+        return None if self.forget_ms is None else state[1] + self.forget_ms + 1
+
+
+def breaker_stream(rows: DataFrame, threshold: int = 5, least: float = 60.0, most: float = 3600.0, forget_s: int | None = 7 * 86_400, late: str = "1 hour") -> DataFrame:
+    """(key, event_id, streak, opens, cooldown_s) for (key, event_id, ts, ok). A success forgets the key, and so does a silence of more
+    than forget_s. The batch twin is metrics.breaker over metrics.failure_runs (forget_s None) or metrics.failures_with_ttl."""
+    forget = None if forget_s is None else forget_s * 1000
+    return _keyed(rows, "key", late, _Breaker(threshold, least, most, forget), "key bigint, event_id bigint, streak bigint, opens int, cooldown_s double")
+
+
+class _FailureCount(_Timed):
     """Failures of one key since its last success; forgotten when none came for the time to live."""
 
+    columns, fields = ["key", "event_id", "failures"], "n bigint, last bigint"
+
     def __init__(self, ttl_ms: int):
         self.ttl_ms = ttl_ms
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("count", "n bigint, last bigint")
+    def apply(self, state, row):
+        n, last = state or (0, 0)
+        now = _millis(row)
+        n = 0 if row.ok else (n if now - last <= self.ttl_ms else 0) + 1
+        return (n, now) if n else None, (n,)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        n, last = self.state.get() if self.state.exists() else (0, 0)
-        out = []
-        for r in pd.concat(list(rows)).sort_values(["ts", "event_id"]).itertuples():
-            now = r.ts.value // 1_000_000
-            n = 0 if r.ok else (n if now - last <= self.ttl_ms else 0) + 1
-            last = now
-            out.append((key[0], r.event_id, n))
-        self.state.update((n, last))
-        yield pd.DataFrame(out, columns=["key", "event_id", "failures"])
-
-    def close(self) -> None:
-        pass
+    def ends(self, state):
+        return state[1] + self.ttl_ms + 1
 
 
-def failure_counts(rows: DataFrame, ttl_s: int = 86_400) -> DataFrame:
-    """(key, event_id, failures): the count is refreshed by each failure, cleared by a success, and expires after ttl_s of event time."""
-    return rows.groupBy("key").transformWithStateInPandas(
-        statefulProcessor=_FailureCount(ttl_s * 1000), outputStructType="key bigint, event_id bigint, failures bigint", outputMode="Append", timeMode="None"
-    )
+def failure_counts(rows: DataFrame, ttl_s: int = 86_400, late: str = "1 hour") -> DataFrame:
+    """(key, event_id, failures): the count is refreshed by each failure, cleared by a success, and expires after ttl_s of event time.
+    State is kept for keys that failed within ttl_s. The batch twin is metrics.failures_with_ttl."""
+    return _keyed(rows, "key", late, _FailureCount(ttl_s * 1000), "key bigint, event_id bigint, failures bigint")
 
 
-class _Claims(StatefulProcessor):
+class _Claims(_Timed):
     """Who holds a resource: the first claimant until a release or the end of the time to live."""
 
+    columns, fields = ["resource", "event_id", "granted"], "owner string, until bigint"
+
     def __init__(self, ttl_ms: int):
         self.ttl_ms = ttl_ms
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("holder", "owner string, until bigint")
+    def apply(self, state, row):
+        (owner, until), granted = claim_step(state or (None, 0), _millis(row), row.op, row.owner, self.ttl_ms)
+        return (owner, until) if owner is not None else None, (granted,)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        owner, until = self.state.get() if self.state.exists() else (None, 0)
-        out = []
-        for r in pd.concat(list(rows)).sort_values(["ts", "event_id"]).itertuples():
-            now = r.ts.value // 1_000_000
-            (owner, until), granted = claim_step((owner, until), now, r.op, r.owner, self.ttl_ms)
-            out.append((key[0], r.event_id, granted))
-        self.state.update((owner, until))
-        yield pd.DataFrame(out, columns=["resource", "event_id", "granted"])
-
-    def close(self) -> None:
-        pass
+    def ends(self, state):
+        return state[1]
 
 
-def audit_claims(rows: DataFrame, ttl_s: int = 600) -> DataFrame:
-    """(resource, event_id, granted) for claim and release events (resource, event_id, ts, op, owner)."""
-    return rows.groupBy("resource").transformWithStateInPandas(
-        statefulProcessor=_Claims(ttl_s * 1000), outputStructType="resource bigint, event_id bigint, granted boolean", outputMode="Append", timeMode="None"
-    )
+def audit_claims(rows: DataFrame, ttl_s: int = 600, late: str = "1 hour") -> DataFrame:
+    """(resource, event_id, granted) for claim and release events (resource, event_id, ts, op, owner). State is kept for resources
+    that are held. The batch twin is metrics.audit_claims."""
+    return _keyed(rows, "resource", late, _Claims(ttl_s * 1000), "resource bigint, event_id bigint, granted boolean")
 
 
 def watch_assets(assets: DataFrame, uploaded: DataFrame, hand_on: Callable[[DataFrame, int], None], checkpoint: str):
