@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.kept import KeptTable
+
 FACTS = ("channel_id", "channel_handle", "verified", "subscriber_count")
 
 
@@ -91,3 +93,19 @@ def merge_mapping(snapshot: DataFrame, delta: DataFrame, key: str = "video_id")
     old = snapshot.select(key, *FACTS).withColumn("_age", F.lit(0)).withColumn("mtime", F.lit(0).cast("bigint")).withColumn("seq", F.lit(0).cast("bigint"))
     new = delta.select(key, *FACTS, F.col("mtime").cast("bigint"), F.col("seq").cast("bigint")).withColumn("_age", F.lit(1))
     return fold_mapping(old.unionByName(new), key, ("_age", "mtime", "seq"))
+
+
+#: Rows of a kept mapping, by video.
+MAPPING = "video_id string, channel_id string, channel_handle string, verified boolean, subscriber_count bigint"
+
+
+def refresh_mapping(table: KeptTable, links: DataFrame, videos: DataFrame | None = None) -> int:
+    """Take in the links (video_id, facts, mtime, seq) that are newer than the table's mark, of known videos only where videos is
+    given, and move the mark to the newest of all. Only buckets with a changed video are written; a second run over the same
+    links changes nothing. Returns the version."""
+    mark = table.mark()
+    new = links if mark is None else links.filter(F.col("mtime") > mark)
+    newest_time = new.agg(F.max("mtime")).first()[0]
+    if newest_time is None:
+        return table.merge(new, merge_mapping)
+    return table.merge(new if videos is None else only_known(new, videos), merge_mapping, newest_time)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import enrich as E
-from .binding import cte, rows
+from ..sources.kept import KeptTable
+from .binding import cte, rows, scratch
 
 QUERIES, SQL = {}, {}
 
@@ -83,3 +84,12 @@ def j5e(spark, sf):
 @query("tk3_newest_channel_record", cte("channel_videos") + "SELECT channel_id, max(mtime) AS mtime FROM channel_videos GROUP BY 1")
 def tk3(spark, sf):
     return E.newest(rows(spark, sf, "channel_videos"), "channel_id", "mtime").select("channel_id", "mtime")
+
+
+@query("sk8_kept_mapping", FOLD + "SELECT video_id, channel_id, channel_handle, verified, subscriber_count FROM f")
+def sk8_kept(spark, sf):
+    table, links = KeptTable(spark, scratch(spark, "mapping"), E.MAPPING, "video_id", 16), rows(spark, sf, "channel_videos")
+    middle = links.agg(F.floor((F.min("mtime") + F.max("mtime")) / 2)).first()[0]
+    for seen in (links.filter(F.col("mtime") <= middle), links, links):  # the input grows; the third run finds nothing new
+        E.refresh_mapping(table, seen, rows(spark, sf, _VIDEOS))
+    return table.rows()

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import channels as C
 from ..operators import lists as L
+from ..sources.kept import KeptTable
 from .binding import cte, rows, scratch
 from .scalars import CANON, IDT, JSONCH, KEY, RANK, on
 
@@ -140,6 +141,17 @@ def sk2(spark, sf):
     return L.upsert(m.filter("seq % 3 <> 0"), m.filter("seq % 3 = 0"), "channel_id")
 
 
+@query("sk2_sk3_kept_map", cte("creator_map") + """, l AS (SELECT channel_id, arg_max(handle, seq) AS handle, max(seq) AS seq FROM creator_map GROUP BY 1)
+    SELECT channel_id, coalesce(l.handle, '') AS handle, coalesce(l.seq, 0) AS seq, l.seq IS NOT NULL AS member FROM (SELECT DISTINCT 'UC' || lpad(CAST(c_custkey % 90 AS VARCHAR), 22, '0') AS channel_id FROM customer) LEFT JOIN l USING (channel_id)""")
+def sk2_kept(spark, sf):
+    table, m = KeptTable(spark, scratch(spark, "creator-map"), "channel_id string, handle string, seq bigint", "channel_id", 8), rows(spark, sf, "creator_map")
+    for part in range(2):  # batches in the order of the log
+        table.put_many(m.filter(F.col("seq") % 2 == part) if part == 0 else m, "seq")
+    asked = rows(spark, sf, "SELECT DISTINCT 'UC' || lpad(CAST(c_custkey % 90 AS STRING), 22, '0') AS channel_id FROM {customer}")
+    known = table.rows()
+    return table.contains(asked).join(known, "channel_id", "left").select("channel_id", F.coalesce("handle", F.lit("")).alias("handle"), F.coalesce("seq", F.lit(0)).alias("seq"), "member")
+
+
 @query("sk4_membership", cte("creators", "creator_map") + "SELECT creator_id AS channel_id, creator_id IN (SELECT channel_id FROM creator_map) AS member FROM creators")
 def sk4(spark, sf):
     return L.membership(rows(spark, sf, "creators").select(F.col("creator_id").alias("channel_id")), rows(spark, sf, "creator_map"), "channel_id")
