@@ -269,3 +269,35 @@ def test_schema_order_types_and_refusals(spark):
     for bad in ('{"$ref":"#/$defs/a","$defs":{"a":{"items":{"$ref":"#/$defs/a"}}}}', '{"if":{}}'):
         with pytest.raises(ValueError):
             errors(bad, "1")
+
+
+def test_networks_of_both_versions(spark):
+    import ipaddress
+
+    from tidewater.operators import records as R
+
+    configured = ["not-a-cidr", " 65.181.160.0/21 ", "10.1.2.3/8", "95.99.200.234", "10.0.0.0/255.255.0.0", "2001:db8::/32", "2001:db8:1::/48", "::ffff:1.2.3.0/120", "1.2.3.4/40", "fe80::1/200", "1.2.3.4/8/9", "0.0.0.0/0", "300.1.1.1/8", "01.2.3.4/8"]
+    asked = [None, "none", "65.181.160.5", "65.181.168.0", "10.255.0.1", "95.99.200.234", "95.99.200.235", "proxy.example", "2001:db8:1::7", "2001:0DB8:ffff:0:0:0:0:1", "2001:db9::", "::ffff:1.2.3.9", "::ffff:102:309", "::", "1::2::3", ":::", "1:2:3:4:5:6:7", "1:2:3:4:5:6:7:8", "1:2:3:4:5:6:7::", "12345::", "256.1.1.1", "01.2.3.4", "", "1.2.3", "g::1"]
+    nets = []
+    for text in configured:
+        try:
+            nets.append(ipaddress.ip_network(text.strip(), strict=False))
+        except ValueError:
+            pass
+
+    def plain(ip):
+        if ip is None or ip == "none":
+            return "none"
+        try:
+            a = ipaddress.ip_address(ip)
+        except ValueError:
+            return "other"
+        return next((str(n) for n in nets if a.version == n.version and a in n), "other")
+
+    df = spark.createDataFrame([(k, ip, "x") for k, ip in enumerate(asked)], "k int, ip string, network_name string")
+    got = {r.k: r.network for r in R.network_of(df, "ip", configured).collect()}
+    same = {"::ffff:1.2.3.0/120": "::ffff:102:300/120"}
+    assert [same.get(got[k], got[k]) for k in range(len(asked))] == [same.get(plain(ip), plain(ip)) for ip in asked]
+    assert R.network_of(df, "ip", []).filter("network = 'other'").count() == len(asked) - 2
+    plan = R.networks_of(df, "ip", spark.range(10).select(F.col("id").alias("order"), F.lit("1.2.3.4/8").alias("cidr")))._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan

@@ -140,19 +140,72 @@ def batch_outcomes(reconciled: DataFrame, batch: str = "batch") -> DataFrame:
     return reconciled.groupBy(batch).agg(*[F.count_if(F.col("status") == s).alias(s) for s in ("success", "failed", "missing")])
 
 
-def address_to_long(ip: Column) -> Column:
-    p = F.split(ip, "[.]")
-    good = ip.rlike(r"^(\d{1,3}\.){3}\d{1,3}$")
-    return F.when(good, sum((p[k].try_cast("bigint") * (1 << (24 - 8 * k)) for k in range(1, 4)), p[0].try_cast("bigint") * (1 << 24)))
+#: A decimal octet without leading zeros, and the groups of a version 6 address.
+_OCTET = r"(25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
+_GROUPS = r"^[0-9A-Fa-f]{1,4}(:[0-9A-Fa-f]{1,4})*$"
+
+
+def address_bits(ip: Column) -> Column:
+    """The bits of an address as text, 32 or 128 characters, most significant first; null for anything else. Version 6 with groups
+    left out (::) and with its last 32 bits as octets."""
+    octets = rf"{_OCTET}(\.{_OCTET}){{3}}"
+    bits = lambda part, base, width: F.lpad(F.conv(part, base, 2), width, "0")
+    four = lambda text: F.array_join(F.transform(F.split(text, "[.]"), lambda o: bits(o, 10, 8)), "")
+    last = F.regexp_extract(ip, rf":({octets})$", 1)
+    hexed = F.when(last != "", F.concat(F.regexp_replace(ip, rf"{octets}$", ""), bits_hex(four(last)))).otherwise(ip)
+    halves = F.split(hexed, "::", -1)
+    groups = lambda text: F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, ":"))
+    left, right = groups(halves[0]), groups(F.when(F.size(halves) == 2, F.get(halves, 1)).otherwise(""))
+    gap = F.lit(8) - F.size(left) - F.size(right)
+    fits = (F.size(halves) <= 2) & F.when(F.size(halves) == 2, gap >= 1).otherwise(gap == 0)
+    fits &= F.forall(halves, lambda h: (h == "") | h.rlike(_GROUPS)) & ((F.size(halves) == 2) | (halves[0] != ""))
+    six = F.concat(left, F.array_repeat(F.lit("0"), F.greatest(gap, F.lit(0))), right)
+    return F.when(ip.rlike(f"^{octets}$"), four(ip)).when(ip.contains(":") & fits, F.array_join(F.transform(six, lambda g: bits(g, 16, 16)), ""))
+
+
+def bits_hex(bits: Column) -> Column:
+    """32 bits as two groups of hex digits."""
+    half = lambda at: F.lower(F.conv(F.substring(bits, at, 16), 2, 16))
+    return F.concat(half(1), F.lit(":"), half(17))
+
+
+def ranges_of(networks: DataFrame, cidr: str = "cidr", order: str = "order") -> DataFrame:
+    """(version, length, prefix, order, network) of configured ranges, in which bits behind the prefix may be set; a range
+    without a length is one address; what is no range is skipped. network: the range's text, for version 4 with those bits cleared."""
+    text = F.trim(F.col(cidr))
+    parts = F.split(text, "/")
+    mask = address_bits(F.get(parts, 1))
+    full = networks.select(F.col(order).alias("order"), text.alias("text"), address_bits(parts[0]).alias("bits"), F.get(parts, 1).alias("given"), mask.alias("mask"), F.size(parts).alias("n"))
+    size = F.char_length("bits")
+    length = F.when(F.col("n") == 1, size).when(F.col("given").rlike(r"^\d{1,3}$"), F.col("given").cast("int")).when(F.col("mask").rlike("^1*0*$") & (F.char_length("mask") == size), F.char_length(F.rtrim(F.lit("0"), "mask")))
+    good = full.withColumn("length", length).filter((F.col("n") <= 2) & F.col("bits").isNotNull() & (F.col("length") <= size))
+    prefix = F.substring("bits", F.lit(1), F.col("length"))
+    cleared = F.rpad(prefix, 32, "0")
+    dotted = F.concat_ws(".", *[F.conv(F.substring(cleared, 8 * k + 1, 8), 2, 10) for k in range(4)])
+    name = F.when(size == 32, F.concat(dotted, F.lit("/"), F.col("length").cast("string"))).otherwise(F.col("text"))
+    return good.select(size.alias("version"), "length", prefix.alias("prefix"), "order", name.alias("network"))
+
+
+def networks_of(df: DataFrame, ip: str, networks: DataFrame, cidr: str = "cidr", order: str = "order") -> DataFrame:
+    """df with network: the first configured range, by order, that holds the address; other where none does or it is no address;
+    none where there is none (null or the word none). networks has any number of rows.
+
+    Every distinct address is cut at each length that a range has and meets the ranges by equality of these prefixes, so the join
+    makes a row per address and length at most, besides the ranges that match.
+    """
+    ranges = ranges_of(networks, cidr, order)
+    ranges = ranges.groupBy("version", "length", "prefix").agg(F.min(F.struct("order", "network")).alias("range"))
+    lengths = ranges.groupBy("version").agg(F.collect_set("length").alias("lengths"))  # two rows, 162 lengths at most
+    seen = df.select(F.col(ip).alias("_x_ip")).filter("_x_ip is not null").distinct().withColumn("bits", address_bits(F.col("_x_ip")))
+    cut = seen.withColumn("version", F.char_length("bits")).join(F.broadcast(lengths), "version").select("_x_ip", "version", "bits", F.explode("lengths").alias("length"))
+    met = cut.withColumn("prefix", F.substring("bits", F.lit(1), F.col("length"))).join(ranges, ["version", "length", "prefix"])
+    first = met.groupBy("_x_ip").agg(F.min("range").alias("range")).select("_x_ip", F.col("range.network").alias("_x_network"))
+    named = df.join(first, F.col(ip) == F.col("_x_ip"), "left")
+    none = F.col(ip).isNull() | (F.col(ip) == "none")
+    return named.select(*(df[c] for c in df.columns), F.when(none, "none").otherwise(F.coalesce("_x_network", F.lit("other"))).alias("network"))
 
 
 def network_of(df: DataFrame, ip: str, networks: list[str]) -> DataFrame:
-    """df with network: the first configured range that holds the address, other, or none where there is no address."""
-    addr, found = address_to_long(F.col(ip)), F.lit(None).cast("string")
-    for cidr in reversed(networks):
-        base, bits = cidr.split("/")
-        a, b, c, d = map(int, base.split("."))
-        size = 1 << (32 - int(bits))
-        low = ((a << 24) + (b << 16) + (c << 8) + d) // size * size
-        found = F.when(addr.between(low, low + size - 1), cidr).otherwise(found)
-    return df.withColumn("network", F.when(F.col(ip).isNull(), "none").otherwise(F.coalesce(found, F.lit("other"))))
+    """networks_of for a configured list."""
+    listed = df.sparkSession.createDataFrame(list(enumerate(networks)), "order int, cidr string")
+    return networks_of(df, ip, listed)

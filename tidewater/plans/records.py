@@ -122,6 +122,21 @@ def j27(spark, sf):
     return R.network_of(rows(spark, sf, "SELECT event_id AS k, CASE WHEN event_id % 9 <> 0 THEN '10.0.0.' || CAST(event_id % 250 AS STRING) END AS ip FROM {events}"), "ip", ["10.0.0.0/26", "10.0.0.0/25"]).select("k", "network")
 
 
+_RANGES = """SELECT o_orderkey AS "order", concat(CAST(1 + o_orderkey * 7 % 223 AS STRING), '.', CAST(o_custkey % 256 AS STRING), '.', CAST(o_orderkey % 256 AS STRING), '.', CAST(o_orderkey % 200 AS STRING), '/', CAST(8 + o_orderkey % 25 AS STRING)) AS cidr FROM {orders}"""
+_ADDRESSES = """SELECT event_id AS k, CASE WHEN event_id % 11 = 0 THEN NULL WHEN event_id % 13 = 0 THEN 'proxy.example' WHEN event_id % 3 = 0 THEN '15.22.2.2'
+    ELSE concat(CAST(1 + user_id * 7 % 223 AS STRING), '.', CAST(event_id % 256 AS STRING), '.', CAST(user_id % 256 AS STRING), '.', CAST(event_id % 100 AS STRING)) END AS ip FROM {events}"""
+_LONG = "(split_part({0}, '.', 1)::BIGINT * 16777216 + split_part({0}, '.', 2)::BIGINT * 65536 + split_part({0}, '.', 3)::BIGINT * 256 + split_part({0}, '.', 4)::BIGINT)"
+
+
+@query("j27_many_ranges", f"""WITH r AS (SELECT "order" AS o, split_part(cidr, '/', 2)::INT AS len, {_LONG.format("split_part(cidr, '/', 1)")} AS a FROM ({_RANGES.replace("{orders}", "orders")})),
+    n AS (SELECT o, len, a // (1::BIGINT << (32 - len)) * (1::BIGINT << (32 - len)) AS lo FROM r),
+    e AS (SELECT *, CASE WHEN ip LIKE '%.%.%.%' THEN {_LONG.format("ip")} END AS a FROM ({_ADDRESSES.replace("{events}", "events")})),
+    d AS (SELECT a, arg_min(n.lo, n.o) AS lo, arg_min(n.len, n.o) AS len FROM (SELECT DISTINCT a FROM e WHERE a IS NOT NULL) JOIN n ON a >= lo AND a < lo + (1::BIGINT << (32 - len)) GROUP BY a)
+    SELECT k, CASE WHEN ip IS NULL THEN 'none' WHEN lo IS NULL THEN 'other' ELSE concat(lo // 16777216, '.', lo // 65536 % 256, '.', lo // 256 % 256, '.', lo % 256, '/', len) END AS network FROM e LEFT JOIN d ON e.a = d.a""")
+def j27_many(spark, sf):
+    return R.networks_of(rows(spark, sf, _ADDRESSES), "ip", rows(spark, sf, _RANGES.replace('"order"', "`order`"))).select("k", "network")
+
+
 @query("j21_j22_existing_records", "SELECT doc_id, doc_id % 3 = 0 AS has_formats FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)")
 def j22(spark, sf):
     d = rows(spark, sf, """SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN '{{"formats":{{"18":1}}}}' WHEN 1 THEN '{{"formats":[]}}' ELSE '{{}}' END AS payload FROM {documents}""")
