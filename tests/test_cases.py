@@ -301,3 +301,28 @@ def test_networks_of_both_versions(spark):
     assert R.network_of(df, "ip", []).filter("network = 'other'").count() == len(asked) - 2
     plan = R.networks_of(df, "ip", spark.range(10).select(F.col("id").alias("order"), F.lit("1.2.3.4/8").alias("cidr")))._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_chains_of_rivals(spark, monkeypatch):
+    from tidewater.operators import graph as G
+
+    def plain(rows):
+        names, ids, kept = set(), set(), []
+        for n, i, name in sorted(rows):
+            mine = ({i.lower()} if i is not None else set(), {name.lower()} if name is not None else set())
+            if not (mine[0] & ids or mine[1] & names):
+                kept.append(n)
+                ids |= mine[0]
+                names |= mine[1]
+        return kept
+
+    chain = [(k, f"I{(k + 1) // 2}", f"n{k // 2}") for k in range(3000)]
+    rng = random.Random(5)
+    mixed = [(20_000 + k, rng.choice(["x", "Y", None]) if k % 3 == 0 else f"j{rng.randrange(200)}", rng.choice([None, "hot", f"m{rng.randrange(150)}"])) for k in range(600)]
+    rows = chain + mixed
+    seen = []
+    real = G.checkpointed
+    monkeypatch.setattr(G, "checkpointed", lambda df: seen.append(1) or real(df))
+    df = spark.createDataFrame(rows, "n long, creator_id string, name string").repartition(4)
+    assert sorted(r.n for r in queue.first_of_batch(df, "n").collect()) == plain(rows)
+    assert len(seen) <= 1 + 2 * 16

@@ -52,3 +52,26 @@ def resolve_paths(links: DataFrame, creator_map: DataFrame) -> DataFrame:
     cid = F.when(F.col("channel").startswith("channel/"), F.substring("channel", 9, 64))
     joined = links.withColumn("_id", cid).join(creator_map.select(F.col("channel_id").alias("_id"), "handle"), "_id", "left")
     return joined.select(F.coalesce("handle", "channel").alias("channel"), "subs").distinct()
+
+
+def components(edges: DataFrame, a: str, b: str) -> DataFrame:
+    """(node, component): the least node that is reachable, for every node of edges.
+
+    Large stars and small stars in turn: every node links its greater neighbours to the least node that it sees, then its lesser
+    ones, until each component is one star. Rounds grow with the logarithm of the longest chain, edges never grow in number,
+    and a hub is a minimum that every task merges before it is shuffled. Edges are checkpointed after every half round.
+    """
+    plain = edges.select(F.col(a).alias("x"), F.col(b).alias("y"))
+    links = checkpointed(plain.filter("x != y").select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("y")).distinct())
+    while True:
+        both = links.unionByName(links.select(F.col("y").alias("x"), F.col("x").alias("y")))
+        least = both.groupBy("x").agg(F.min(F.least("x", "y")).alias("m"))
+        large = checkpointed(both.filter("y > x").join(least, "x").select(F.col("y").alias("x"), F.col("m").alias("y")).distinct())
+        lower = large.groupBy("x").agg(F.min("y").alias("m"))
+        others = large.join(lower, "x").filter("y != m").select(F.col("y").alias("x"), F.col("m").alias("y"))
+        small = checkpointed(others.unionByName(lower.select("x", F.col("m").alias("y"))).distinct())
+        if small.exceptAll(links).isEmpty() and links.exceptAll(small).isEmpty():
+            break
+        links = small
+    nodes = plain.select(F.col("x").alias("node")).union(plain.select("y")).distinct()
+    return nodes.join(links.select(F.col("x").alias("node"), F.col("y").alias("component")), "node", "left").select("node", F.coalesce("component", "node").alias("component"))

@@ -3,37 +3,73 @@
 from __future__ import annotations
 
 import functools
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .graph import components
 from .lineage import checkpointed
 
 STATES = ("queued", "claimed", "no_feeds", "orphan")
 
 
+#: Rounds in which rows without an earlier rival win before chains of rivals are folded in order.
+ROUNDS = 3
+
+
 def first_of_batch(batch: DataFrame, order: str, by: tuple[str, ...] = ("creator_id", "name")) -> DataFrame:
     """Rows that no earlier kept row blocks by one of the columns, compared without case; a null blocks nothing and is blocked
-    by nothing. order is unique. With two columns the rule is sequential, as a row that is dropped blocks nothing: rows are
-    decided in rounds, those whose earlier rivals are all decided come next, and each round starts from a checkpoint."""
+    by nothing. order is unique.
+
+    With two columns the rule is sequential, as a row that is dropped blocks nothing. A few rounds decide the rows without an
+    undecided earlier rival and what those block, which clears every value that many rows share. Chains of rivals are left;
+    rows that are connected by shared values are folded in order, in one task per component, which keeps the values of the
+    component's kept rows. Components are found in rounds that grow with the logarithm of the longest chain."""
     # a null becomes a key of its own; no other value begins like it
-    keys = {f"_k{i}": F.coalesce(F.lower(F.col(c)), F.concat(F.lit("\0"), F.col(order).cast("string"))) for i, c in enumerate(by)}
+    keys = {f"_k{i}": F.coalesce(F.concat(F.lit(f"{i}:"), F.lower(F.col(c))), F.concat(F.lit("\0"), F.col(order).cast("string"))) for i, c in enumerate(by)}
     keyed = batch.withColumns(keys)
     first = lambda df: df.withColumns({f"_f{k}": F.min(order).over(Window.partitionBy(k)) for k in keys})
     heads = " and ".join(f"{order} = _f{k}" for k in keys)
     if len(by) == 1:
         return first(keyed).filter(heads).select(*batch.columns)
-    pending, rounds = checkpointed(keyed.select(order, *keys)), []
-    while not pending.isEmpty():
-        won = checkpointed(first(pending).filter(heads).select(order, *keys))
-        rounds.append(won.select(order))
+    pending, won = checkpointed(keyed.select(order, *keys)), []
+    for _ in range(ROUNDS):
+        if pending.isEmpty():
+            break
+        heads_of = checkpointed(first(pending).filter(heads).select(order, *keys))
+        won.append(heads_of.select(order))
         for k in keys:
-            pending = pending.join(won.select(k).distinct(), k, "left_anti")
+            pending = pending.join(heads_of.select(k).distinct(), k, "left_anti")
         pending = checkpointed(pending.select(order, *keys))
-    kept = functools.reduce(DataFrame.unionByName, rounds) if rounds else pending.select(order)
+    if not pending.isEmpty():
+        won.append(_folded(pending, order, list(keys)))
+    kept = functools.reduce(DataFrame.unionByName, won) if won else pending.select(order)
     return batch.join(kept, order, "left_semi")
 
 
+def _folded(pending: DataFrame, order: str, keys: list[str]) -> DataFrame:
+    """order of the rows that a fold over each component keeps."""
+    pairs = functools.reduce(DataFrame.unionByName, [pending.select(F.col(keys[0]).alias("a"), F.col(k).alias("b")) for k in keys[1:]])
+    named = pending.join(components(pairs, "a", "b"), F.col(keys[0]) == F.col("node"))
+    ordered = named.repartition("component").sortWithinPartitions("component", order)
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, taken = None, set()
+        for part in batches:
+            keep = []
+            for own, *values in zip(*(part.column(n).to_pylist() for n in ("component", *keys))):
+                if own != current:
+                    current, taken = own, set()
+                keep.append(taken.isdisjoint(values))
+                if keep[-1]:
+                    taken.update(values)
+            yield pa.RecordBatch.from_arrays([part.column(order).filter(pa.array(keep, pa.bool_()))], names=[order])
+
+    return ordered.select("component", order, *keys).mapInArrow(fold, f"`{order}` {pending.schema[order].dataType.simpleString()}")
+
+
 def populate(batch: DataFrame, known: DataFrame, markers: DataFrame, order: str, by: tuple[str, ...] = ("creator_id", "name")) -> DataFrame:
     """New queue rows: neither known nor marked nor repeated in the batch."""
     out = batch.join(markers.select("creator_id").distinct(), "creator_id", "left_anti")

@@ -175,4 +175,21 @@ def sc13(spark, sf):
 def sc12(spark, sf):
     from ..sources.scans import queue_snapshot
 
-    return queue_snapshot(rows(spark, sf, """SELECT c_custkey AS pos, CASE WHEN c_custkey % 2 = 0 THEN concat('{{"3":[[5,"', c_name, '","c', CAST(c_custkey AS STRING), '"]]}}') ELSE concat('[[5,"', c_name, '","c', CAST(c_custkey AS STRING), '"]]') END AS value FROM {customer}"""))
+    return queue_snapshot(rows(spark, sf, """SELECT c_custkey AS pos, CASE WHEN c_custkey % 2 = 0 THEN concat('{{"3":[[5,"', c_name, '","c', CAST(c_custkey AS STRING), '"]]}}') ELSE concat('[[5,"', c_name, '","c', CAST(c_custkey AS STRING), '"]]') END AS value FROM {customer}""")).drop("_place")
+
+
+_REPEATS = """SELECT c_custkey AS pos, concat(CASE WHEN c_custkey % 3 = 0 THEN '[' ELSE '{{"queues":{{"4":[' END, '[', CAST(c_custkey AS STRING), ',"', CASE WHEN c_custkey % 2 = 0 THEN 'NAME' ELSE 'name' END, CAST(floor(c_custkey / 2) AS STRING), '","c', CAST(floor((c_custkey + 1) / 2) AS STRING), '"],[1,"n', CAST(c_custkey % 40 AS STRING),
+    '","C', CAST(c_custkey AS STRING), '"]', CASE WHEN c_custkey % 3 = 0 THEN ']' ELSE ']}},"creator_tiers":{{}}}}' END) AS value FROM {customer}"""
+
+
+@query("sc12_distinct_queue", """WITH RECURSIVE e AS (SELECT c_custkey AS pos, CAST(CASE WHEN c_custkey % 3 = 0 THEN 9 ELSE 4 END AS INT) AS tier, 0 AS at_, c_custkey::DOUBLE AS due_ts, CASE WHEN c_custkey % 2 = 0 THEN 'NAME' ELSE 'name' END || c_custkey // 2 AS name, 'c' || (c_custkey + 1) // 2 AS creator_id FROM customer
+        UNION ALL SELECT c_custkey, CAST(CASE WHEN c_custkey % 3 = 0 THEN 9 ELSE 4 END AS INT), 1, 1.0::DOUBLE, 'n' || c_custkey % 40, 'C' || c_custkey FROM customer),
+    o AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY pos, at_) AS n FROM e),
+    r AS (SELECT n, pos, tier, at_, due_ts, name, creator_id, [lower(name)] AS names, [lower(creator_id)] AS ids, TRUE AS kept FROM o WHERE n = 1
+        UNION ALL SELECT o.n, o.pos, o.tier, o.at_, o.due_ts, o.name, o.creator_id, CASE WHEN k THEN list_append(r.names, lower(o.name)) ELSE r.names END, CASE WHEN k THEN list_append(r.ids, lower(o.creator_id)) ELSE r.ids END, k
+        FROM r JOIN o ON o.n = r.n + 1, LATERAL (SELECT NOT list_contains(r.names, lower(o.name)) AND NOT list_contains(r.ids, lower(o.creator_id)) AS k))
+    SELECT pos, tier, at_ AS at, due_ts, name, creator_id FROM r WHERE kept""")
+def sc12_distinct(spark, sf):
+    from ..sources.scans import distinct_queue
+
+    return distinct_queue(rows(spark, sf, _REPEATS), 9)

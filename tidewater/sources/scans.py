@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import channels as C
+from ..operators.queue import first_of_batch
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -143,12 +144,22 @@ def id_lines(lines: DataFrame) -> DataFrame:
     return lines.select(C.strip(F.col("value")).alias("id")).filter("id <> ''").distinct()
 
 
-def queue_snapshot(lines: DataFrame) -> DataFrame:
-    """(tier, due_ts, name, creator_id) of a tiered snapshot {tier: [[due, name, id], ...]} or a flat list (tier 1)."""
-    tiered = lines.filter(C.strip(F.col("value")).startswith("{")).select("pos", F.explode(F.from_json("value", "map<string,array<array<string>>>")).alias("tier", "rows"))
-    flat = lines.filter(C.strip(F.col("value")).startswith("[")).select("pos", F.lit("1").alias("tier"), F.from_json("value", "array<array<string>>").alias("rows"))
-    entry = tiered.unionByName(flat).select("pos", F.col("tier").cast("int").alias("tier"), F.posexplode("rows").alias("at", "r"))
-    return entry.select("pos", "tier", "at", F.col("r")[0].cast("double").alias("due_ts"), F.col("r")[1].alias("name"), F.col("r")[2].alias("creator_id"))
+def queue_snapshot(lines: DataFrame, last_tier: int = 1) -> DataFrame:
+    """(pos, tier, at, due_ts, name, creator_id) of snapshot lines: tiers with their rows, {tier: [[due, name, id], ...]}, alone or under
+    "queues", or a flat list, whose rows go to last_tier. Repeats stay; distinct_queue drops them."""
+    text = C.strip(F.col("value"))
+    wrapped = F.get_json_object("value", "$.queues")
+    tiers = F.from_json(F.coalesce(wrapped, F.col("value")), "map<string,array<array<string>>>")
+    tiered = lines.filter(text.startswith("{")).select("pos", F.posexplode(tiers).alias("tier_at", "tier", "rows"))
+    flat = lines.filter(text.startswith("[")).select("pos", F.lit(0).alias("tier_at"), F.lit(str(last_tier)).alias("tier"), F.from_json("value", "array<array<string>>").alias("rows"))
+    entry = tiered.unionByName(flat).select("pos", "tier_at", F.col("tier").try_cast("int").alias("tier"), F.posexplode("rows").alias("at", "r"))
+    return entry.select("pos", "tier", "at", F.get("r", 0).try_cast("double").alias("due_ts"), F.get("r", 1).alias("name"), F.get("r", 2).alias("creator_id"), F.struct("pos", "tier_at", "at").alias("_place"))
+
+
+def distinct_queue(lines: DataFrame, last_tier: int = 1) -> DataFrame:
+    """queue_snapshot without repeats: in the order of the file, a row whose name or id, without case, a kept row before it has is
+    dropped."""
+    return first_of_batch(queue_snapshot(lines, last_tier), "_place", ("creator_id", "name")).drop("_place")
 
 
 def page_values(pages: DataFrame) -> DataFrame:
