@@ -160,3 +160,25 @@ def test_state_ends(spark, tmp_path):
         held = state_rows(q)
         assert max(held) >= 40 and held[-1] == 0, held
         assert sorted(map(tuple, spark.table(f"ends{n}").collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_population_series(spark, tmp_path):
+    from tidewater.operators import queue
+    from tidewater.streaming.population import PopulationSeries
+
+    ops = ["populate", "claim", "release", "update_tier", "remove"]
+    log = [(k % 17, k, ops[k * 7 % 5], k % 3 + 1 if k % 2 else None, float(k)) for k in range(120)]
+    schema = "key bigint, seq bigint, op string, tier int, due_ts double"
+    write_files(spark, [log[:50], log[50:90], log[90:]], schema, f"{tmp_path}/in", range(3))
+    series = PopulationSeries(spark, f"{tmp_path}/out", 4, 4)
+    q = series.start(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(f"{tmp_path}/in"), f"{tmp_path}/ck", None)
+    q.awaitTermination(180)
+    q = series.start(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(f"{tmp_path}/in"), f"{tmp_path}/ck", None)  # nothing new
+    q.awaitTermination(180)
+    want = set()
+    for number, upto in enumerate((50, 90, 120)):
+        state = queue.queue_state(spark.createDataFrame(log[:upto], schema), 4).filter("not removed")
+        want |= {(number, *r) for r in queue.population(state).collect()}
+    assert sorted(map(tuple, series.series().collect())) == sorted(want)
+    series.take(spark.createDataFrame(log[90:], schema), 2)
+    assert sorted(map(tuple, series.series().collect())) == sorted(want)

@@ -94,6 +94,14 @@ def novelty_cut(pages: DataFrame, stop_after: int = 3, source: str = "source", p
     return stop.filter(F.col("_s").isNull() | (F.col(page) <= F.col("_s"))).select(source, page, "new")
 
 
+def first_mentions(mentions: DataFrame, item: str, source: str, *order: str) -> DataFrame:
+    """(item, source, depth, mentions, repeats): where each item was mentioned first, by order and then by source, at what depth (the first
+    column of order), how often in all, and how often by a source that had mentioned it before."""
+    out = mentions.groupBy(item, source).agg(F.min(F.struct(*order, source)).alias("_f"), F.count(F.lit(1)).alias("_n"))  # merged per pair first: an item can be in a third of all rows
+    per = out.groupBy(item).agg(F.min("_f").alias("_f"), F.sum("_n").alias("mentions"), F.sum(F.col("_n") - 1).alias("repeats"))
+    return per.select(item, F.col(f"_f.{source}").alias(source), F.col(f"_f.{order[0]}").alias("depth"), "mentions", "repeats")
+
+
 def shard(df: DataFrame, n: int, *order: str) -> DataFrame:
     """Round-robin shards over a total order, without one task for the whole table: ranks start from counts of range partitions."""
     # the partition of a row is written down once: two reads of the plan could be coalesced differently

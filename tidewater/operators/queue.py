@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import numbers as N
 from .graph import components
 from .lineage import checkpointed
 
@@ -161,6 +162,32 @@ def queue_state(events: DataFrame, last_tier: int) -> DataFrame:
     return agg.select("key", F.when(F.col("_some"), F.coalesce("tier", F.lit(last_tier))).alias("tier"), "due_ts", F.coalesce(F.col("_op") == "claim", F.lit(False)).alias("claimed"), (~F.col("_some")).alias("removed"))
 
 
+def with_release_due(events: DataFrame, tiers: tuple, fraction: float, last_tier: int) -> DataFrame:
+    """events (key, seq, ts, op, tier, retry, due_ts) in which a release without a due time gets one: a fraction of the interval of the
+    tier that the creator has by then, or of the retry interval where that is longer, after its time. A creator without a tier
+    has the last; a remove forgets the tier. ts and due_ts are seconds, tiers the table of functions.numbers."""
+    ordered = Window.partitionBy("key").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
+    lives = events.withColumn("_life", F.sum((F.col("op") == "remove").cast("int")).over(ordered))
+    within = Window.partitionBy("key", "_life").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
+    # the remove itself opens a life in which nothing is known yet
+    tier = F.coalesce(F.last(F.when(F.col("op") != "remove", F.col("tier")), ignorenulls=True).over(within), F.lit(last_tier))
+    due = next_due(F.col("ts"), N.interval_hours(tier, tiers) * 3600.0, F.col("retry"), fraction)
+    return lives.withColumn("due_ts", F.when((F.col("op") == "release") & F.col("due_ts").isNull(), due).otherwise(F.col("due_ts"))).drop("_life")
+
+
+def advance(state: DataFrame, events: DataFrame, last_tier: int) -> DataFrame:
+    """State (key, tier, due_ts, claimed) after further events: what is known counts as older than every event. Removed creators
+    are left out."""
+    old = state.select("key", F.lit(-(1 << 62)).cast("bigint").alias("seq"), F.when(F.col("claimed"), "claim").otherwise("populate").alias("op"), "tier", "due_ts")
+    after = queue_state(old.unionByName(events.select("key", F.col("seq").cast("bigint").alias("seq"), "op", "tier", "due_ts")), last_tier)
+    return after.filter(~F.col("removed")).select("key", "tier", "due_ts", "claimed")
+
+
+def population(state: DataFrame) -> DataFrame:
+    """(tier, queued, claimed) of a queue's state."""
+    return state.groupBy("tier").agg(F.count_if(~F.col("claimed")).alias("queued"), F.count_if("claimed").alias("claimed"))
+
+
 def fetch_action(outcome: Column, failures: Column, had_feed: Column, low: int = 10, high: int = 50) -> Column:
     """remove, release or release_later, from a fetch outcome, the failures so far and whether the channel ever had a feed."""
     over = failures >= F.when(had_feed, high).otherwise(low)

@@ -93,7 +93,13 @@ def st7(spark, sf):
 @query("w10_first_mention", "SELECT l_suppkey AS channel, min(l_orderkey) AS depth, arg_min(l_partkey, struct_pack(a := l_orderkey, b := l_linenumber, c := l_partkey)) AS source FROM lineitem GROUP BY 1")
 def w10(spark, sf):
     i = rows(spark, sf, "SELECT l_suppkey AS channel, l_orderkey AS depth, l_linenumber AS n, l_partkey AS source FROM {lineitem}")
-    return i.groupBy("channel").agg(F.min("depth").alias("depth"), F.min_by("source", F.struct("depth", "n", "source")).alias("source"))
+    return M.first_mentions(i, "channel", "source", "depth", "n").select("channel", "depth", "source")
+
+
+@query("w10_duplicate_mentions", """SELECT channel, arg_min(source, struct_pack(a := depth, b := source)) AS source, min(depth) AS depth, CAST(sum(n) AS BIGINT) AS mentions, CAST(sum(n - 1) AS BIGINT) AS repeats
+    FROM (SELECT l_suppkey AS channel, l_partkey % 20 AS source, min(l_orderkey) AS depth, count(*) AS n FROM lineitem GROUP BY 1, 2) GROUP BY 1""")
+def w10_duplicates(spark, sf):
+    return M.first_mentions(rows(spark, sf, "SELECT l_suppkey AS channel, l_partkey % 20 AS source, l_orderkey AS depth FROM {lineitem}"), "channel", "source", "depth")
 
 
 @query("st10_sla_windows", cte("outcomes") + "SELECT date_trunc('hour', ts) AS start, CAST(key % 4 + 1 AS INT) AS tier, count(*) FILTER (value <= 50) AS on_time, count(*) FILTER (value > 50) AS overdue FROM outcomes GROUP BY 1, 2")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import numbers as N
 from ..operators import queue as O
-from .binding import cte, rows
+from .binding import cte, rows, scratch
 from .scalars import TIERS, tier_sql
 
 QUERIES, SQL = {}, {}
@@ -141,6 +141,35 @@ def w9(spark, sf):
     return O.queue_state(rows(spark, sf, _LOG), 4)
 
 
+_STATE = """SELECT key, coalesce(arg_max(tier, seq) FILTER (tier IS NOT NULL), 4) AS tier, arg_max(due_ts, seq) FILTER (due_ts IS NOT NULL) AS due_ts, coalesce(arg_max(op, seq) FILTER (op IN ('populate', 'claim', 'release')) = 'claim', FALSE) AS claimed
+    FROM (SELECT *, max(CASE WHEN op = 'remove' THEN seq END) OVER (PARTITION BY key) AS gone FROM {0}) WHERE gone IS NULL OR seq > gone GROUP BY key"""
+
+
+@query("st9_population_series", f"""WITH e AS ({_LOG.replace('{orders}', 'orders')}), c AS (SELECT CAST(b AS BIGINT) AS batch, b * (max(seq) + 3) // 3 AS past, (b + 1) * (max(seq) + 3) // 3 AS upto FROM e, (SELECT unnest(range(0, 3)) AS b) GROUP BY b),
+    x AS (SELECT batch * 1000000000000 + key AS key, seq, op, tier, due_ts FROM c JOIN e ON seq < upto), s AS ({_STATE.format('x')})
+    SELECT key // 1000000000000 AS batch, tier, count(*) FILTER (NOT claimed) AS queued, count(*) FILTER (claimed) AS claimed FROM s GROUP BY 1, 2""")
+def st9(spark, sf):
+    from ..streaming.population import PopulationSeries
+
+    series, log = PopulationSeries(spark, scratch(spark, "population"), 4, 16), rows(spark, sf, _LOG)
+    top = log.agg(F.max("seq")).first()[0] + 3
+    for number in (0, 1, 1, 2, 2, 0):  # batches that come again change nothing
+        series.take(log.filter((F.col("seq") >= number * top // 3) & (F.col("seq") < (number + 1) * top // 3)), number)
+    return series.series()
+
+
+_TIMED = _LOG.replace("SELECT o_custkey AS key,", "SELECT o_custkey AS key, CAST(o_orderkey * 10 AS DOUBLE) AS ts, CASE WHEN o_orderkey % 4 = 1 THEN CAST(100000 AS DOUBLE) END AS retry,").replace("IN (0, 2, 4, 5) THEN CAST(o_orderkey AS DOUBLE)", "IN (0, 4) THEN CAST(o_orderkey AS DOUBLE)")
+
+
+@query("w9_release_due", f"""WITH e AS ({_TIMED.replace('{orders}', 'orders')}), l AS (SELECT *, sum(CASE WHEN op = 'remove' THEN 1 ELSE 0 END) OVER (PARTITION BY key ORDER BY seq) AS life FROM e),
+    t AS (SELECT *, coalesce(last_value(CASE WHEN op <> 'remove' THEN tier END IGNORE NULLS) OVER (PARTITION BY key, life ORDER BY seq ROWS UNBOUNDED PRECEDING), 4) AS now FROM l),
+    d AS (SELECT key, seq, op, tier, CASE WHEN op = 'release' THEN ts + greatest(CASE now WHEN 1 THEN 4 WHEN 2 THEN 12 WHEN 3 THEN 24 ELSE 48 END * 3600.0, coalesce(retry, 0)) * 0.5 ELSE due_ts END AS due_ts FROM t)
+    SELECT key, tier, CAST(due_ts AS DOUBLE) AS due_ts, claimed FROM ({_STATE.format('d')})""")
+def w9_due(spark, sf):
+    timed = O.with_release_due(rows(spark, sf, _TIMED), TIERS, 0.5, 4)
+    return O.queue_state(timed, 4).filter(~F.col("removed")).select("key", "tier", "due_ts", "claimed")
+
+
 _FETCH = """SELECT event_id, CASE event_id % 4 WHEN 0 THEN 'not_found' WHEN 1 THEN 'server_error' ELSE 'ok' END AS outcome, user_id % 70 AS failures, user_id % 3 = 0 AS had_feed FROM {events}"""
 
 
