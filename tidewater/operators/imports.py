@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import channels as C
 from ..functions import numbers as N
 from ..functions import web as W
+from . import extract as X
+from . import validation as V
 
 #: Column names of other datasets for each field, best first.
 ALIASES = {
@@ -82,3 +86,31 @@ def first_seen(channels: DataFrame, *order: str) -> DataFrame:
 def import_statistics(rows: DataFrame, dataset: str, outcome: str, outcomes: tuple[str, ...]) -> DataFrame:
     """(dataset, n, one count per outcome) by dataset and, with a null dataset, over all."""
     return rows.rollup(dataset).agg(F.count(F.lit(1)).alias("n"), *[F.count_if(F.col(outcome) == o).alias(o) for o in outcomes])
+
+
+#: Names that a record's columns have in its document.
+DOCUMENT_NAMES = {"duration_s": "duration", "published": "published_timestamp", "uploaded": "uploaded_timestamp"}
+
+
+def import_documents(docs: DataFrame, existing: DataFrame, schema_text: str, payload: str = "payload", overwrite: bool = False) -> DataFrame:
+    """docs with video_id, outcome, reason and document: downloader info documents read, mapped, validated and decided in one job.
+
+    In this order: error where there is no record (no JSON object, no id), skipped where the id exists already, unless overwrite,
+    error where the mapped record breaks the schema, else written. reason says why not; document is the mapped record as JSON,
+    with the properties that the schema has and without nulls, where it is to be written. A repeated id is decided each time."""
+    tag = "_x_columns"
+    rows = X.info_rows(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(tag), F.col(payload)), payload)
+    captions = {c: F.transform_values(c, lambda k, v: F.struct(k.alias("language_code"), v.alias("url"))) for c in ("subtitles", "automatic_captions")}
+    known, fields = json.loads(schema_text).get("properties", {}), []
+    for c in rows.columns:
+        if c not in (tag, "error") and (name := DOCUMENT_NAMES.get(c, c)) in known:
+            fields.append(captions.get(c, F.col(c)).alias(name))
+    document = F.to_json(F.struct(*fields), {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss'Z'"}) if fields else F.lit("{}")
+    valid = V.validate(rows.withColumn("document", document), schema_text, "document", "_invalid")
+    have = existing.select("video_id", F.lit(True).alias("_have")).distinct()
+    there = F.coalesce("_have", F.lit(False)) & F.lit(not overwrite)
+    joined = valid.join(have, "video_id", "left")
+    outcome = F.when(F.col("error").isNotNull(), "error").when(there, "skipped").when(F.col("_invalid").isNotNull(), "error").otherwise("written")
+    reason = F.coalesce("error", F.when(~there, F.col("_invalid")))
+    done = joined.withColumn("outcome", outcome).withColumn("reason", reason)
+    return done.select(f"{tag}.*", "video_id", "outcome", "reason", F.when(F.col("outcome") == "written", F.col("document")).alias("document"))

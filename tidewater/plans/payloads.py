@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import extract as X
 from ..operators import graph as G
+from ..operators import imports as I
 from ..operators import lists as L
 from ..operators import validation as V
 from .binding import by_case, cte, payloads, rows
@@ -158,6 +159,82 @@ def n21(spark, sf):
     return d.select("page_id", X.embedded_json(F.col("html")).alias("found"))
 
 
+@query("n21_bare_assignments", """SELECT page_id, CASE page_id % 4 WHEN 0 THEN '{"a":"it''s ' || page_id || '"}' WHEN 1 THEN '{"w":' || page_id || '}' WHEN 2 THEN '{"p":' || page_id || '}' END AS found FROM pages""")
+def n21_bare(spark, sf):
+    template = by_case("page_id % 4", """ytInitialData={"a":"it<<chr(92)>>'s <<page_id>>"};""", 'ytInitialData = {broken}; window["ytInitialData"] = {"w":<<page_id>>};', 'ytInitialPlayerResponse =<<chr(10)>>{"p":<<page_id>>};', "ytInitialData = 5;")
+    return rows(spark, sf, payloads("page_id", "pages", template)).select(F.col("k").alias("page_id"), X.embedded_json(F.col("payload")).alias("found"))
+
+
+_INFO = by_case("p_partkey % 5", """{"id":"v<<p_partkey>>","webpage_url":"https://w/<<p_partkey>>","title":"t","fulltitle":"long <<p_size>>","description":"d","channel_id":"UC<<p_partkey>>","channel_url":"https://c/<<p_partkey>>","channel_is_verified":true,
+    "channel_follower_count":<<p_partkey>>,"uploader_id":"@@h<<p_size>>","playable_in_embed":false,"view_count":5,"like_count":4,"comment_count":<<p_size>>,"is_live":true,"was_live":false,"availability":"public","duration":<<p_size>>.5,"upload_date":"20240615","timestamp":1,
+    "media_type":"Short","tags":["b","a","b"],"categories":["Music","Film"],"language":"en","age_limit":18,"heatmap":[{"start_time":0.5,"value":0.25}],"aspect_ratio":1.78,"chapters":[{"start_time":0,"end_time":<<p_size>>,"title":"c"}],
+    "thumbnails":[{"url":"https://i/1","width":10,"height":5}],"formats":[{"format_id":"18","audiocodec":"opus","has_drm":false,"fragments":[{"duration":2}]}],"subtitles":{"en":[{"url":"https://s/1"},{"url":"https://s/2"}],"de":[]},"automatic_captions":{"fr":[{"url":"https://a/<<p_partkey>>"}]}}""",
+    '{"id":"v<<p_partkey>>","timestamp":<<p_size>>,"upload_date":"nonsense","media_type":"odd","uploader_id":"@","webpage_url":""}', '{"id":<<p_partkey>>,"title":"t"}', "[<<p_partkey>>]", '{"id":"v<<p_partkey>>","view_count":-<<p_partkey>>,"tags":null,"chapters":[{"start_time":1}]}')
+
+
+@query("n19_full_records", """WITH p AS (SELECT p_partkey AS k, p_size AS z, p_partkey % 5 AS c FROM part)
+    SELECT k, CASE WHEN c IN (0, 1, 4) THEN 'v' || k END AS video_id, CASE WHEN c = 0 THEN 'https://w/' || k WHEN c IN (1, 4) THEN 'https://www.youtube.com/watch?v=v' || k END AS url, CASE WHEN c IN (0, 1, 4) THEN 'https://www.youtube.com/embed/v' || k END AS embed_url,
+        CASE WHEN c = 0 THEN 'long ' || z END AS long_title, CASE WHEN c = 0 THEN 'https://c/' || k END AS channel_url, CASE WHEN c = 0 THEN TRUE END AS channel_is_verified, CASE WHEN c = 0 THEN CAST(k AS BIGINT) END AS channel_follower_count,
+        CASE WHEN c = 0 THEN 'h' || z END AS channel_handle, CASE WHEN c = 0 THEN FALSE WHEN c IN (1, 4) THEN TRUE END AS embedable, CASE WHEN c = 0 THEN CAST(z AS BIGINT) END AS comment_count, CASE WHEN c = 0 THEN TRUE WHEN c IN (1, 4) THEN FALSE END AS is_live,
+        CASE WHEN c IN (0, 1, 4) THEN FALSE END AS was_live, CASE WHEN c = 0 THEN 'public' END AS availability, CASE WHEN c = 0 THEN z + 0.5::DOUBLE END AS duration_s, CASE WHEN c = 0 THEN 1718409600 WHEN c = 1 THEN CAST(z AS BIGINT) END AS published,
+        CASE WHEN c = 0 THEN 1718409600 WHEN c = 1 THEN CAST(z AS BIGINT) END AS uploaded, CASE WHEN c = 0 THEN 'short' END AS media_type, CASE WHEN c = 0 THEN 'a,b' WHEN c IN (1, 4) THEN '' END AS tags, CASE WHEN c = 0 THEN 'Music' END AS category,
+        CASE WHEN c = 0 THEN 'en' END AS default_audio_language, CASE WHEN c = 0 THEN 18 WHEN c IN (1, 4) THEN 0 END AS age_limit, CASE WHEN c = 0 THEN 0.25::DOUBLE END AS heat, CASE WHEN c = 0 THEN 1.78::DOUBLE WHEN c IN (1, 4) THEN 0.0::DOUBLE END AS aspect_ratio,
+        CASE WHEN c = 0 THEN CAST(z AS DOUBLE) END AS chapter_end, CASE WHEN c = 0 THEN 'https://i/1' END AS thumbnail, CASE WHEN c = 0 THEN 'opus' END AS codec, CASE WHEN c = 0 THEN 2.0::DOUBLE END AS fragment, CASE WHEN c = 0 THEN 'en=https://s/2' END AS subtitles,
+        CASE WHEN c = 0 THEN 'https://a/' || k END AS automatic, CASE c WHEN 2 THEN 'missing required ''id''' WHEN 3 THEN 'not a JSON object' END AS error FROM p""")
+def n19_full(spark, sf):
+    r = X.info_rows(rows(spark, sf, payloads("p_partkey", "part", _INFO)))
+    plain = ("k", "video_id", "url", "embed_url", "long_title", "channel_url", "channel_is_verified", "channel_follower_count", "channel_handle", "embedable", "comment_count", "is_live", "was_live", "availability", "duration_s", "media_type", "category", "default_audio_language", "age_limit", "aspect_ratio", "error")
+    return r.select(
+        *plain, F.unix_seconds("published").alias("published"), F.unix_seconds("uploaded").alias("uploaded"), F.array_join("tags", ",").alias("tags"), F.get("heatmaps", 0)["value"].alias("heat"), F.get("chapters", 0)["end_time"].alias("chapter_end"),
+        F.element_at("thumbnails", "10x5")["url"].alias("thumbnail"), F.element_at("formats", "18")["audio_codec"].alias("codec"), F.get(F.element_at("formats", "18")["fragments"], 0)["duration"].alias("fragment"),
+        F.array_join(F.transform(F.map_entries("subtitles"), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",").alias("subtitles"), F.element_at("automatic_captions", "fr").alias("automatic"),
+    )
+
+
+_IMPORT = """{"type":"object","properties":{"video_id":{"type":"string"},"url":{"type":"string","format":"uri"},"duration":{"type":"number"},"view_count":{"type":"integer","minimum":0},"published_timestamp":{"type":"string","format":"date-time"},
+    "chapters":{"type":"array","items":{"type":"object","required":["title"]}},"subtitles":{"type":"object","additionalProperties":{"type":"object","required":["language_code","url"]}}},"required":["video_id","url"],"additionalProperties":false}"""
+
+
+@query("sc15_import_chain", """SELECT p_partkey AS k, CASE WHEN p_partkey % 5 IN (2, 3) THEN 'error' WHEN p_partkey % 7 = 0 THEN 'skipped' WHEN p_partkey % 5 = 4 THEN 'error' ELSE 'written' END AS outcome,
+    CASE p_partkey % 5 WHEN 2 THEN 'missing required ''id''' WHEN 3 THEN 'not a JSON object' WHEN 4 THEN CASE WHEN p_partkey % 7 <> 0 THEN '/view_count: is less than the minimum of 0' END END AS reason,
+    CASE WHEN p_partkey % 7 = 0 THEN NULL WHEN p_partkey % 5 = 0 THEN '{"video_id":"v' || p_partkey || '","url":"https://w/' || p_partkey || '","view_count":5,"duration":' || p_size || '.5,"published_timestamp":"2024-06-15T00:00:00Z","chapters":[{"start_time":0.0,"end_time":' || p_size || '.0,"title":"c"}],"subtitles":{"en":{"language_code":"en","url":"https://s/2"}}}'
+        WHEN p_partkey % 5 = 1 THEN '{"video_id":"v' || p_partkey || '","url":"https://www.youtube.com/watch?v=v' || p_partkey || '","published_timestamp":"1970-01-01T00:00:' || lpad(CAST(p_size AS VARCHAR), 2, '0') || 'Z"}' END AS document FROM part""")
+def sc15_chain(spark, sf):
+    docs = rows(spark, sf, payloads("p_partkey", "part", _INFO))
+    have = rows(spark, sf, "SELECT concat('v', CAST(p_partkey AS STRING)) AS video_id FROM {part} WHERE p_partkey % 7 = 0")
+    return I.import_documents(docs, have, _IMPORT).select("k", "outcome", "reason", "document")
+
+
+@query("n20_full_entries", """SELECT c_custkey AS k, 'v' || c_custkey AS video_id, 'https://www.youtube.com/watch?v=v' || c_custkey AS url, 'https://www.youtube.com/embed/v' || c_custkey AS embed_url, CASE WHEN c_custkey % 3 > 0 THEN 'UC' || c_custkey END AS channel_id, 'h' || c_custkey AS channel_handle,
+    CASE WHEN c_custkey % 2 = 0 THEN 'https://www.youtube.com/channel/UC' || c_custkey ELSE 'https://www.youtube.com/@h' || c_custkey END AS channel_url, CASE WHEN c_custkey % 5 > 0 THEN CAST(1718447400 AS BIGINT) END AS uploaded, CASE WHEN c_custkey % 4 > 0 THEN c_name || ' & more' END AS description FROM customer""")
+def n20_full(spark, sf):
+    template = """<feed xmlns:yt="y" xmlns:media="m" xmlns="http://www.w3.org/2005/Atom"><entry><yt:videoId>v<<c_custkey>></yt:videoId><<CASE WHEN c_custkey % 3 != 0 THEN concat('<yt:channelId>UC', CAST(c_custkey AS STRING), '</yt:channelId>') ELSE '' END>><title>t</title><author><name>n</name>"""
+    template += """<<CASE WHEN c_custkey % 2 = 0 THEN concat('<uri>https://www.youtube.com/channel/UC', CAST(c_custkey AS STRING), '</uri>') ELSE '' END>></author><<CASE WHEN c_custkey % 5 != 0 THEN '<updated>2024-06-15T10:30:00+00:00</updated>' ELSE '<updated>soon</updated>' END>>"""
+    template += """<media:group><<CASE WHEN c_custkey % 4 != 0 THEN concat('<media:description>', c_name, ' &amp; more</media:description>') ELSE '' END>></media:group></entry></feed>"""
+    d = rows(spark, sf, payloads("c_custkey", "customer", template))
+    names = ("k", "video_id", "url", "embed_url", "channel_id", "channel_handle", "channel_url", "description")
+    return X.feed_rows(d, handle=F.concat(F.lit("h"), F.col("k").cast("string"))).select(*names, F.unix_seconds("uploaded").alias("uploaded"))
+
+
+_FULL_PLAYER = by_case("p_partkey % 3", """{"videoDetails":{"videoId":"v<<p_partkey>>","title":"t","author":"a<<p_size>>","isLiveContent":true,"isTvFilmVideo":false,"tags":["y","x"],"keywords":["k"],"thumbnail":{"thumbnails":[{"url":"u1","width":10,"height":5},{"url":"u2","width":10,"height":5},{"id":"big","url":"u3"}]},
+    "chapters":[{"start_time":<<p_size>>,"title":"c"}],"formats":[{"format_id":"1","ext":"w"},{"format_id":"1","ext":"x","videocodec":"av1"}]},"microformat":{"playerMicroformatRenderer":{"canonicalUrl":"https://w/<<p_partkey>>","embed":{"iframeUrl":"https://e/<<p_partkey>>"},"ownerProfileUrl":"https://o/<<p_size>>",
+    "isUnlisted":true,"uploadDate":"2024-06-15T10:30:00+00:00","category":"new","isFamilySafe":false}}}""", '{"videoDetails":{"author":"","tags":[]},"microformat":{"playerMicroformatRenderer":{"canonicalUrl":"","ownerProfileUrl":""}}}', "{}")
+
+
+@query("n10_full_player", """WITH p AS (SELECT p_partkey AS k, p_size AS z, p_partkey % 3 = 0 AS f FROM part)
+    SELECT k, CASE WHEN f THEN 'https://w/' || k ELSE 'old url' END AS url, CASE WHEN f THEN 'https://e/' || k ELSE 'old embed' END AS embed_url, CASE WHEN f THEN 'a' || z ELSE 'old handle' END AS channel_handle, CASE WHEN f THEN 'https://o/' || z ELSE 'old channel' END AS channel_url,
+        CASE WHEN f THEN CAST(1718447400 AS BIGINT) END AS uploaded, coalesce(CASE WHEN f THEN TRUE END, k % 2 = 0) AS is_live, CASE WHEN f THEN TRUE END AS was_live, CASE WHEN f THEN 'private' ELSE 'public' END AS privacy_status, CASE WHEN f THEN FALSE END AS is_family_safe, CASE WHEN f THEN FALSE END AS is_tv_film_video,
+        CASE WHEN f THEN 'old,x,y' ELSE 'old' END AS tags, 'old category' AS category, CASE WHEN f THEN '10x5=u1,big=u3' END AS thumbnails, CASE WHEN f THEN CAST(z AS DOUBLE) END AS chapter, CASE WHEN f THEN 'x/av1' END AS format FROM p""")
+def n10_full(spark, sf):
+    more = ", 'old url' AS url, 'old embed' AS embed_url, 'old handle' AS channel_handle, 'old channel' AS channel_url, 'old category' AS category, array('old') AS tags, p_partkey % 2 = 0 AS is_live"
+    r = X.player_rows(rows(spark, sf, payloads("p_partkey", "part", _FULL_PLAYER, more)), existing=("url", "embed_url", "channel_handle", "channel_url", "category", "tags", "is_live"))
+    one = F.element_at("formats", "1")
+    return r.select(
+        "k", "url", "embed_url", "channel_handle", "channel_url", F.unix_seconds("uploaded").alias("uploaded"), "is_live", "was_live", "privacy_status", "is_family_safe", "is_tv_film_video", F.array_join("tags", ",").alias("tags"), "category",
+        F.array_join(F.transform(F.map_entries("thumbnails"), lambda e: F.concat(e["key"], F.lit("="), e["value"]["url"])), ",").alias("thumbnails"), F.get("chapters", 0)["start_time"].alias("chapter"), F.concat(one["ext"], F.lit("/"), one["video_codec"]).alias("format"),
+    )
+
+
 @query("pf8_no_content", "SELECT c_custkey AS k, c_custkey % 3 <> 0 AS empty FROM customer")
 def pf8(spark, sf):
     d = rows(spark, sf, "SELECT c_custkey AS k, CASE WHEN c_custkey % 3 = 0 THEN array('v') WHEN c_custkey % 3 = 1 THEN array() END AS videos, CAST(NULL AS ARRAY<STRING>) AS playlists FROM {customer}")
