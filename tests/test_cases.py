@@ -326,3 +326,19 @@ def test_chains_of_rivals(spark, monkeypatch):
     df = spark.createDataFrame(rows, "n long, creator_id string, name string").repartition(4)
     assert sorted(r.n for r in queue.first_of_batch(df, "n").collect()) == plain(rows)
     assert len(seen) <= 1 + 2 * 16
+
+
+@pytest.mark.parametrize("long", [40, 700])
+def test_long_logs_fold_in_segments(spark, long):
+    rng = random.Random(long)
+    rows = []
+    for k in range(3000):
+        video = rng.choice(["hot", "hot", "warm", f"v{rng.randrange(60)}", None])
+        channel = rng.choice([None, "A", "B", f"c{rng.randrange(40)}", f"c{k}"])
+        rows.append((video, channel, rng.choice([None, "x", "yVEVO"]) if k % 50 == 0 else "x", rng.random() < 0.01, rng.choice([None, 5, rng.randrange(1000)]), rng.randrange(900), 0))
+    rows += [("rise", f"r{k}", "x", False, k, k, 0) for k in range(800)] + [("flat", f"f{k % 90}", "x", False, 7, k, 0) for k in range(800)] + [("one", "A", "x", False, k % 7, k, 0) for k in range(800)]
+    rows += [("same", "A", "x", False, 1, 5, 0)] * 300 + [("same", "B", "x", False, 9, 5, 0)] * 500 + [("fall", f"d{k % 3}", "x", k < 3, 1000 - k, k, 0) for k in range(800)]
+    schema = "video_id string, channel_id string, channel_handle string, verified boolean, subscriber_count long, mtime long, seq long"
+    df = spark.createDataFrame(rows, schema).repartition(5)
+    want = sorted(map(repr, enrich.fold_mapping(df, long=10**6).collect()))
+    assert sorted(map(repr, enrich.fold_mapping(df, long=long).collect())) == want and len(want) > 60

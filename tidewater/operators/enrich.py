@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.kept import KeptTable
+from .segments import fold_long
 
 FACTS = ("channel_id", "channel_handle", "verified", "subscriber_count")
 
@@ -24,12 +25,30 @@ def channel_facts(channels: DataFrame) -> DataFrame:
     return channels.filter("channel_handle is not null").withColumn("subscriber_count", subs).withColumn("channel_url", F.concat(F.lit("https://www.youtube.com/@"), "channel_handle"))
 
 
-def fold_mapping(links: DataFrame, key: str = "video_id", order: tuple[str, ...] = ("mtime", "seq")) -> DataFrame:
+#: A log of more than a thousandth of all links, and of more than so many, is folded in segments of about so many.
+LONG = 100_000
+
+
+def fold_mapping(links: DataFrame, key: str = "video_id", order: tuple[str, ...] = ("mtime", "seq"), long: int = LONG) -> DataFrame:
     """(key, facts, collisions): a video's channels in time order; the same channel refreshes its facts, another one wins when it is
     verified, else VEVO, else larger, where the present one is not. The fold depends on the order, so it is no argmax. Rows are
     sorted by video and time inside partitions and stream through their task, which keeps the present holder of one video only;
-    a video's log is never collected. Ties in the order are broken by the facts."""
+    a video's log is never collected. Long logs, of which there are a thousand at most, are cut into segments that are folded
+    apart (segments.fold_long). Ties in the order are broken by the facts."""
     slim = links.select(key, *order, *FACTS)
+    total = slim.count()
+    if total > long:
+        most = max(long, total // 1000)
+        logs = slim.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > most).collect()  # fewer than a thousand
+        if logs:
+            named = F.broadcast(slim.sparkSession.createDataFrame([(r[0],) for r in logs], slim.select(key).schema))
+            folded = fold_long(slim.join(named, key, "left_semi"), key, order, FACTS, sum(r.n for r in logs) // most + 1)
+            return _fold_short(slim.join(named, key, "left_anti"), key, order).unionByName(folded)
+    return _fold_short(slim, key, order)
+
+
+def _fold_short(slim: DataFrame, key: str, order: tuple[str, ...]) -> DataFrame:
+    """fold_mapping for logs that one task each streams through."""
     names = [key, *FACTS]
 
     def rank(facts: tuple) -> tuple:
