@@ -342,3 +342,15 @@ def test_long_logs_fold_in_segments(spark, long):
     df = spark.createDataFrame(rows, schema).repartition(5)
     want = sorted(map(repr, enrich.fold_mapping(df, long=10**6).collect()))
     assert sorted(map(repr, enrich.fold_mapping(df, long=long).collect())) == want and len(want) > 60
+
+
+def test_channel_urls_by_their_parts(spark):
+    uc = "UC" + "a1_-" * 5 + "zz"
+    cases = {
+        "https://www.youtube.com/@Chan.x": "Chan.x", "HTTP://M.YouTube.com/@a/videos?x=1#y": "a", "https://youtube.com/c/Name/": "Name", "https://music.youtube.com/User/me?x": "me", f"https://youtube.com/channel/{uc}": uc,
+        f"https://youtube.com/Channel/{uc.lower()}/about": uc.lower(), "https://youtube.com/@a?next=/@b": "a", "https://youtube.com/@": None, "https://youtube.com/@a b": None, "https://youtube.com/c/": None, "https://youtube.com/c": None,
+        "https://youtube.com/channel/UCshort": None, "https://youtube.com/watch?v=1": None, "https://youtube.com?x=/@a": None, "https://youtube.com.evil/@a": None, "https://evil/youtube.com/@a": None, "ftp://youtube.com/@a": None, "youtube.com/@a": None,
+        "https://youtube.com:443/@a": None, "see https://youtube.com/@a": None, "": None, f"https://youtube.com/channel/{uc}x": None, "https://youtube.com/playlist/c/x": None, "https://youtube.com//@a": None,
+    }
+    df = spark.createDataFrame(list(cases.items()), "url string, want string")
+    assert df.select("url", "want", C.url_canonical(F.col("url")).alias("got")).filter("not (want <=> got)").collect() == []
