@@ -182,3 +182,29 @@ def test_population_series(spark, tmp_path):
     assert sorted(map(tuple, series.series().collect())) == sorted(want)
     series.take(spark.createDataFrame(log[90:], schema), 2)
     assert sorted(map(tuple, series.series().collect())) == sorted(want)
+
+
+def test_uploads_in_batches(spark, tmp_path):
+    from tidewater.operators import records
+
+    schema = "ident string, prefix_rank int, mtime bigint, text string"
+    write_files(spark, [[(f"a{k}", 0, k, "x" * k if k % 3 else None) for k in range(20)], [("b", 0, 1, "b" * 50), ("b", 0, 1, "b" * 50), ("c", 1, 9, "c")]], schema, f"{tmp_path}/in", range(2))
+    uploaded = spark.createDataFrame([("a4", 1, 50), ("c", 0, 99)], "ident string, prefix_rank int, mtime bigint")
+    sent, told = {}, {}
+
+    def prepare(df):
+        some = lambda c: F.when(F.col("text").isNotNull(), c)
+        reason = records.skip_reason(F.lit(True), F.col("text").isNotNull(), F.lit("h"), F.col("ident"), some(F.when(F.length("text") < 3, "short")), F.col("superseded"))
+        return df.withColumn("reason", reason).withColumn("line", F.col("text"))
+
+    def hand_on(lines, outcomes, number):
+        sent[number], told[number] = lines.collect(), {r.reason: r.n for r in outcomes.collect()}
+
+    q = jobs.watch_uploads(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(f"{tmp_path}/in"), uploaded, prepare, hand_on, f"{tmp_path}/ck", shards=2, max_records=3, max_bytes=60)
+    q.awaitTermination(180)
+    assert told == {0: {"read_failed": 7, "schema_invalid": 2, "superseded": 1, None: 10}, 1: {"schema_invalid": 1, None: 2}}
+    assert {r.ident for r in sent[0]} == {f"a{k}" for k in range(5, 20) if k % 3} and [r.ident for r in sent[1]] == ["b"]
+    sizes = {}
+    for r in sent[0]:
+        sizes.setdefault((r.shard, r.batch), []).append(len(r.line) + 1)
+    assert all(len(s) <= 3 and sum(s) <= 60 for s in sizes.values())

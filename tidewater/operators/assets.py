@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.kept import KeptTable
+
 #: Suffixes of marker files.
 MARKERS = ("failed", "not_found", "unresolved", "unavailable", "invalid")
 
@@ -92,6 +94,23 @@ def current_status(events: DataFrame, key: str = "ident", order: str = "ts") ->
     return events.groupBy(key).agg(F.max_by("status", F.struct(order, "status")).alias("status"))
 
 
+#: What a mark can say of an asset.
+STATUSES = ("uploaded", "failed", "unavailable", "invalid", "not_found", "unresolved")
+MARKS = "ident string, status string, reason string, at bigint"
+
+
+def mark(table: KeptTable, marks: DataFrame) -> int:
+    """Write marks (ident, status, reason, at) to a kept table of MARKS by ident: the newest of an asset stays, with equal times the
+    greater status. Marks with another status are left out. Marks stand beside the assets' own rows and replace none of them."""
+    by = F.struct("at", "status", "reason")
+
+    def fold(old: DataFrame, delta: DataFrame) -> DataFrame:
+        every = old.unionByName(delta.select(*old.columns))
+        return every.groupBy("ident").agg(F.max(by).alias("_m")).select("ident", "_m.status", "_m.reason", "_m.at")
+
+    return table.merge(marks.filter(F.col("status").isin(*STATUSES) & F.col("ident").isNotNull()), fold)
+
+
 def failure_is_stale(marker: Column, uploaded: Column, base: Column) -> Column:
     """A failure marker counts no more once there is an uploaded copy or a base file that is newer."""
     return uploaded.isNotNull() | F.coalesce(base > marker, F.lit(False))

@@ -128,3 +128,14 @@ def refresh_mapping(table: KeptTable, links: DataFrame, videos: DataFrame | None
     if newest_time is None:
         return table.merge(new, merge_mapping)
     return table.merge(new if videos is None else only_known(new, videos), merge_mapping, newest_time)
+
+
+def import_legacy(table: KeptTable, lines: DataFrame) -> int | None:
+    """Fill a table that was never written with the mapping of legacy lines (scans.mapping_table); what holds no handle is dropped. A
+    table that was written before stays as it is: None. The mark stays unset, so the next refresh takes in all channel facts."""
+    from ..sources.scans import mapping_table
+
+    if table.mark() is not None or not table.rows().isEmpty():
+        return None
+    rows = mapping_table(lines).select("video_id", "channel_id", "channel_handle", F.lit(None).cast("boolean").alias("verified"), F.lit(None).cast("bigint").alias("subscriber_count"))
+    return table.put_many(rows)

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import assets as A
-from .binding import cte, rows
+from ..sources.kept import KeptTable
+from .binding import cte, rows, scratch
 
 QUERIES, SQL = {}, {}
 
@@ -120,6 +121,17 @@ def sk7(spark, sf):
     return A.current_status(rows(spark, sf, "SELECT l_orderkey AS ident, l_shipdate AS ts, l_returnflag AS status FROM {lineitem}"))
 
 
+_MARKS = """SELECT CAST(l_orderkey AS STRING) AS ident, CASE l_linenumber % 4 WHEN 0 THEN 'uploaded' WHEN 1 THEN 'failed' WHEN 2 THEN 'not_found' ELSE 'odd' END AS status, CASE WHEN l_linenumber % 2 = 1 THEN l_returnflag END AS reason, CAST(l_partkey % 50 AS BIGINT) AS `at`, l_linenumber AS line FROM {lineitem}"""
+
+
+@query("sk7_marked_assets", f"""SELECT ident, status, reason, "at" FROM ({_MARKS.replace("{lineitem}", "lineitem").replace("`", '"')}) WHERE status <> 'odd' QUALIFY row_number() OVER (PARTITION BY ident ORDER BY "at" DESC, status DESC, reason DESC NULLS LAST) = 1""")
+def sk7_marked(spark, sf):
+    table, marks = KeptTable(spark, scratch(spark, "marks"), A.MARKS, "ident", 16), rows(spark, sf, _MARKS)
+    for part in range(3):
+        A.mark(table, marks.filter(F.col("line") % 3 == part))
+    return table.rows()
+
+
 @query("sc2_sc5_incremental_listing", cte("assets") + f"SELECT {COLS} FROM assets WHERE mtime > 60 AND starts_with(prefix, 'video-dlp')")
 def sc2(spark, sf):
     from ..sources.scans import changed_since

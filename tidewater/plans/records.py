@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import imports as I
 from ..operators import lists as L
 from ..operators import records as R
+from ..sources.kept import KeptTable
 from .binding import cte, rows, scratch
 
 QUERIES, SQL = {}, {}
@@ -195,6 +196,19 @@ def sc18(spark, sf):
     return mapping_table(rows(spark, sf, """SELECT concat('{{"v', CAST(s_suppkey AS STRING), '":{{"channel_id":', CASE WHEN s_suppkey % 2 = 0 THEN '"c"' ELSE 'null' END, CASE WHEN s_suppkey % 3 <> 0 THEN concat(',"channel_handle":"', s_name, '"') ELSE '' END, '}}}}') AS value FROM {supplier}"""))
 
 
+_LEGACY = """SELECT s_suppkey AS k, concat('{{"v', CAST(s_suppkey AS STRING), '":{{"channel_id":"c","channel_handle":', CASE WHEN s_suppkey % 3 <> 0 THEN concat('"', s_name, '"') ELSE 'null' END, '}}}}') AS value FROM {supplier}"""
+
+
+@query("sc18_legacy_import", "SELECT 'v' || CAST(s_suppkey AS VARCHAR) AS video_id, s_name AS channel_handle FROM supplier WHERE s_suppkey % 3 <> 0 AND s_suppkey % 2 = 0")
+def sc18_legacy(spark, sf):
+    from ..operators import enrich as E
+
+    table, lines = KeptTable(spark, scratch(spark, "legacy"), E.MAPPING, "video_id", 8), rows(spark, sf, _LEGACY)
+    E.import_legacy(table, lines.filter("k % 2 = 0"))
+    E.import_legacy(table, lines)  # the table holds rows by now
+    return table.rows().select("video_id", "channel_handle")
+
+
 @query("pf15_channel_actions", """WITH i AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 6 = 0 THEN 'delete_superseded' WHEN c_custkey % 6 = 1 THEN 'skip_unreadable' WHEN c_custkey % 6 IN (2, 3) THEN 'skip_no_channel_id' WHEN c_custkey % 6 = 4 THEN 'mark_invalid' ELSE 'send' END AS action FROM customer) SELECT k, action FROM i""")
 def pf15(spark, sf):
     d = rows(spark, sf, """SELECT c_custkey AS k, c_custkey % 6 = 0 AS superseded, c_custkey % 6 > 1 AS read_ok, CASE WHEN c_custkey % 6 = 2 THEN '' WHEN c_custkey % 6 > 3 THEN 'UC' END AS id, CASE WHEN c_custkey % 6 < 5 THEN 'bad' END AS error FROM {customer}""")

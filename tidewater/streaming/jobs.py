@@ -185,3 +185,27 @@ def watch_assets(assets: DataFrame, uploaded: DataFrame, hand_on: Callable[[Data
         hand_on(fresh(df, uploaded), number)
 
     return assets.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def watch_uploads(
+    assets: DataFrame, uploaded: DataFrame, prepare: Callable[[DataFrame], DataFrame], hand_on: Callable[[DataFrame, DataFrame, int], None], checkpoint: str,
+    shards: int = 8, max_records: int = 1000, max_bytes: int = 200_000_000, every: str | None = None,
+):
+    """Start a query that prepares new asset versions for upload, batch by batch.
+
+    prepare gets them with a column superseded and adds reason (records.skip_reason; null for what is to be sent) and line.
+    hand_on gets the lines to send with shard and batch (records.pack_batches), the outcomes (reason, n) and the batch's number; a
+    batch that failed comes again under its number. every: how often to look, or once for what is there."""
+    from ..operators.assets import fresh
+    from ..operators.records import outcome_counts, pack_batches
+
+    def batch(df: DataFrame, number: int) -> None:
+        new = fresh(df, uploaded).select("ident", "prefix_rank", "mtime", F.lit(False).alias("superseded")).distinct()
+        flagged = df.join(new, ["ident", "prefix_rank", "mtime"], "left").withColumn("superseded", F.coalesce("superseded", F.lit(True)))
+        ready = prepare(flagged)
+        send = ready.filter("reason is null").select("ident", "mtime", "line").dropDuplicates(["ident"])
+        packed = pack_batches(send, shards, max_records, max_bytes, "ident", "mtime", "line")
+        hand_on(send.join(packed, "ident").select("ident", "shard", "batch", "line"), outcome_counts(ready, "reason"), number)
+
+    writer = assets.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
+    return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
