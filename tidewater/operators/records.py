@@ -174,8 +174,9 @@ def ranges_of(networks: DataFrame, cidr: str = "cidr", order: str = "order") ->
     without a length is one address; what is no range is skipped. network: the range's text, for version 4 with those bits cleared."""
     text = F.trim(F.col(cidr))
     parts = F.split(text, "/")
-    mask = address_bits(F.get(parts, 1))
-    full = networks.select(F.col(order).alias("order"), text.alias("text"), address_bits(parts[0]).alias("bits"), F.get(parts, 1).alias("given"), mask.alias("mask"), F.size(parts).alias("n"))
+    # exploded, since no filter is pushed below that: the bits are worked out once a row
+    both = F.struct(address_bits(parts[0]).alias("bits"), address_bits(F.get(parts, 1)).alias("mask"))
+    full = networks.select(F.col(order).alias("order"), text.alias("text"), F.get(parts, 1).alias("given"), F.size(parts).alias("n"), F.explode(F.array(both)).alias("b")).select("*", "b.bits", "b.mask")
     size = F.char_length("bits")
     length = F.when(F.col("n") == 1, size).when(F.col("given").rlike(r"^\d{1,3}$"), F.col("given").cast("int")).when(F.col("mask").rlike("^1*0*$") & (F.char_length("mask") == size), F.char_length(F.rtrim(F.lit("0"), "mask")))
     good = full.withColumn("length", length).filter((F.col("n") <= 2) & F.col("bits").isNotNull() & (F.col("length") <= size))
@@ -196,7 +197,7 @@ def networks_of(df: DataFrame, ip: str, networks: DataFrame, cidr: str = "cidr",
     ranges = ranges_of(networks, cidr, order)
     ranges = ranges.groupBy("version", "length", "prefix").agg(F.min(F.struct("order", "network")).alias("range"))
     lengths = ranges.groupBy("version").agg(F.collect_set("length").alias("lengths"))  # two rows, 162 lengths at most
-    seen = df.select(F.col(ip).alias("_x_ip")).filter("_x_ip is not null").distinct().withColumn("bits", address_bits(F.col("_x_ip")))
+    seen = df.select(F.col(ip).alias("_x_ip")).filter("_x_ip is not null").distinct().select("_x_ip", F.explode(F.array(address_bits(F.col("_x_ip")))).alias("bits"))
     cut = seen.withColumn("version", F.char_length("bits")).join(F.broadcast(lengths), "version").select("_x_ip", "version", "bits", F.explode("lengths").alias("length"))
     met = cut.withColumn("prefix", F.substring("bits", F.lit(1), F.col("length"))).join(ranges, ["version", "length", "prefix"])
     first = met.groupBy("_x_ip").agg(F.min("range").alias("range")).select("_x_ip", F.col("range.network").alias("_x_network"))
