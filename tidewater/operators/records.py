@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.channels import let
+
 
 def upload_handle(df: DataFrame, creator_map: DataFrame) -> DataFrame:
     """df with upload_handle and outcome: hit in the map, fallback to the own handle without an id, miss (unresolved) or error (neither)."""
@@ -151,16 +153,23 @@ def address_bits(ip: Column) -> Column:
     octets = rf"{_OCTET}(\.{_OCTET}){{3}}"
     bits = lambda part, base, width: F.lpad(F.conv(part, base, 2), width, "0")
     four = lambda text: F.array_join(F.transform(F.split(text, "[.]"), lambda o: bits(o, 10, 8)), "")
-    last = F.regexp_extract(ip, rf":({octets})$", 1)
-    hexed = F.when(last != "", F.concat(F.regexp_replace(ip, rf"{octets}$", ""), bits_hex(four(last)))).otherwise(ip)
-    halves = F.split(hexed, "::", -1)
     groups = lambda text: F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, ":"))
-    left, right = groups(halves[0]), groups(F.when(F.size(halves) == 2, F.get(halves, 1)).otherwise(""))
-    gap = F.lit(8) - F.size(left) - F.size(right)
-    fits = (F.size(halves) <= 2) & F.when(F.size(halves) == 2, gap >= 1).otherwise(gap == 0)
-    fits &= F.forall(halves, lambda h: (h == "") | h.rlike(_GROUPS)) & ((F.size(halves) == 2) | (halves[0] != ""))
-    six = F.concat(left, F.array_repeat(F.lit("0"), F.greatest(gap, F.lit(0))), right)
-    return F.when(ip.rlike(f"^{octets}$"), four(ip)).when(ip.contains(":") & fits, F.array_join(F.transform(six, lambda g: bits(g, 16, 16)), ""))
+
+    def hexed(a: Column) -> Column:
+        return let(F.regexp_extract(a, rf":({octets})$", 1), lambda last: F.when(last == "", a).otherwise(F.concat(F.regexp_replace(a, rf"{octets}$", ""), let(four(last), bits_hex))))
+
+    def sides(halves: Column) -> Column:
+        right = F.when(F.size(halves) == 2, F.get(halves, 1)).otherwise("")
+        return F.struct(groups(halves[0]).alias("left"), groups(right).alias("right"), F.size(halves).alias("n"), F.forall(halves, lambda h: (h == "") | h.rlike(_GROUPS)).alias("plain"))
+
+    def filled(s: Column) -> Column:
+        gap = F.lit(8) - F.size(s["left"]) - F.size(s["right"])
+        fits = s["plain"] & F.when(s["n"] == 1, gap == 0).otherwise((s["n"] == 2) & (gap >= 1))
+        six = F.concat(s["left"], F.array_repeat(F.lit("0"), F.greatest(gap, F.lit(0))), s["right"])
+        return F.when(fits, F.array_join(F.transform(six, lambda g: bits(g, 16, 16)), ""))
+
+    six_bits = lambda a: let(F.split(hexed(a), "::", -1), lambda halves: let(sides(halves), filled))
+    return let(ip, lambda a: F.when(a.rlike(f"^{octets}$"), four(a)).when(a.contains(":"), six_bits(a)))
 
 
 def bits_hex(bits: Column) -> Column:
