@@ -276,7 +276,7 @@ class Pieces:
         which = of
         if rate > 0 and len(of):
             place = np.arange(len(of)) - np.repeat(np.cumsum(counts) - counts, counts)
-            keys = mix(np.repeat(np.array([k & (2**64 - 1) for k in own_keys], np.uint64) + np.uint64(seed & (2**63 - 1)) * _K[2], counts) + place.astype(np.uint64) * _K[0])
+            keys = mix(np.repeat(np.array([k & (2**64 - 1) for k in own_keys], np.uint64) + np.uint64((seed & (2**63 - 1)) * int(_K[2]) & (2**64 - 1)), counts) + place.astype(np.uint64) * _K[0])
             # an occurrence keeps the common segmentation unless one of the merges behind it is skipped
             per = np.bincount(taken, minlength=len(lengths))
             again = lengths[of] > WIDE
