@@ -27,18 +27,16 @@ def read_dataset(spark: SparkSession, root: str) -> DataFrame:
     """Every .csv, .jsonl, .ndjson and .parquet file under root as text columns; malformed JSON lines are skipped."""
     found = []
     for glob, how in (("*.csv", "csv"), ("*.{jsonl,ndjson}", "json"), ("*.parquet", "parquet")):
+        files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob)
+        if files.format("binaryFile").load(root).select("path").isEmpty():
+            continue
         reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", glob)
-        try:
-            if how == "csv":
-                df = reader.option("header", True).option("inferSchema", False).csv(root)
-            elif how == "json":
-                df = reader.option("mode", "DROPMALFORMED").option("primitivesAsString", True).json(root)
-            else:
-                df = reader.parquet(root)
-        except Exception as e:  # no file of this kind
-            if "UNABLE_TO_INFER_SCHEMA" in str(e):
-                continue
-            raise
+        if how == "csv":
+            df = reader.option("header", True).option("inferSchema", False).csv(root)
+        elif how == "json":
+            df = reader.option("mode", "DROPMALFORMED").option("primitivesAsString", True).json(root)
+        else:
+            df = reader.parquet(root)
         if df.columns:
             found.append(df.select(*[F.col(f"`{f.name}`").cast("string").alias(f.name) if not isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType)) else F.to_json(f"`{f.name}`").alias(f.name) for f in df.schema]))
     if not found:
