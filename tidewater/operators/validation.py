@@ -153,7 +153,8 @@ class _Compiler:
 
     def _on_patternProperties(self, x, kind, path, value, spec, seen):
         entries = F.map_entries(F.try_variant_get(x, "$", "map<string,variant>"))
-        return [c for p, s in value.items() for c in self._members(kind, F.filter(entries, lambda e, p=p: e["key"].rlike(p)), path, s, seen)]
+        named = lambda pattern: F.filter(entries, lambda e: e["key"].rlike(pattern))
+        return [c for p, s in value.items() for c in self._members(kind, named(p), path, s, seen)]
 
     def _members(self, kind: Column, entries: Column, path: list[Column], spec: dict | bool, seen: tuple[str, ...]) -> list[Column]:
         if spec is True:
