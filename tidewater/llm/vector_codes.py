@@ -11,9 +11,9 @@ integers; results don't depend on how rows are split into tasks.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from decimal import Decimal
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +24,6 @@ from .shared import materialize
 
 #: Rows that a task holds as arrays at a time.
 ROWS = 1024
-#: Up to this magnitude of components, differences and their sums of squares stay exact in 64 bits for parts of up to 64 components.
-FAST = 1 << 24
 #: Components above it are no longs with room for sums.
 LARGEST = float(1 << 62)
 
@@ -79,16 +77,23 @@ class Codec:
     def __init__(self, length: int, parts: int):
         self.length, self.parts = length, parts
         self.width = -(-length // parts)
+        #: Up to this magnitude of components the scaled sums of squared differences are exact in 64 bits.
+        self.fast = math.isqrt((1 << 62) // (self.width << (self.width - 1).bit_length())) // 2
 
     def integers(self, values: np.ndarray) -> np.ndarray:
         """floor(256 * x) cut into (row, part, component); Python's integers where 64 bits might not hold the sums."""
         scaled = np.floor(values.astype(np.float64) * 256.0)
-        fast = not scaled.size or np.abs(scaled).max() <= FAST and self.width <= 64
+        fast = not scaled.size or np.abs(scaled).max() <= self.fast
         whole = scaled.astype(np.int64) if fast else np.array([[int(c) for c in row] for row in scaled.tolist()], dtype=object).reshape(scaled.shape)
         cut = np.zeros((len(values), self.parts * self.width), whole.dtype)
         cut[:, : self.length] = whole
         return cut.reshape(len(values), self.parts, self.width)
 
+    def book(self, entries: list[list[int]]) -> np.ndarray:
+        """Entries as 64-bit integers if sums stay exact, else as Python's."""
+        top = max((abs(c) for entry in entries for c in entry), default=0)
+        return np.array(entries, dtype=np.int64 if top <= self.fast else object).reshape(len(entries), self.width)
+
     def assign(self, cut: np.ndarray, books: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         found = []
         for p, book in enumerate(books):
@@ -132,13 +137,6 @@ def _sums(rows: DataFrame, codec: Codec, books: list[np.ndarray]) -> dict[tuple[
     return found
 
 
-def _tight(book: list[list[int]]) -> np.ndarray:
-    """Entries as 64-bit integers if the exact sums allow it, else as Python's."""
-    if reduce(max, (abs(c) for entry in book for c in entry), 0) <= FAST:
-        return np.array(book, dtype=np.int64)
-    return np.array(book, dtype=object)
-
-
 def vector_codes(
     df: DataFrame, parts: int = 16, entries: int = 64, rounds: int = 2, id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label"
 ) -> DataFrame:
@@ -164,11 +162,11 @@ def vector_codes(
     rows = kept.filter(F.size("_x_v") == length)
     codec = Codec(length, parts)
     first = codec.integers(np.array(start, dtype=np.float64).reshape(len(start), length))
-    books = [_tight(first[:, p].tolist()) for p in range(parts)]
+    books = [codec.book(first[:, p].tolist()) for p in range(parts)]
     for _ in range(rounds if start else 0):
         found = _sums(rows, codec, books)
         means = [[[t // found[p, e][1] for t in found[p, e][0]] if (p, e) in found else old for e, old in enumerate(book.tolist())] for p, book in enumerate(books)]
-        books = [_tight(book) for book in means]
+        books = [codec.book(book) for book in means]
     digest = hashlib.sha256(",".join(str(c) for book in books for entry in book.tolist() for c in entry).encode()).hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
