@@ -115,6 +115,17 @@ def st11(spark, sf):
     return o.withColumn("firing", (F.col("rate") < 40) & (F.col("backlog") > 10))
 
 
+@query("st11_backlog_windows", cte("outcomes") + """, d AS (SELECT floor(epoch(ts) / 3600) AS w, count(*) AS n FROM outcomes WHERE ok GROUP BY 1),
+    g AS (SELECT floor(epoch(ts) / 3600) AS w, event_type AS source, arg_max(key, struct_pack(a := ts, b := key)) AS value FROM outcomes WHERE key % 3 <> 0 GROUP BY 1, 2)
+    SELECT to_timestamp(g.w * 3600)::TIMESTAMP AS start, round(coalesce(any_value(n), 0) / 3600.0, 9) AS rate, CAST(sum(value) AS BIGINT) AS backlog, coalesce(any_value(n), 0) / 3600.0 < 0.012 AND sum(value) > 40 AS firing FROM g LEFT JOIN d ON d.w = g.w GROUP BY g.w""")
+def st11_windows(spark, sf):
+    from ..streaming.alerts import throughput_collapse
+
+    o = rows(spark, sf, "outcomes")
+    out = throughput_collapse(o.filter("ok").select("ts"), o.filter("key % 3 <> 0").select("ts", F.col("event_type").alias("source"), F.col("key").cast("bigint").alias("value")), 0.012, 40, "1 hour")
+    return out.withColumn("rate", F.round("rate", 9))
+
+
 _MESSAGES = """SELECT event_id, named_struct('platform', CASE WHEN event_id % 2 = 0 THEN 'youtube' ELSE 'other' END, 'entity', event_type, 'data_url', concat('https://x/api/v1/data/param/u', CAST(user_id % 3 AS STRING), '/youtube/', event_type, '/0.0.', CAST(event_id % 4 AS STRING), '/file')) AS data FROM {events}"""
 
 
