@@ -87,3 +87,13 @@ def test_written_shards(spark, tmp_path):
     sharding.write_shards(df, str(tmp_path / "s"), 600)
     back = spark.read.option("basePath", str(tmp_path / "s")).parquet(str(tmp_path / "s"))
     assert back.select("doc_id").distinct().count() == 100 and back.groupBy("shard").agg(F.sum(F.octet_length("text")).alias("b")).filter("b > 600").count() == 0
+
+
+def test_write_shards_keeps_repeated_ids_and_clashing_columns(spark, tmp_path):
+    rows = [(k % 40 if k % 3 else None, f"text {k}" * (k % 9), "own", k) for k in range(300)] + [(7, "x" * 900, "own", 1)] * 5
+    df = spark.createDataFrame(rows, "doc_id long, text string, shard string, Shard_ int")
+    sharding.write_shards(df, f"{tmp_path}/out", 1000)
+    back = spark.read.parquet(f"{tmp_path}/out")
+    assert back.select(df.columns).exceptAll(df).isEmpty() and back.count() == 305
+    sizes = back.groupBy("shard__").agg(F.sum(F.octet_length("text")).alias("n"), F.count(F.lit(1)).alias("rows")).collect()
+    assert len(sizes) > 5 and all(r.n <= 1000 or r.rows == 1 for r in sizes)

@@ -94,19 +94,17 @@ def _split(rows: DataFrame, limit: int, last: bool, tag: str) -> tuple[DataFrame
     return out, rest
 
 
-def extendible_shards(df: DataFrame, limit_bytes: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: id, n_bytes, shard_id (hash-prefix bits), depth, shard_bytes, shard_rows, oversized.
-
-    Shards hold at most limit_bytes of UTF-8 text. Defined cases: a null text has 0 bytes; a null id hashes as the empty
-    string; rows that repeat an id are split by a row hash after the key's bits ("bits+bits"); one document above
-    the limit cannot be cut, it gets a shard alone and oversized = true; an empty table gives an empty result.
-    """
-    rows = df.select(
+def _keyed(df: DataFrame, id_col: str, text_col: str, *carried) -> DataFrame:
+    return df.select(
         F.col(id_col).alias("_x_id"),
         F.coalesce(F.octet_length(F.col(text_col).cast("string")), F.lit(0)).cast("bigint").alias("_x_bytes"),
         _hash60(F.coalesce(F.col(id_col).cast("string"), F.lit(""))).alias("_x_h"),
-        F.lit("").alias("_x_path"),
+        F.lit("").alias("_x_path"), *carried,
     )
+
+
+def _assigned(rows: DataFrame, limit_bytes: int) -> DataFrame:
+    """rows of _keyed with their shards."""
     out, rest = _split(rows, limit_bytes, False, "key")
     if rest is not None:
         own = rest.withColumn("_x_path", F.concat(_bits_text(F.col("_x_h"), F.lit(HASH_BITS)), F.lit("+"))).withColumn(
@@ -114,13 +112,28 @@ def extendible_shards(df: DataFrame, limit_bytes: int, id_col: str = "doc_id", t
         )
         more, _ = _split(materialize(own, "shard-repeats"), limit_bytes, True, "row")
         out = out.unionByName(more.withColumn("depth", F.col("depth") + HASH_BITS))
-    return out.select(
+    return out
+
+
+def extendible_shards(df: DataFrame, limit_bytes: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: id, n_bytes, shard_id (hash-prefix bits), depth, shard_bytes, shard_rows, oversized.
+
+    Shards hold at most limit_bytes of UTF-8 text. Defined cases: a null text has 0 bytes; a null id hashes as the empty
+    string; rows that repeat an id are split by a row hash after the key's bits ("bits+bits"); one document above
+    the limit cannot be cut, it gets a shard alone and oversized = true; an empty table gives an empty result.
+    """
+    return _assigned(_keyed(df, id_col, text_col), limit_bytes).select(
         F.col("_x_id").alias(id_col), F.col("_x_bytes").alias("n_bytes"), "shard_id", F.col("depth").cast("int").alias("depth"),
         "shard_bytes", "shard_rows", (F.col("shard_bytes") > limit_bytes).alias("oversized"),
     )
 
 
 def write_shards(df: DataFrame, path: str, limit_bytes: int, id_col: str = "doc_id", text_col: str = "text") -> None:
-    """Write df under path, one folder per shard. Needs unique ids; a shard's rows meet in one task, at most limit_bytes of text."""
-    shards = extendible_shards(df, limit_bytes, id_col, text_col).select(F.col(id_col).alias("_x_id"), F.concat(F.lit("s"), "shard_id").alias("shard"))
-    (df.join(shards, F.col(id_col).eqNullSafe(F.col("_x_id"))).drop("_x_id").repartition("shard").write.partitionBy("shard").parquet(path))
+    """Write df under path, one folder per shard, every row once, repeated ids too; a shard's rows meet in one task, at most
+    limit_bytes of text. The folders' column is shard, with underscores behind it where df has such a column."""
+    name = "shard"
+    while name.lower() in (c.lower() for c in df.columns):
+        name += "_"
+    whole = F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("_x_all")
+    rows = _assigned(_keyed(df, id_col, text_col, whole), limit_bytes).select("_x_all.*", F.concat(F.lit("s"), "shard_id").alias(name))
+    rows.repartition(name).write.partitionBy(name).parquet(path)
