@@ -139,6 +139,19 @@ def sc2(spark, sf):
     return changed_since(rows(spark, sf, "assets").filter(F.col("prefix").startswith("video-dlp")), 60)
 
 
+@query("sc2_listing_by_executors", "SELECT 'brand=' || replace(p_brand, '#', '%23') || '/size=' || p_size AS folder, 1 AS files, TRUE AS new FROM part WHERE p_size % 5 = 2 GROUP BY p_brand, p_size")
+def sc2_listing(spark, sf):
+    from ..sources.listing import FileListing
+
+    root = scratch(spark, "listed")
+    parts = rows(spark, sf, "SELECT p_partkey, p_brand AS brand, p_size AS size FROM {part} WHERE p_size % 5 = 2")
+    parts.repartition("brand", "size").write.partitionBy("brand", "size").parquet(root)
+    spark.dataSource.register(FileListing)
+    found = spark.read.format("file_listing").option("path", root).option("levels", 2).load().filter(F.col("name").startswith("part-"))
+    folder = F.replace(F.regexp_extract("path", "(brand=[^/]+/size=[^/]+)/[^/]+$", 1), F.lit("#"), F.lit("%23"))
+    return found.groupBy(folder.alias("folder")).agg(F.count(F.lit(1)).cast("int").alias("files"), F.bool_and(F.col("mtime") > 0).alias("new"))
+
+
 @query("j15_existing_artefact", """SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 'video-min-' || id || '.json.br' WHEN 1 THEN 'video-dlp-' || id || '.json.br' ELSE id END AS artefact FROM (SELECT p_partkey, 'v' || lpad(CAST(p_partkey AS VARCHAR), 10, '0') AS id FROM part) WHERE p_partkey % 4 < 3""")
 def j15(spark, sf):
     ids = rows(spark, sf, "SELECT p_partkey, 'v' || lpad(CAST(p_partkey AS STRING), 10, '0') AS video_id FROM {part}")
