@@ -1,6 +1,8 @@
 """Classifiers and language model: held-out accuracy, brute force, edge cases."""
 
 import math
+import subprocess
+import sys
 import zlib
 from collections import Counter
 
@@ -124,3 +126,30 @@ def test_lm_score_against_brute_force(spark, monkeypatch):
             m = member_of(words[k], singles)
             total += math.log10(p[m]) + math.log10((count[words[k]] + 0.1) / (size[m] + 0.1 * (kinds[m] + 1)))
         assert abs(got[i] - total) < 1e-3 * max(1, abs(total)), i
+
+
+_HELD = """
+import random, re
+from pathlib import Path
+import pandas, pyarrow.compute
+from tidewater.llm import labelled, quality, toxicity
+
+def held():
+    return int(re.search(r"RssAnon:\\s+(\\d+)", Path("/proc/self/status").read_text())[1]) // 1024
+
+rng = random.Random(5)
+words = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(200_000)]
+rows = [(k, " ".join(rng.choices(words, k=700)), k % 2) for k in range(1500)]
+for m in (toxicity, quality):
+    labelled.fitted(rows[:20], m.train)
+    before = held()
+    labelled.fitted(rows[:], m.train)
+    print(held() - before)
+"""
+
+
+@pytest.mark.skipif(not sys.platform.startswith("linux"), reason="reads /proc")
+def test_training_gives_its_memory_back():
+    """MB that a worker process holds after training, beyond those before it."""
+    out = subprocess.run([sys.executable, "-c", _HELD], capture_output=True, text=True, timeout=300, check=True).stdout
+    assert all(int(left) < 25 for left in out.split()) and len(out.split()) == 2

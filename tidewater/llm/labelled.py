@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import give_back
+
 
 def training_sample(docs: DataFrame, labels: DataFrame, label_col: str, max_rows: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(text, label) of at most max_rows labelled documents, drawn by a hash of their id from those that docs holds. labels may
@@ -28,13 +30,21 @@ def training_sample(docs: DataFrame, labels: DataFrame, label_col: str, max_rows
     return found.join(F.broadcast(drawn), "_x_id").groupBy("_x_id", "_x_label").agg(one).select("_x_id", F.col("one.text").alias("text"), F.col("_x_label").alias("label"))
 
 
+def fitted(rows: list[tuple], train: Callable[[list[str], list[int]], bytes]) -> bytes:
+    """The model of rows (id, text, label), which are let go, with all that training took."""
+    rows.sort()
+    model = train([r[1] for r in rows], [r[2] for r in rows])
+    rows.clear()
+    give_back()
+    return model
+
+
 def fit(sample: DataFrame, train: Callable[[list[str], list[int]], bytes]) -> bytes:
     """Run train over the bounded sample in one task; its result is the model."""
 
     def one(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = [r for b in batches for r in zip(b["_x_id"], b["text"], b["label"])]
-        rows.sort()
-        yield pd.DataFrame({"model": [train([r[1] for r in rows], [r[2] for r in rows])]})
+        yield pd.DataFrame({"model": [fitted(rows, train)]})
 
     found = sample.repartition(1).mapInPandas(one, "model binary").collect()
     return bytes(found[0][0]) if found else train([], [])

@@ -40,7 +40,7 @@ def train(texts: list[str], labels: list[int]) -> bytes:
     vectors = rng.uniform(-1 / DIM, 1 / DIM, (size, DIM))
     out_vectors, out_bias = np.zeros((DIM, 2)), np.log(share / share.sum())
     if len(set(labels)) == 2:
-        bags = [np.unique(buckets(t), return_counts=True) for t in texts]
+        bags = [(idx.astype(np.uint16), n.astype(np.int32)) for idx, n in (np.unique(buckets(t), return_counts=True) for t in texts)]  # BITS is 16
         squares, out_squares = np.full(size, 1e-6), 1e-6  # adaptive steps by bucket
         for epoch in range(EPOCHS):
             order = rng.permutation(len(bags))

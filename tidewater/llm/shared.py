@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -27,6 +28,15 @@ def in_split(id_col: str, modulus: int, remainder: int):
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % modulus == remainder, F.lit(False))
 
 
+def give_back() -> None:
+    """Return what this process has freed to the system. A Python worker outlives its task, and the C library keeps freed
+    blocks below a block in use, so without this an executor holds the most that each of its workers ever took."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's; others return memory by themselves
+    if trim is not None:
+        trim(0)
+
+
 def by_characters(batches: Iterator[pa.RecordBatch], column: int, most: int) -> Iterator[pa.RecordBatch]:
     """The batches cut so that the texts in column have at most so many characters together, or are one text: a task holds
     no more of them as Python values at a time, however many rows a batch has."""
@@ -38,3 +48,4 @@ def by_characters(batches: Iterator[pa.RecordBatch], column: int, most: int) ->
             to = max(at + 1, int(np.searchsorted(ends, held + most, side="right")))
             yield batch.slice(at, to - at)
             at = to
+    give_back()

@@ -29,14 +29,14 @@ def train(texts: list[str], labels: list[int]) -> bytes:
     y = np.asarray(labels, dtype=np.float64)
     weights, bias = np.zeros(size, np.float32), float(np.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5))) if len(y) else 0.0
     if 0 < y.sum() < len(y):
-        rows = [distinct(char_grams(text_bytes(t), ORDERS, BITS)).astype(np.int32) for t in texts]
         counts = np.zeros((2, size))
-        for row, label in zip(rows, labels):
-            counts[label][row] += 1
+        for text, label in zip(texts, labels):
+            counts[label][distinct(char_grams(text_bytes(text), ORDERS, BITS))] += 1
         rate = (counts + SMOOTHING) / (np.array([[len(y) - y.sum()], [y.sum()]]) + 2 * SMOOTHING)
         ratio = np.log(rate[1] / rate[0])
         ratio[(np.abs(ratio) < LEAST_RATIO) | (counts.sum(0) < LEAST_DOCUMENTS)] = 0.0
-        rows = [r[ratio[r] != 0] for r in rows]
+        # hashed again, since only the few n-grams that tell the classes apart are worth holding
+        rows = [r[ratio[r] != 0].astype(np.int32) for r in (distinct(char_grams(text_bytes(t), ORDERS, BITS)) for t in texts)]
         idx, of = np.concatenate(rows), np.repeat(np.arange(len(rows)), [len(r) for r in rows])
         x = ratio[idx]
         w, m, v = np.zeros(size), np.zeros(size + 1), np.zeros(size + 1)
