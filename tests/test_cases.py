@@ -303,6 +303,41 @@ def test_networks_of_both_versions(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_networks_are_swept_once(spark):
+    """Nested ranges of every length against all pairs; what is shuffled does not grow with the number of lengths."""
+    import ipaddress
+
+    from tidewater.operators import records as R
+
+    rng = random.Random(7)
+    four = lambda: ".".join(str(rng.choice((10, 77, rng.randrange(256)))) for _ in range(4))
+    six = lambda: "2001:db8:" + ":".join(f"{rng.choice((1, 2, rng.randrange(65536))):x}" for _ in range(6))
+    configured = [f"10.77.10.77/{n}" for n in range(33)] + [f"2001:db8:1:2:1:2:1:2/{n}" for n in range(1, 129)] + [f"{four()}/{rng.randrange(6, 33)}" for _ in range(200)] + [f"{six()}/{rng.randrange(30, 129)}" for _ in range(200)]
+    rng.shuffle(configured)
+    nets = [ipaddress.ip_network(n, strict=False) for n in configured]
+    asked = sorted({four() for _ in range(1500)} | {six() for _ in range(500)})
+
+    def written():
+        executors = spark.sparkContext._jsc.sc().statusStore().executorList(False)
+        return sum(executors.apply(k).totalShuffleWrite() for k in range(executors.size()))
+
+    df = spark.createDataFrame(list(enumerate(asked)), "k int, ip string")
+    listed = spark.createDataFrame([(None if k == 0 else str(k).zfill(4), n) for k, n in enumerate(configured)], "order string, cidr string")
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        before = written()
+        got = {r.ip: r.network for r in R.networks_of(df, "ip", listed).collect()}
+        took = written() - before
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    for ip in asked:
+        a = ipaddress.ip_address(ip)
+        want = next((n for n in nets if a.version == n.version and a in n), None)
+        assert want == (None if got[ip] == "other" else ipaddress.ip_network(got[ip], strict=False))
+    assert 0 < took < 1_000_000
+
+
 def test_chains_of_rivals(spark, monkeypatch):
     from tidewater.operators import graph as G
 

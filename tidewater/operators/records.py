@@ -6,8 +6,10 @@ import json
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.channels import let
 
@@ -196,25 +198,60 @@ def ranges_of(networks: DataFrame, cidr: str = "cidr", order: str = "order") ->
     return good.select(size.alias("version"), "length", prefix.alias("prefix"), "order", name.alias("network"))
 
 
+#: Leading bits of an address that name its block, by version: a version 4 block holds at most 65,536 addresses.
+BLOCK = {32: 16, 128: 48}
+
+
 def networks_of(df: DataFrame, ip: str, networks: DataFrame, cidr: str = "cidr", order: str = "order") -> DataFrame:
     """df with network: the first configured range, by order, that holds the address; other where none does or it is no address;
     none where there is none (null or the word none). networks has any number of rows.
 
-    Every distinct address is cut at each length that a range has and meets the ranges by equality of these prefixes, so the join
-    makes a row per address and length at most, besides the ranges that match.
+    Ranges are nested or apart. So addresses and ranges are sorted by their bits, block by block, and swept with a stack of the
+    ranges that are open, at most one for each length, each with the first by order of itself and those below it. Ranges
+    wider than a block are met by equality of prefixes, once for each distinct block, and enter the sweep as one range that fills
+    the block. So a distinct address and a range are shuffled once each, however many lengths there are.
     """
     ranges = ranges_of(networks, cidr, order)
     ranges = ranges.groupBy("version", "length", "prefix").agg(F.min(F.struct("order", "network")).alias("range"))
-    lengths = ranges.groupBy("version").agg(F.collect_set("length").alias("lengths"))  # two rows, 162 lengths at most
+    width = F.when(F.col("version") == 32, BLOCK[32]).otherwise(BLOCK[128])
     seen = df.select(F.col(ip).alias("_x_ip")).filter("_x_ip is not null").distinct().select("_x_ip", F.explode(F.array(address_bits(F.col("_x_ip")))).alias("bits"))
-    cut = seen.withColumn("version", F.char_length("bits")).join(F.broadcast(lengths), "version").select("_x_ip", "version", "bits", F.explode("lengths").alias("length"))
-    met = cut.withColumn("prefix", F.substring("bits", F.lit(1), F.col("length"))).join(ranges, ["version", "length", "prefix"])
-    first = met.groupBy("_x_ip").agg(F.min("range").alias("range")).select("_x_ip", F.col("range.network").alias("_x_network"))
+    seen = seen.filter("bits is not null").withColumn("version", F.char_length("bits")).withColumn("block", F.substring("bits", F.lit(1), width))
+
+    wide, narrow = ranges.filter(F.col("length") < width), ranges.filter(F.col("length") >= width)
+    lengths = wide.groupBy("version").agg(F.collect_set("length").alias("lengths"))  # two rows, 64 lengths at most
+    cut = seen.select("version", "block").distinct().join(F.broadcast(lengths), "version").select("version", "block", F.explode("lengths").alias("length"))
+    met = cut.withColumn("prefix", F.substring("block", F.lit(1), F.col("length"))).join(wide, ["version", "length", "prefix"])
+    filled = met.groupBy("version", "block").agg(F.min("range").alias("range")).select("version", "block", F.col("block").alias("prefix"), "range")
+    open_ = filled.unionByName(narrow.select("version", F.substring("prefix", F.lit(1), width).alias("block"), "prefix", "range"))
+
+    # at one place, wider ranges come first and addresses last
+    told = open_.select("version", "block", F.rpad("prefix", F.col("version"), F.lit("0")).alias("bits"), F.char_length("prefix").alias("length"), F.lit(None).cast(df.schema[ip].dataType).alias("_x_ip"), "range.*")
+    asked = seen.select("version", "block", "bits", (F.col("version") + 1).alias("length"), "_x_ip", *[F.lit(None).cast(told.schema[c].dataType).alias(c) for c in ("order", "network")])
+    swept = told.unionByName(asked).repartition("version", "block").sortWithinPartitions("version", "block", "bits", "length")
+    first = swept.select("version", "bits", "length", "_x_ip", "order", "network").mapInArrow(_sweep, T.StructType([told.schema["_x_ip"], T.StructField("_x_network", T.StringType())]))
     named = df.join(first, F.col(ip) == F.col("_x_ip"), "left")
     none = F.col(ip).isNull() | (F.col(ip) == "none")
     return named.select(*(df[c] for c in df.columns), F.when(none, "none").otherwise(F.coalesce("_x_network", F.lit("other"))).alias("network"))
 
 
+def _sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(address, network) of sorted rows (version, bits, length, address, order, network): ranges and, longer than any, addresses."""
+    above: list[tuple] = []  # (version, prefix, (order given, order, network)), each prefix the start of the next
+    for batch in batches:
+        found: list[tuple] = []
+        for version, bits, length, address, order, network in zip(*(c.to_pylist() for c in batch.columns)):
+            while above and not (above[-1][0] == version and bits.startswith(above[-1][1])):
+                above.pop()
+            if length > version:
+                if above:
+                    found.append((address, above[-1][2][2]))
+            else:
+                first = (order is not None, order, network)  # as Spark's min has it, null comes first
+                above.append((version, bits[:length], min(first, above[-1][2]) if above else first))
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*found)], names=["_x_ip", "_x_network"])
+
+
 def network_of(df: DataFrame, ip: str, networks: list[str]) -> DataFrame:
     """networks_of for a configured list."""
     listed = df.sparkSession.createDataFrame(list(enumerate(networks)), "order int, cidr string")
