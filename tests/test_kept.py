@@ -30,6 +30,19 @@ def test_incremental_equals_full_and_leaves_other_buckets(spark, tmp_path):
     assert many.rows().filter("video_id = 'v3'").first().channel_id == "c100" and many.mark() == 500
 
 
+def test_a_refresh_works_its_links_out_once(spark, tmp_path):
+    made = spark.sparkContext.accumulator(0)
+
+    def named(video):
+        made.add(1)
+        return video
+
+    table = KeptTable(spark, f"{tmp_path}/once", enrich.MAPPING, "video_id", 4)
+    rows = [(f"v{k % 50}", f"c{k * 7 % 9}", "a", k % 13 == 0, k * 37 % 100, k, 0) for k in range(400)]
+    enrich.refresh_mapping(table, links(spark, rows).withColumn("video_id", F.udf(named)("video_id")))
+    assert made.value == 400 and table.rows().count() == 50 and table.mark() == 399
+
+
 def test_a_failed_merge_changes_nothing_and_repeats(spark, tmp_path, monkeypatch):
     table = KeptTable(spark, f"{tmp_path}/t", "k string, v long", "k", 4)
     table.put_many(spark.createDataFrame([("a", 1), ("b", 2)], "k string, v long"))

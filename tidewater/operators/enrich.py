@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.kept import KeptTable
+from .lineage import stored
 from .segments import fold_long
 
 FACTS = ("channel_id", "channel_handle", "verified", "subscriber_count")
@@ -55,19 +56,21 @@ def _fold_short(slim: DataFrame, key: str, order: tuple[str, ...]) -> DataFrame:
         return bool(facts[2]), (facts[1] or "").upper().endswith("VEVO"), facts[3] or 0
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, holder, collisions = None, None, 0  # current: (key,) of the video
+        current, holder, best, collisions = None, None, None, 0  # current: (key,) of the video; best: the holder's rank, once it is asked for
         for batch in batches:
             done = []
             for k, *facts in zip(*(batch.column(n).to_pylist() for n in names)):
                 if current != (k,):
                     if current is not None:
                         done.append((*current, *holder, collisions))
-                    current, holder, collisions = (k,), facts, 0
+                    current, holder, best, collisions = (k,), facts, None, 0
                 elif facts[0] == holder[0]:
-                    holder = facts
+                    holder, best = facts, None
                 else:
                     collisions += 1
-                    holder = facts if rank(facts) > rank(holder) else holder
+                    best, own = best or rank(holder), rank(facts)
+                    if own > best:
+                        holder, best = facts, own
             yield batch_of(done, batch.schema)
             schema = batch.schema
         if current is not None:
@@ -127,7 +130,9 @@ def refresh_mapping(table: KeptTable, links: DataFrame, videos: DataFrame | None
     newest_time = new.agg(F.max("mtime")).first()[0]
     if newest_time is None:
         return table.merge(new, merge_mapping)
-    return table.merge(new if videos is None else only_known(new, videos), merge_mapping, newest_time)
+    known = new if videos is None else only_known(new, videos)
+    # the merge asks for its buckets, its number of rows, its long logs and its rows; the joins behind them run once
+    return table.merge(stored(known.select("video_id", *FACTS, "mtime", "seq"), "links"), merge_mapping, newest_time)
 
 
 def import_legacy(table: KeptTable, lines: DataFrame) -> int | None:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,3 +28,10 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         sc.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint()
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """df written as Parquet in the shared folder and read again: what is asked of it more than once is worked out once."""
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
